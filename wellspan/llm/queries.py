@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lines, mixing, preference, quality
+from . import bpe, lines, minhash, mixing, preference, quality
 from .common import table
 
 
@@ -36,12 +36,16 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(table(spark, sf_dir, "documents"), tokenizer_path(), ["doc_id"], outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_components(table(spark, sf_dir, "documents"), minhash.Threshold(width=3, num=85, den=100))
+
+
 def op10_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return quality.judged(table(spark, sf_dir, "documents"), ["doc_id"]).select(*names)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_preference_format, op3_line_dedup, op4_source_mix, op7_bpe, op10_adaptive_quality)
+    f.__name__: f for f in (op1_preference_format, op3_line_dedup, op4_source_mix, op7_bpe, op8_minhash, op10_adaptive_quality)
 }
 ORACLES: dict[str, str] = {"op1_preference_format": preference.SQL, "op3_line_dedup": lines.SQL}
