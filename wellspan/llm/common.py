@@ -10,6 +10,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import with_code
+
 #: Words are runs of anything but space and U+0009..U+000D.  ``bytes.split()``
 #: splits on exactly this set, so Python code counts words on UTF-8 bytes.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,7 +24,7 @@ _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return with_code(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lines, minhash, mixing, preference, quality
+from . import bpe, html, lines, minhash, mixing, preference, quality, toxicity
 from .common import table
 
 
@@ -32,6 +32,18 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(planned).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    model = toxicity.fit(docs, labels.where(~held_out).select("doc_id", "toxic"))
+    scored = toxicity.score(docs, model, ["doc_id"])
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(table(spark, sf_dir, "documents"), tokenizer_path(), ["doc_id"], outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
@@ -46,6 +58,6 @@ def op10_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_preference_format, op3_line_dedup, op4_source_mix, op7_bpe, op8_minhash, op10_adaptive_quality)
+    f.__name__: f for f in (op1_preference_format, op3_line_dedup, op4_source_mix, op5_html, op6_toxicity, op7_bpe, op8_minhash, op10_adaptive_quality)
 }
 ORACLES: dict[str, str] = {"op1_preference_format": preference.SQL, "op3_line_dedup": lines.SQL}
