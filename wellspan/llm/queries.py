@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html, lines, minhash, mixing, preference, quality, toxicity
+from . import ann, bpe, html, lines, minhash, mixing, preference, quality, toxicity
 from .common import table
 
 
@@ -23,6 +23,11 @@ def op1_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.preference_pairs(table(spark, sf_dir, "conversations"), F.expr("conv_id div 2"), conv % 2 == 0)
 
 
+def op2_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.neighbours(vectors, vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id")), 20)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -58,6 +63,6 @@ def op10_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_preference_format, op3_line_dedup, op4_source_mix, op5_html, op6_toxicity, op7_bpe, op8_minhash, op10_adaptive_quality)
+    f.__name__: f for f in (op1_preference_format, op2_cross_polytope, op3_line_dedup, op4_source_mix, op5_html, op6_toxicity, op7_bpe, op8_minhash, op10_adaptive_quality)
 }
 ORACLES: dict[str, str] = {"op1_preference_format": preference.SQL, "op3_line_dedup": lines.SQL}
