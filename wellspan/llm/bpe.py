@@ -19,6 +19,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .common import beside
+
 #: Unicode white space as the vocabulary's normalizer sees it (fixed values).
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 LONG = 96
@@ -165,6 +167,7 @@ def encode_texts(docs: DataFrame, path: str, keep: list[str], text: str = "text"
     ids, 0 tokens and decodes to the empty text.  ``keep`` names the columns carried along;
     other columns, whatever their names, are dropped.  No shuffle: each row is independent.
     """
+    keep = beside(keep, outputs)
     kinds = {"ids": "string", "n_tokens": "bigint", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema] + [f"{x} {kinds[x]}" for x in outputs])
     arrow = {"bigint": pa.int64(), "string": pa.string()}

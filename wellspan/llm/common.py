@@ -46,6 +46,12 @@ def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def beside(keep: Iterable[str], outputs: Iterable[str]) -> list[str]:
+    """Columns to carry along; an operator's own outputs win over columns of their names."""
+    own = {x.lower() for x in outputs}
+    return [c for c in dict.fromkeys(keep) if c.lower() not in own]
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A finalizer that spreads every input bit over all 64 output bits."""
     x = (x ^ (x >> np.uint64(30))) * _MIX1

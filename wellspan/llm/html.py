@@ -16,6 +16,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .common import beside
+
 #: Elements that begin and end a block (fixed values of the HTML standard).
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -200,6 +202,7 @@ def extract(pages: DataFrame, keep: list[str], html_column: str = "html") -> Dat
     The whole html is read; null is the empty page.  Rows are independent: no shuffle, ties
     and repeated rows need no rule, and columns not in ``keep`` are not looked at.
     """
+    keep = beside(keep, ("text", "n_chars"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*keep).schema), "text string, n_chars bigint"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import GAP, WORD, materialize, mix64, small_side
+from .common import GAP, WORD, beside, materialize, mix64, small_side
 
 MOST_REPEATS = 3
 BLOCK_WORDS = 64
@@ -33,6 +33,7 @@ class Mix:
     targets: DataFrame
     blocks: DataFrame
     slots: DataFrame
+    block_words: int
 
 
 def water_fill(sizes: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -127,7 +128,7 @@ def mix(docs: DataFrame, seed: int = 20_240_601, block_words: int = BLOCK_WORDS,
     source) are collected to plan; texts, blocks and slots stay distributed.
     """
     spark = docs.sparkSession
-    own = [c for c in dict.fromkeys(["doc_id", "source", "text", *keep])]
+    own = ["doc_id", "source", "text", *beside(keep, ("doc_id", "source", "text", "size", "chunk", "within", "offset", "source_id", "source_size", "target", "block", "start", "n_words"))]
     docs = docs.select(*own).withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
     totals = docs.groupBy("source").agg(F.sum("size").alias("n")).collect()
     totals.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode("utf-8", "surrogatepass")))
@@ -164,14 +165,23 @@ def mix(docs: DataFrame, seed: int = 20_240_601, block_words: int = BLOCK_WORDS,
     start = F.greatest(F.lit(0), F.col("block") * width - F.col("offset"))
     end = F.least(F.col("size"), (F.col("block") + 1) * width - F.col("offset"))
     blocks = placed.withColumn("block", F.explode_outer(spread)).withColumns({"start": start, "n_words": F.coalesce(end - start, F.lit(0))})
-    return Mix(placed, plan, blocks, taken)
+    return Mix(placed, plan, blocks, taken, block_words)
 
 
 def mixed_texts(planned: Mix) -> DataFrame:
     """The mix itself: shard, slot order, source and the words of each taken segment."""
-    words = F.split(F.regexp_replace("text", f"^{GAP}", ""), GAP)
-    pieces = planned.blocks.where(F.col("n_words") > 0).withColumn("piece", F.array_join(F.slice(words, (F.col("start") + 1).cast("int"), F.col("n_words").cast("int")), " "))
-    return planned.slots.join(pieces.drop("text"), ["source_id", "block"])
+    width, docs = planned.block_words, planned.docs.where("size > 0")
+    # Words are split once a row, and cut into the pieces that fall into each block.
+    docs = docs.withColumn("words_", F.split(F.regexp_replace("text", f"^{GAP}", ""), GAP)).drop("text")
+    first, last = F.expr(f"offset div {width}"), F.expr(f"(offset + size - 1) div {width}")
+
+    def piece(b):
+        start = F.greatest(F.lit(0), b * width - F.col("offset"))
+        n = F.least(F.col("size"), (b + 1) * width - F.col("offset")) - start
+        return F.struct(b.alias("block"), F.array_join(F.slice("words_", (start + 1).cast("int"), n.cast("int")), " ").alias("text"))
+
+    pieces = docs.withColumn("piece_", F.explode(F.transform(F.sequence(first, last), piece))).select(*[c for c in docs.columns if c != "words_"], "piece_.block", "piece_.text")
+    return planned.slots.join(pieces, ["source_id", "block"])
 
 
 def taken_words(planned: Mix, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, small_side, text_bytes, window_hashes, word_hashes
+from .common import beside, materialize, small_side, text_bytes, window_hashes, word_hashes
 
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
@@ -52,6 +52,7 @@ def repeated_words(words: list[bytes], width: int = WINDOW) -> int:
 def with_measures(docs: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` plus the measures of each whole text; null is the empty text."""
     names = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
+    keep = beside(keep, (*names, *MEASURES, "base_failed", "kept"))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema] + [f"{x} bigint" for x in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, html, lines, minhash, mixing, preference, quality, toxicity
+from . import ann, bpe, html, lines, minhash, mixing, pii, preference, quality, toxicity
 from .common import table
 
 
@@ -57,12 +57,17 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_components(table(spark, sf_dir, "documents"), minhash.Threshold(width=3, num=85, den=100))
 
 
+def op9_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs), ["doc_id"])
+
+
 def op10_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return quality.judged(table(spark, sf_dir, "documents"), ["doc_id"]).select(*names)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_preference_format, op2_cross_polytope, op3_line_dedup, op4_source_mix, op5_html, op6_toxicity, op7_bpe, op8_minhash, op10_adaptive_quality)
+    f.__name__: f for f in (op1_preference_format, op2_cross_polytope, op3_line_dedup, op4_source_mix, op5_html, op6_toxicity, op7_bpe, op8_minhash, op9_skip_chain_pii, op10_adaptive_quality)
 }
 ORACLES: dict[str, str] = {"op1_preference_format": preference.SQL, "op3_line_dedup": lines.SQL}

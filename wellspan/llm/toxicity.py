@@ -18,6 +18,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import beside
+
 #: Terms that name groups of people; those of one row stand in for each other.
 IDENTITY_GROUPS = (
     ("woman", "man", "person"),
@@ -186,6 +188,7 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
     Rows are scored one by one without a shuffle; the model is a few thousand numbers.
     """
+    keep = beside(keep, ("score",))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema), "score double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
