@@ -24,7 +24,7 @@ def features(table: DataFrame, path: str, columns: list[str], by: list[str]) ->
     """Chosen columns, tab separated, a folder per plate and well; missing numbers as NaN."""
     kinds = dict(table.dtypes)
     chosen = [numeric.null_as_nan(F.col(c)).alias(c) if kinds[c] in ("double", "float") else F.col(c) for c in columns]
-    table.select(*by, *[c for c, n in zip(chosen, columns) if n not in by]).write.mode("overwrite").partitionBy(*by).option("compression", "gzip").csv(path, sep="\t", header=True, nanValue="NaN")
+    table.select(*by, *[c for c, n in zip(chosen, columns) if n not in by]).write.mode("overwrite").partitionBy(*by).option("compression", "gzip").csv(path, sep="\t", header=True)
 
 
 def columnar(table: DataFrame, path: str, by: list[str]) -> None:
