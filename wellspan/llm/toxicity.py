@@ -97,7 +97,7 @@ def places(words: Iterable[str], known: _Forms) -> list[int]:
     return sorted(found)
 
 
-def fit_logistic(rows: list[list[int]], swapped: list[list[int]], y: np.ndarray, n: int, penalty: float, ridge: float = 1e-3, steps: int = 300) -> tuple[np.ndarray, float]:
+def fit_logistic(rows: list[list[int]], swapped: list[list[int]], y: np.ndarray, n: int, penalty: float, ridge: float = 1e-4, steps: int = 600) -> tuple[np.ndarray, float]:
     """Minimise mean log loss + penalty * mean squared logit change under swaps + ridge.
 
     Accelerated gradient descent over sparse binary rows; ``swapped[i]`` is row i after the
@@ -109,20 +109,29 @@ def fit_logistic(rows: list[list[int]], swapped: list[list[int]], y: np.ndarray,
     (ri, rj), (si, sj) = flat(rows), flat(swapped)
     count = max(len(y), 1)
     named = max(sum(a is not b for a, b in zip(rows, swapped)), 1)
-    width = max([1, *map(len, rows)])
-    rate = 1.0 / (0.25 * (width + 1) * 0.25 + ridge + 4.0 * penalty * min(width, 8))
+
+    def product(i: np.ndarray, j: np.ndarray, v: np.ndarray) -> np.ndarray:
+        return np.bincount(i, v[j], count) if len(j) else np.zeros(count)
+
+    def back(i: np.ndarray, j: np.ndarray, e: np.ndarray) -> np.ndarray:
+        return np.bincount(j, e[i], n) if len(j) else np.zeros(n)
+
+    # The step comes from the largest curvature, found by power iteration.
+    v, vb, most = np.ones(n), 1.0, 1.0
+    for _ in range(30):
+        z, zs = product(ri, rj, v), product(si, sj, v)
+        pull, change = 0.25 * (z + vb) / count, 2.0 * penalty * (z - zs) / named
+        g, gb = ridge * v + back(ri, rj, pull + change) - back(si, sj, change), pull.sum()
+        most = float(np.sqrt((g * g).sum() + gb * gb))
+        v, vb = g / most, gb / most
+    rate = 0.8 / most
     w, b = np.zeros(n), 0.0
     ahead_w, ahead_b, t = w, b, 1.0
     for _ in range(steps):
-        z = np.bincount(ri, ahead_w[rj], count)[: len(y)] if len(rj) else np.zeros(len(y))
-        zs = np.bincount(si, ahead_w[sj], count)[: len(y)] if len(sj) else np.zeros(len(y))
+        z, zs = product(ri, rj, ahead_w), product(si, sj, ahead_w)
         error = (1.0 / (1.0 + np.exp(-np.clip(z + ahead_b, -30, 30))) - y) / count
         change = 2.0 * penalty * (z - zs) / named
-        grad = ridge * ahead_w
-        if len(rj):
-            grad = grad + np.bincount(rj, (error + change)[ri], n)
-        if len(sj):
-            grad = grad - np.bincount(sj, change[si], n)
+        grad = ridge * ahead_w + back(ri, rj, error + change) - back(si, sj, change)
         new_w, new_b = ahead_w - rate * grad, ahead_b - rate * error.sum()
         nt = (1.0 + np.sqrt(1.0 + 4.0 * t * t)) / 2.0
         ahead_w, ahead_b = new_w + (t - 1.0) / nt * (new_w - w), new_b + (t - 1.0) / nt * (new_b - b)
