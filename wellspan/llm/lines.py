@@ -5,28 +5,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 WIDTH = 3
 
 
-def _windows(lines: Column) -> Column:
-    """Position and 128-bit hash of every window that holds a word."""
+def _hashed(line: Column) -> Column:
+    """128 bits of a line, and whether it holds a word."""
+    return F.struct(
+        F.xxhash64(line).alias("h1"),
+        F.xxhash64(F.lit("second"), line).alias("h2"),
+        (F.length(F.ltrim(line, F.lit(" \t\x0b\x0c\r"))) > 0).alias("worded"),
+    )
+
+
+def _windows(hashed: Column) -> Column:
+    """Position and hash of every window that holds a word."""
 
     def one(i: Column) -> Column:
-        three = [lines[i + k] for k in range(WIDTH)]
-        return F.struct(
-            i.alias("at"),
-            F.xxhash64(*three).alias("h1"),
-            F.xxhash64(F.lit("second"), *reversed(three)).alias("h2"),
-            F.concat(*three).rlike(r"[^\x20\x09-\x0D]").alias("worded"),
-        )
-
-    count = F.size(lines) - F.lit(WIDTH - 1)
+        three = [hashed[i + k] for k in range(WIDTH)]
+        worded = three[0]["worded"]
+        for x in three[1:]:
+            worded = worded | x["worded"]
+        return F.struct(i.alias("at"), *[F.xxhash64(*[x[h] for x in three]).alias(h) for h in ("h1", "h2")], worded.alias("worded"))
+
+    count = F.size(hashed) - F.lit(WIDTH - 1)
     return F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), one))
 
 
 def repeated_positions(docs: DataFrame) -> DataFrame:
     """(doc_id, covered): the line numbers, sorted, inside later occurrences of a window."""
-    found = docs.select("doc_id", F.explode(_windows(F.split("text", "\n", -1))).alias("w")).select("doc_id", "w.*").where("worded").drop("worded")
+    # Each line is hashed once, in a projection of its own: inside the lambda over windows
+    # the text would be split anew for every window.  Windows are read twice, so kept.
+    hashed = docs.select("doc_id", F.transform(F.split("text", "\n", -1), _hashed).alias("hashed"))
+    found = materialize(hashed.select("doc_id", F.explode(_windows(F.col("hashed"))).alias("w")).select("doc_id", "w.*").where("worded").drop("worded"))
     place = F.struct("doc_id", "at")
     first = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     later = found.join(first, ["h1", "h2"]).where(place > F.col("first"))
@@ -48,14 +60,15 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     clash = [c for c in docs.columns if c in ("n_lines", "n_removed", "covered", "lines_", "doc_id_")]
     docs = docs.drop(*clash)
     covered = repeated_positions(docs.where("doc_id is not null")).withColumnRenamed("doc_id", "doc_id_")
-    lines = docs.withColumn("lines_", F.split("text", "\n", -1))
-    joined = lines.join(covered, F.col("doc_id") == F.col("doc_id_"), "left")
+    joined = docs.join(covered, F.col("doc_id") == F.col("doc_id_"), "left")
+    cut = joined.withColumn("lines_", F.when(F.col("covered").isNotNull(), F.split("text", "\n", -1)))
     keep = F.array_except(F.sequence(F.lit(0), F.size("lines_") - 1), F.col("covered"))
     rest = F.array_join(F.transform(keep, lambda i: F.col("lines_")[i]), "\n")
-    return joined.withColumns(
+    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
+    return cut.withColumns(
         {
             "text": F.when(F.col("covered").isNull(), F.col("text")).otherwise(rest),
-            "n_lines": F.greatest(F.coalesce(F.size("lines_"), F.lit(0)), F.lit(0)),
+            "n_lines": F.coalesce(breaks + 1, F.lit(0)),
             "n_removed": F.coalesce(F.size("covered"), F.lit(0)),
         }
     ).select(*docs.columns, "n_lines", "n_removed")
