@@ -9,14 +9,14 @@ from .common import materialize
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) for every node of the undirected ``edges`` (a, b).
+    """(node, component) for every node of the undirected, materialized ``edges`` (a, b).
 
     ``component`` is the smallest node reachable.  Each round every node takes the smallest
     label around it and then its label's label, so chains shorten by half; rounds end when
     nothing changes.  All joins are shuffles by node with map-side minima, so a node with
     very many links costs its links once, spread over the tasks that hold them.
     """
-    both = materialize(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
+    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b")
     labels = materialize(both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("label")))
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))

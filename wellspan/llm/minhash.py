@@ -32,7 +32,7 @@ MINIMA = BANDS * BAND_ROWS
 #: over five standard errors of an estimate from 128 two-bit minima.
 SLACK = 0.2
 #: Pairs tried for each two components of a bucket in the first of the later rounds.
-FIRST_TRIES = 8
+FIRST_TRIES = 64
 
 _rng = np.random.default_rng(20_240_602)
 _FACTOR = _rng.integers(0, 1 << 32, MINIMA, np.uint32) | np.uint32(1)
@@ -171,8 +171,8 @@ def near_components(docs: DataFrame, rule: Threshold = Threshold()) -> DataFrame
 
     tried = materialize(confirmed(stars, texts, rule))
     tries = FIRST_TRIES
+    found = components(tried.where("linked"))
     while True:
-        found = components(tried.where("linked"))
         label = buckets.select("band", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("own", F.coalesce("component", "rep")).drop("component")
         mixed = label.groupBy("band").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low < high").select("band")
         open_ = materialize(label.join(mixed, "band").join(signs, "rep"))
@@ -189,8 +189,10 @@ def near_components(docs: DataFrame, rule: Threshold = Threshold()) -> DataFrame
         batch = materialize(fresh.withColumn("place", F.row_number().over(best)).where(F.col("place") <= tries).select("a", "b"))
         if batch.isEmpty():
             break
-        tried = materialize(tried.union(confirmed(batch, texts, rule)))
-        tries *= 8
+        checked = materialize(confirmed(batch, texts, rule))
+        tried, tries = tried.union(checked), tries * 64
+        if not checked.where("linked").isEmpty():
+            found = components(tried.where("linked"))
     labels = known.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("e0", "e1", F.coalesce("component", "rep").alias("of_class"))
     joined = prints.join(labels, (F.col("d0") == F.col("e0")) & (F.col("d1") == F.col("e1")), "left")
     component = F.when(F.col("d0").isNull(), F.col("doc_id")).otherwise(F.col("of_class"))
