@@ -7,13 +7,16 @@ grouped but single images.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 
 from ..functions import kernels
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 
 def per_image(images: DataFrame, key: list[str], f: Callable[[np.ndarray], np.ndarray], width: int, column: str = "pixels") -> DataFrame:
     """Apply a kernel to each image array; the result is an array of doubles."""
@@ -62,7 +65,7 @@ def crops(images: DataFrame, key: list[str], width: int, size: int, column: str
                 for k in np.unique(label[label > 0]).astype(int):
                     cy, cx = (int(np.rint(a.mean())) for a in np.nonzero(label == k))
                     rows.append((*(getattr(row, c) for c in key), k, cy, cx, kernels.square_crop(np.where(label == k, image, 0), cy, cx, size).ravel()))
-            yield pd.DataFrame(rows, columns=[*key, "label", "cy", "cx", column])
+            yield type(pdf)(rows, columns=[*key, "label", "cy", "cx", column])
 
     return images.select(*key, column, "labels").mapInPandas(run, schema)
 

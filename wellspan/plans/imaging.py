@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import numeric
-from ..operators import flatfield, objects, pixels, registration
+from ..functions import numeric, tables
+from ..operators import flatfield, objects, pixels, profiles, registration
 from ..registry import Tables, query
 
 SIDE = 8
@@ -293,3 +293,63 @@ def object_numbers(t: Tables) -> DataFrame:
     # Plates are few: their ranks come from counting the smaller ones, without one big window.
     rank = plates.alias("a").join(plates.select(F.col("plate").alias("q")), F.col("q") <= F.col("plate")).groupBy("plate").agg(F.count(F.lit(1)).cast("int").alias("image_number"))
     return images_.join(rank, "plate").select("vec_id", F.row_number().over(Window.partitionBy("plate").orderBy("vec_id")).alias("object_number"), "image_number")
+
+
+@query(f"""with {PX}, p as (select vec_id, y, x, v, max(v) over (partition by vec_id, y) / 2 as half, lag(v) over w as b, lead(v) over w as a from px window w as (partition by vec_id, y order by x)),
+k as (select *, row_number() over (partition by vec_id, y order by x) as f, row_number() over (partition by vec_id, y order by x desc) as l from p where half > 0 and v >= half)
+select f.vec_id, f.y, round(r.x + coalesce((r.v - r.half) / (r.v - r.a), 0) - (f.x - coalesce((f.v - f.half) / (f.v - f.b), 0)), 7) as width from (select * from k where f = 1) f join (select * from k where l = 1) r on f.vec_id = r.vec_id and f.y = r.y""")
+def half_width_rows(t: Tables) -> DataFrame:
+    return rounded(profiles.half_width(images(t), ["vec_id", "y"], "x", "v"), ["width"], 7)
+
+
+@query(f"with {PX}, g as (select vec_id, max(v) as hi, min(v) as lo from px group by vec_id) select px.vec_id, round(avg(v), 7) as mean, round(stddev_pop(v), 7) as std, round(count(*) filter (v = hi) / count(*) * 100, 5) as percent_max, round(count(*) filter (v = lo) / count(*) * 100, 5) as percent_min from px join g on px.vec_id = g.vec_id group by px.vec_id")
+def image_quality(t: Tables) -> DataFrame:
+    q = rounded(profiles.quality(images(t), ["vec_id"]), ["mean", "std"], 7)
+    return rounded(q, ["percent_max", "percent_min"], 5)
+
+
+@query(f"with {PX} select vec_id, round(quantile_cont(v, 0.9), 8) as background from px where y < 1 or y >= 7 or x < 1 or x >= 7 group by vec_id")
+def rim_background(t: Tables) -> DataFrame:
+    return rounded(profiles.background(images(t), ["vec_id"], SIDE, 1, 90), ["background"], 8)
+
+
+@query(f"""with {PX}, k as (select vec_id, y // 4 as ty, x // 4 as tx, v from px), s as (select vec_id, ty, tx, min(v) as lo, max(v) as hi from k group by all), b as (select k.vec_id, k.ty, k.tx, lo, hi, least(floor((v - lo) / (hi - lo) * 64), 63) as bin from k join s on k.vec_id = s.vec_id and k.ty = s.ty and k.tx = s.tx where hi > lo),
+c as (select vec_id, ty, tx, bin, count(*) as n, lo + (bin + 0.5) * (hi - lo) / 64 as centre from b group by vec_id, ty, tx, lo, hi, bin), d as (select *, sum(n) over w as w1, sum(n * centre) over w as m1, sum(n) over (partition by vec_id, ty, tx) as wt, sum(n * centre) over (partition by vec_id, ty, tx) as mt from c window w as (partition by vec_id, ty, tx order by bin)),
+e as (select vec_id, ty, tx, bin, centre, round(w1 * (wt - w1) * pow(m1 / w1 - (mt - m1) / (wt - w1), 2) / wt / wt, 9) as b from d where w1 < wt), f as (select *, row_number() over (partition by vec_id, ty, tx order by b desc, bin) as r from e)
+select s.vec_id, cast(s.ty as integer) as tile_y, cast(s.tx as integer) as tile_x, round(coalesce(centre, lo), 7) as threshold from s left join (select * from f where r = 1) f on s.vec_id = f.vec_id and s.ty = f.ty and s.tx = f.tx""")
+def adaptive_otsu(t: Tables) -> DataFrame:
+    """A threshold for every tile of an image."""
+    tiles = images(t).withColumns({"tile_y": F.floor(F.col("y") / 4).cast("int"), "tile_x": F.floor(F.col("x") / 4).cast("int")})
+    return rounded(pixels.otsu(tiles, ["vec_id", "tile_y", "tile_x"], "v", 64), ["threshold"], 7)
+
+
+@query(f"""with {PX}, f as (select plate, max(v) as factor from px where plate % 2 = 0 group by plate) select vec_id, y, x, cast(least(greatest(round_even(abs(v) * 60000 / coalesce(factor, 1), 0), 0), 65535) as integer) as v from px left join f on px.plate = f.plate""")
+def scale_apply(t: Tables) -> DataFrame:
+    """Divide by the plate's factor where there is one, then clip to 16 bits."""
+    p = images(t)
+    factors = p.where("plate % 2 = 0").groupBy("plate").agg(F.max("v").alias("factor"))
+    scaled = F.abs("v") * 60000 / F.coalesce("factor", F.lit(1.0))
+    return p.join(factors, "plate", "left").select("vec_id", "y", "x", numeric.to_uint16(scaled).alias("v"))
+
+
+@query(f"""with {PX}, a as (select vec_id, y, x, v, cast(floor((v + 1) * 10) as integer) as g from px), s as (select vec_id, g, count(*) as n from a group by 1, 2), c as (select vec_id, g, sum(n) over (partition by vec_id order by g) / 64.0 as share from s),
+t as (select m.vec_id, 19 - m.g as g, sum(m.n) over (partition by m.vec_id order by 19 - m.g) / 64.0 as share from s m), k as (select c.vec_id, c.g, min(t.g) as matched from c join t on c.vec_id = t.vec_id and t.share >= c.share - 1e-9 group by 1, 2)
+select a.vec_id, a.y, a.x, cast(k.matched as double) as v from a join k on a.vec_id = k.vec_id and a.g = k.g""")
+def histogram_matching(t: Tables) -> DataFrame:
+    """Grey levels matched to the histogram of the inverted image."""
+    level = images(t).withColumn("v", F.floor((F.col("v") + 1) * 10).cast("double")).select("vec_id", "y", "x", "v")
+    return pixels.matched_histogram(level, level.withColumn("v", F.lit(19.0) - F.col("v")), ["vec_id"]).select("vec_id", "y", "x", "v")
+
+
+@query()
+def udtf_blobs(t: Tables) -> DataFrame:
+    tables.register(t.spark)
+    t.embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("pixels")).createOrReplaceTempView("wellspan_images")
+    return t.spark.sql("select vec_id, b.y, b.x, b.sigma from wellspan_images, lateral image_blobs(pixels, 8, 0.05) b")
+
+
+@query()
+def custom_property(t: Tables) -> DataFrame:
+    """A user's own aggregate of the pixels of each object, as a grouped function."""
+    own = F.pandas_udf(lambda values: float(values.median()), "double", F.PandasUDFType.GROUPED_AGG)
+    return quadrants(images(t)).where("label > 0").groupBy("vec_id", "label").agg(F.round(own("v"), 6).alias("middle"))

@@ -272,7 +272,7 @@ def image_set_pivot(t: Tables) -> DataFrame:
 
 
 @query("""with a as (select user_id, event_id, row_number() over (partition by user_id order by ts, event_id) as r from events where event_type = 'click'),
-b as (select user_id, event_id, row_number() over (partition by user_id order by ts, event_id) as r from events where event_type = 'error') select a.user_id, a.r as place, a.event_id as a_id, b.event_id as b_id from a join b on a.user_id = b.user_id and a.r = b.r""")
+b as (select user_id, event_id, row_number() over (partition by user_id order by ts, event_id) as r from events where event_type = 'error') select a.user_id, cast(a.r as integer) as place, a.event_id as a_id, b.event_id as b_id from a join b on a.user_id = b.user_id and a.r = b.r""")
 def image_set_by_order(t: Tables) -> DataFrame:
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     one = lambda kind, name: t.events.where(F.col("event_type") == kind).select("user_id", F.row_number().over(w).alias("place"), F.col("event_id").alias(name))

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import TYPE_CHECKING
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 
 def sized_groups(stream: DataFrame, key: str, size: str, member: str) -> DataFrame:
     """(key, members): a group is emitted as soon as ``size`` distinct members have come.
@@ -27,6 +30,8 @@ def sized_groups(stream: DataFrame, key: str, size: str, member: str) -> DataFra
             expected = int(pdf[size].iloc[0]) if len(pdf) else expected
         if not out and expected is not None and len(members) >= expected:
             state.update(([], True))
+            import pandas as pd
+
             yield pd.DataFrame({key: [keys[0]], "members": [",".join(sorted(members))]})
         elif not out:
             state.update((sorted(members), False))
