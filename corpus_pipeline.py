@@ -10,9 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellspan.llm import bpe, lines, minhash, mixing, quality
-from wellspan.llm.common import materialize, table
+from wellspan.llm.common import materialize, prepared, table
 from wellspan.llm.queries import tokenizer_path
-from wellspan.session import with_code
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 WORDED = r"[^\x20\x09-\x0D]"
@@ -20,7 +19,7 @@ WORDED = r"[^\x20\x09-\x0D]"
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or leave their group's fences go."""
-    with_code(spark)
+    prepared(spark)
     return quality.judged(docs, COLUMNS).where("kept").select(*COLUMNS)
 
 
@@ -34,21 +33,21 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies stays: the one with the smallest id."""
-    with_code(spark)
+    prepared(spark)
     gone = minhash.near_components(docs).where("not kept and doc_id is not null").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: a row for each stretch of a document in a taken block, repeats included."""
-    with_code(spark)
+    prepared(spark)
     planned = mixing.mix(docs, keep=("lang",))
     return mixing.mixed_texts(planned).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every stretch, with the digest of what they decode to."""
-    with_code(spark)
+    prepared(spark)
     return bpe.encode_texts(docs, tokenizer_path(), ["doc_id", "lang", "source"], outputs=("n_tokens", "ids", "decoded_sha256"))
 
 

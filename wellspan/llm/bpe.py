@@ -26,7 +26,7 @@ SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006
 LONG = 96
 NO_RANK = 1 << 60
 #: Most distinct chunks, and characters in them, of one generation of a worker's memory.
-REMEMBERED, REMEMBERED_CHARS = 200_000, 8_000_000
+REMEMBERED, REMEMBERED_CHARS = 130_000, 5_000_000
 
 _gap = regex.compile(f"[{SPACE}]+")
 _letter = regex.compile(r"[\p{L}\p{N}]")

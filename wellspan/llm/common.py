@@ -23,8 +23,20 @@ BROADCAST_ROWS = 100_000
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
+#: Texts vary from a word to megabytes: batches to Python are bounded by bytes, not rows.
+BATCH_BYTES = "8m"
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with this package known to its workers and batches to them kept small."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, "") in ("", "64m", "67108864", "67108864b"):
+        spark.conf.set(key, BATCH_BYTES)
+    return with_code(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return with_code(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepared(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def materialize(df: DataFrame) -> DataFrame:
