@@ -8,10 +8,11 @@ and slots and blocks meet in one join by (source, index).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -144,19 +145,19 @@ def mix(docs: DataFrame, seed: int = 20_240_601, block_words: int = BLOCK_WORDS,
     counts = shard_counts(slots, seed)
     first = np.cumsum(counts, axis=0) - counts
     shard, source = np.nonzero(counts)
-    runs = pd.DataFrame({"shard": shard, "source_id": source.astype(np.int32), "first": first[shard, source], "n": counts[shard, source], "n_blocks": n_blocks[source]})
-    runs = spark.createDataFrame(runs, "shard long, source_id int, first long, n long, n_blocks long")
+    runs = spark.createDataFrame(pa.table({"shard": shard, "source_id": source.astype(np.int32), "first": first[shard, source], "n": counts[shard, source], "n_blocks": n_blocks[source]}))
     wide = spark.conf.get("spark.sql.shuffle.partitions")
     numbered = runs.repartition(int(wide), "shard").select("shard", "source_id", "n_blocks", F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("slot"))
 
-    @F.pandas_udf("long")
-    def block_of(source_id: pd.Series, slot: pd.Series, n_blocks: pd.Series) -> pd.Series:
-        turn, at = np.divmod(slot.to_numpy(), n_blocks.to_numpy())
-        with np.errstate(over="ignore"):
-            key = mix64((source_id.to_numpy().astype(np.uint64) << np.uint64(32)) + turn.astype(np.uint64) + np.uint64(seed))
-        return pd.Series(permuted(at, n_blocks.to_numpy(), key))
+    def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shard_, source_id, size, slot = (batch.column(i).to_numpy() for i in range(4))
+            turn, at = np.divmod(slot, size)
+            with np.errstate(over="ignore"):
+                key = mix64((source_id.astype(np.uint64) << np.uint64(32)) + turn.astype(np.uint64) + np.uint64(seed))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array(permuted(at, size, key))], names=["shard", "source_id", "slot", "block"])
 
-    taken = numbered.withColumn("block", block_of("source_id", "slot", "n_blocks")).drop("n_blocks")
+    taken = numbered.mapInArrow(blocks_of, "shard long, source_id int, slot long, block long")
 
     placed = with_offsets(docs).join(small_side(plan.select("source_id", F.col("source").alias("source_"), "source_size", "target")), F.col("source").eqNullSafe(F.col("source_"))).drop("source_")
     width = F.lit(block_words)
@@ -181,12 +182,13 @@ def mixed_texts(planned: Mix) -> DataFrame:
         return F.struct(b.alias("block"), F.array_join(F.slice("words_", (start + 1).cast("int"), n.cast("int")), " ").alias("text"))
 
     pieces = docs.withColumn("piece_", F.explode(F.transform(F.sequence(first, last), piece))).select(*[c for c in docs.columns if c != "words_"], "piece_.block", "piece_.text")
-    return planned.slots.join(pieces, ["source_id", "block"])
+    return planned.slots.hint("merge").join(pieces, ["source_id", "block"])
 
 
 def taken_words(planned: Mix, keep: tuple[str, ...] = ()) -> DataFrame:
     """Per document row, the words that the mix takes of it (``taken``, repeats counted)."""
     uses = planned.slots.groupBy("source_id", "block").agg(F.count(F.lit(1)).alias("uses"))
-    found = planned.blocks.join(uses, ["source_id", "block"], "left")
+    # Slots grow out of a small plan, so the planner takes them for small; they are not.
+    found = planned.blocks.join(uses.hint("merge"), ["source_id", "block"], "left")
     key = ["doc_id", "source_id", "offset", "size", "source_size", "target", *keep]
     return found.groupBy(*key).agg(F.sum(F.col("n_words") * F.coalesce("uses", F.lit(0))).cast("long").alias("taken"))
