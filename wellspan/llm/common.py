@@ -30,7 +30,7 @@ BATCH_BYTES = "8m"
 def prepared(spark: SparkSession) -> SparkSession:
     """The session with this package known to its workers and batches to them kept small."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(key, "") in ("", "64m", "67108864", "67108864b"):
+    if spark.conf.get(key) == "67108864b":  # its default
         spark.conf.set(key, BATCH_BYTES)
     return with_code(spark)
 
