@@ -26,7 +26,9 @@ SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006
 LONG = 96
 NO_RANK = 1 << 60
 #: Most distinct chunks, and characters in them, of one generation of a worker's memory.
-REMEMBERED, REMEMBERED_CHARS = 130_000, 5_000_000
+REMEMBERED, REMEMBERED_CHARS = 80_000, 3_000_000
+#: Rows whose ids are held at once; ids take more room than their texts.
+SLICE_ROWS = 1_000
 
 _gap = regex.compile(f"[{SPACE}]+")
 _letter = regex.compile(r"[\p{L}\p{N}]")
@@ -174,7 +176,7 @@ def encode_texts(docs: DataFrame, path: str, keep: list[str], text: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
-        for batch in batches:
+        for batch in (whole.slice(i, SLICE_ROWS) for whole in batches for i in range(0, whole.num_rows, SLICE_ROWS)):
             rows: list[list] = [[] for _ in outputs]
             for x in batch.column(len(keep)):
                 ids, decoded = bpe.encode(x.as_py() or "")
