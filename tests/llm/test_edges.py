@@ -80,6 +80,24 @@ def test_quality_fences(spark):
     assert all(got[i] for i in range(120)) and not got[120]
 
 
+def test_quality_fences_follow_each_source(spark):
+    rng = np.random.default_rng(8)
+    word = lambda n: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), n))
+    text = lambda size, symbols: " ".join(word(size) + "#" * (rng.random() < symbols) for _ in range(200))
+    rows = []
+    for i in range(100):  # words of 5 letters without symbols; words of 4 to 8 with up to half of them marked
+        rows += [("prose", text(5, 0.0)), ("code", text(4 + i % 5, 0.5 * i / 100))]
+    odd = {"symbols": text(5, 0.4), "long": text(9, 0.0)}
+    n = len(rows)
+    rows += [(s, t) for t in odd.values() for s in ("prose", "code")]
+    rows += [("prose", "\n".join(f"| {word(5)} | {word(5)} |" for _ in range(60))), ("prose", "| " * 100 + text(5, 0.0)), ("prose", "\n".join(word(5) + "#" * (j == 7) for j in range(2_000)))]
+    df = spark.createDataFrame([(i, t, "en", s, None) for i, (s, t) in enumerate(rows)], DOCS)
+    got = {r["doc_id"]: r["kept"] for r in quality.judged(df, ["doc_id"]).collect()}
+    assert all(got[i] for i in range(n))
+    assert [got[i] for i in range(n, n + 4)] == [False, True, False, True]  # prose, code, prose, code
+    assert [got[i] for i in range(n + 4, n + 7)] == [True, False, True]  # a table, bars without cells, one symbol
+
+
 def test_lines(spark):
     p = "first line\nsecond line\nthird line\nfourth line"
     texts = [p, "x\n" + p + "\ny", None, "", "a\nb", "\n\n\n\n\n", p + "\n" + p, LONG]

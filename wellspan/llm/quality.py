@@ -2,7 +2,9 @@
 
 Per-document measures feed mergeable KLL quantile sketches for each language and source.
 Sketches of sources with few documents are merged up to their language, and the fences
-drawn from the sketches replace fixed cut-offs in a joined filter.
+drawn from the sketches replace fixed cut-offs in a joined filter.  No fence has a fixed
+width: the group's spread sets it, widened only by the counting error of the document's own
+measure, so that short texts are not judged by a few characters.
 """
 
 from __future__ import annotations
@@ -21,20 +23,32 @@ SYMBOLS = b"#*$%&|<>"
 BLANK = b" \t\n\x0b\x0c\r"
 #: Sources with fewer documents in a language use the fences of the whole language.
 LEAST_DOCS = 50
-#: Fences stand this many inner-quartile ranges outside the quartiles ...
-SPREAD = 6.0
+#: Fences stand this many inner-quartile ranges of the group outside its quartiles, and this
+#: many counting errors of the document, added as squares.
+SPREAD, ERRORS = 6.0, 4.0
 MEASURES = ("symbol_ratio", "mean_word_chars", "dup_line_ratio")
-#: ... and at least this far, so that measures without spread reject nothing by rounding.
-LEAST_GAP = {"symbol_ratio": 0.15, "mean_word_chars": 8.0, "dup_line_ratio": 0.5}
+#: Measures with a lower fence; few symbols or repeated lines are no fault.
+TWO_SIDED = ("mean_word_chars",)
 
 
-def measure(text: bytes, n_chars: int) -> tuple[int, int, int, int, int, int]:
-    """n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words of one text."""
+def measure(text: bytes, n_chars: int) -> tuple[int, int, int, int, int, int, int]:
+    """n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_separators of one text."""
     words = text.split()
     word_chars = n_chars - (len(text) - len(text.translate(None, BLANK)))
     n_symbols = len(text) - len(text.translate(None, SYMBOLS))
     lines = [x for x in text.split(b"\n") if x.strip()]
-    return len(words), word_chars, n_symbols, len(lines), len(lines) - len(set(lines)), repeated_words(words)
+    return len(words), word_chars, n_symbols, len(lines), len(lines) - len(set(lines)), repeated_words(words), separators(lines)
+
+
+def separators(lines: list[bytes]) -> int:
+    """Words that are a single | beside a word without symbols: the cell borders of tables."""
+    n = 0
+    for line in lines:
+        if b"|" in line:
+            words = line.split()
+            plain = [False, *(len(w) == len(w.translate(None, SYMBOLS)) for w in words), False]
+            n += sum(w == b"|" and (plain[i] or plain[i + 2]) for i, w in enumerate(words))
+    return n
 
 
 def repeated_words(words: list[bytes], width: int = WINDOW) -> int:
@@ -51,8 +65,8 @@ def repeated_words(words: list[bytes], width: int = WINDOW) -> int:
 
 def with_measures(docs: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` plus the measures of each whole text; null is the empty text."""
-    names = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
-    keep = beside(keep, (*names, *MEASURES, "base_failed", "kept"))
+    names = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_separators"]
+    keep = beside(keep, (*names, *MEASURES, *(f"{m}_error" for m in MEASURES), "base_failed", "kept"))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema] + [f"{x} bigint" for x in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,19 +77,26 @@ def with_measures(docs: DataFrame, keep: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), *columns], names=[*keep, *names])
 
     measured = docs.select(*keep, docs["text"].alias("__text")).mapInArrow(run, schema)
-    words = F.col("n_words").cast("double")
+    words, chars = F.col("n_words"), F.col("word_chars")
+
+    def share(m: str, part: Column, whole: Column) -> dict[str, Column]:
+        # Half a count more, as a count is only known to half a unit: none of 100 is not none of 10,000.
+        value = (part + 0.5) / (whole + 1)
+        return {m: F.when(whole > 0, value), f"{m}_error": F.when(whole > 0, F.sqrt(value * (1 - value) / (whole + 1)))}
+
     return measured.withColumns(
-        {
-            "symbol_ratio": F.when(words > 0, F.col("n_symbols") / F.col("word_chars")),
-            "mean_word_chars": F.when(words > 0, F.col("word_chars") / words),
-            "dup_line_ratio": F.when(F.col("n_lines") > 0, F.col("n_dup_lines") / F.col("n_lines")),
+        share("symbol_ratio", F.col("n_symbols") - F.col("n_separators"), chars - F.col("n_separators"))
+        | share("dup_line_ratio", F.col("n_dup_lines"), F.col("n_lines"))
+        | {
+            "mean_word_chars": F.when(words > 0, chars / words),
+            "mean_word_chars_error": F.when(words > 0, F.sqrt(chars) / words),
             "base_failed": (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")),
         }
     )
 
 
 def fences(measured: DataFrame) -> DataFrame:
-    """One row per (lang, source): the lowest and highest value each measure may take.
+    """One row per (lang, source): the quartiles of each measure.
 
     Sketches are built map-side and merged in the shuffle, so a hot source costs one
     partial sketch per task.  Documents that fail the base rules do not shape the fences.
@@ -88,9 +109,7 @@ def fences(measured: DataFrame) -> DataFrame:
 
     def bounds(m: str) -> list[Column]:
         sketch = F.when(F.col("n") >= LEAST_DOCS, F.col(m)).otherwise(F.col(f"all_{m}"))
-        low, high = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.25, 0.75))
-        gap = F.greatest(F.lit(LEAST_GAP[m]), SPREAD * (high - low))
-        return [(low - gap).alias(f"{m}_low"), (high + gap).alias(f"{m}_high")]
+        return [F.kll_sketch_get_quantile_double(sketch, F.lit(q)).alias(f"{m}_{x}") for x, q in (("low", 0.25), ("high", 0.75))]
 
     return joined.select("lang", "source", *(c for m in MEASURES for c in bounds(m)))
 
@@ -107,8 +126,15 @@ def judged(docs: DataFrame, keep: list[str]) -> DataFrame:
     limits = small_side(materialize(fences(measured)))
     limits = limits.withColumnsRenamed({"lang": "lang_", "source": "source_"})
     near = F.col("lang").eqNullSafe(F.col("lang_")) & F.col("source").eqNullSafe(F.col("source_"))
+    cells = F.try_divide(F.col("word_chars") - F.col("n_separators"), F.col("n_words") - F.col("n_separators"))
     inside = F.lit(True)
     for m in MEASURES:
-        inside &= F.coalesce(F.col(m).between(F.col(f"{m}_low"), F.col(f"{m}_high")), F.lit(True))
+        low, high = F.col(f"{m}_low"), F.col(f"{m}_high")
+        gap = F.hypot(SPREAD * (high - low), ERRORS * F.col(f"{m}_error"))
+        within = F.col(m) <= high + gap
+        if m in TWO_SIDED:
+            # Cell borders are short words: what they take from the mean is given back here.
+            within &= cells >= low - gap
+        inside &= F.coalesce(within, F.lit(True))
     joined = measured.join(limits, near, "left")
-    return joined.withColumn("kept", ~F.col("base_failed") & inside).drop("lang_", "source_", *(f"{m}_{x}" for m in MEASURES for x in ("low", "high")))
+    return joined.withColumn("kept", ~F.col("base_failed") & inside).drop("lang_", "source_", *(f"{m}_{x}" for m in MEASURES for x in ("low", "high", "error")))
