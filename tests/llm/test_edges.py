@@ -336,3 +336,24 @@ def test_pii_agreement():
     added = field.further(text, base)
     assert base == [(3, 5, 22)] and added == [(3, 32, 46)] and text[32:46] == "(524) 555-7373"
     assert field.further("room 7 of 9", []) == []
+
+
+def test_pii_mentions_with_a_fitted_field(spark):
+    rng = np.random.default_rng(9)
+    number = lambda n: "".join(map(str, rng.integers(1, 10, n)))
+    texts = [f"call +{number(12)} or write to first.last{i}@mail.example.com about room {number(2)} and order {number(10)} of {number(6)} parts" for i in range(300)]
+    df = docs(spark, texts)
+    field = pii.fit(df)
+
+    def added(text):
+        base = pii.base_spans(text)
+        return base, [(pii.KINDS[k], text[a:b]) for k, a, b in field.further(text, base)]
+
+    assert added("call +4915112345678 now or 015112345678 later")[1] == [("phone", "015112345678")]
+    assert added("call +15245557373 now or 5245557373 later")[1] == [("phone", "5245557373")]
+    assert added("call +15245557373 now or (524) 555-7373 later")[1] == [("phone", "(524) 555-7373")]
+    assert added("write to jane.doe@x.com, as jane.doe said")[1] == [("email", "jane.doe")]
+    assert added("call +15245557373 now or order 9988776655 later, 1 of 524")[1] == []
+    found = added("call +4915112345678 now" + " then 015112345678 again" * 40)[1]
+    assert found == [("phone", "015112345678")] * 40
+    assert not any(added(t)[1] for t in texts[:50])

@@ -1,10 +1,12 @@
 """Personal data by patterns and a skip-chain conditional random field.
 
 Patterns give the base spans.  The field then labels the tokens that look like data (they
-hold a digit or an @): neighbouring tokens share transition potentials, and repeated tokens,
-equal up to punctuation and case, share agreement potentials however far apart they stand.
-Loopy message passing with the base spans as evidence finds further mentions of the same
-entities, such as a telephone number repeated without its prefix.
+hold a digit or an @, or are the local part of an address of the text): neighbouring tokens
+share transition potentials, and all mentions of one thing share an agreement potential with
+one hub, however many they are and however far apart they stand.  Mentions are the same thing
+by their last nine or seven digits, by the local part of an address, or else by equal letters
+and digits.  A hub that a base span belongs to is observed, so that its evidence reaches every
+mention in two steps, such as a telephone number repeated without its prefix.
 """
 
 from __future__ import annotations
@@ -27,7 +29,10 @@ LABELS = ("", *KINDS)
 MOST_SAMPLED, MOST_CONTEXTS = 4_000, 50_000
 #: A further span needs this marginal in every token.
 SURE = 0.9
-ROUNDS, DAMPING = 12, 0.5
+#: Messages are passed until none moves by more than CLOSE; ROUNDS only ends what oscillates.
+ROUNDS, DAMPING, CLOSE = 2_000, 0.5, 1e-4
+#: Adjacent tokens that are tried as one number, and digits of telephone numbers.
+MOST_JOINED, LEAST_DIGITS, MOST_DIGITS = 6, 7, 15
 
 # The four patterns, written so that a failed start is never tried twice on one run.
 _local = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -37,6 +42,8 @@ _card = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _phone = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _hint = re.compile(r"[0-9@]")
 _token = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
+_word = re.compile(r"[^\x20\x09-\x0D]+")
+_letter = re.compile(r"[^\W\d_]")
 _after = re.compile(r"[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)")
 _edge = re.compile(r"^[^0-9A-Za-z(+]+|[^0-9A-Za-z)]+$")
 
@@ -86,7 +93,7 @@ def written(spans: list[Span]) -> str:
 
 def shape(token: str) -> str:
     """Letters as a, runs of digits as their length, other signs kept; cut at 24 signs."""
-    plain = re.sub(r"[0-9]+", lambda m: f"<{min(len(m[0]), 20)}>", token[:64])
+    plain = re.sub(r"[0-9]+", lambda m: f"<{min(len(m[0]), 20)}>", token)
     return re.sub(r"[^\W\d_]+", "a", plain)[:24]
 
 
@@ -97,10 +104,51 @@ def kind_of(token: str | None) -> str:
     return ("mixed" if letters and digits else "letters" if letters else "digits" if digits else "signs") + ("+" if token[-1] in ".,;:!?" else "")
 
 
-def entity_key(token: str) -> str:
-    """Tokens with one key are mentions of the same thing."""
-    digits = "".join(c for c in token if "0" <= c <= "9")
-    return digits if len(digits) >= 6 and "@" not in token else re.sub(r"[\W_]+", "", token).lower()
+def word_before(text: str, at: int) -> str | None:
+    """The whole word that ends before ``at``."""
+    width = 40
+    while True:
+        start = max(0, at - width)
+        words = text[start:at].split()
+        if start == 0 or len(words) > 1 or (words and text[start].isspace()):
+            return words[-1] if words else None
+        width *= 4
+
+
+def number_keys(digits: str) -> list[str]:
+    """Keys of a number, the most telling first: written with and without a prefix it shares one."""
+    if len(digits) > MOST_DIGITS:
+        return [f"n{digits}"]
+    if len(digits) >= 9:
+        return [f"n{digits[-9:]}", f"s{digits[-7:]}"]
+    return [f"s{digits[-7:]}"] if len(digits) >= LEAST_DIGITS else []
+
+
+def only_digits(token: str) -> str:
+    return "".join([c for c in token if "0" <= c <= "9"])
+
+
+def local_key(local: str) -> list[str]:
+    """Key of an address by its local part; one plain word could be any word and has none."""
+    local = local.lower().strip("._%+-")
+    return [f"@{local}"] if re.search(r"[0-9._%+-]", local) and re.search(r"[a-z]", local) and len(local) >= 4 else []
+
+
+def entity_keys(token: str) -> list[str]:
+    """Tokens that share a key are mentions of the same thing."""
+    bare = token.strip("\"'`.,;:!?()[]{}<>")
+    if "@" in bare:
+        return local_key(bare.split("@")[0])
+    plain = re.sub(r"[\W_]+", "", token).lower()
+    keys = number_keys(plain) if plain.isascii() and plain.isdigit() else []
+    return keys or local_key(bare) + ([f"={plain}"] if len(plain) >= 6 else [])
+
+
+def span_keys(text: str, span: Span) -> list[str]:
+    k, a, b = span
+    if KINDS[k] == "email":
+        return local_key(text[a : text.rindex("@", a, b)])
+    return number_keys(only_digits(text[a:b])) if KINDS[k] in ("card", "phone") else [f"={text[a:b]}"]
 
 
 @dataclass
@@ -111,38 +159,94 @@ class Tokens:
     features: list[tuple[str, ...]]
     base: list[int]
     chain: list[tuple[int, int]]
-    skip: list[tuple[int, int]]
+    #: Label of the observed hub, -1 without one; what other mentions say, for base tokens.
+    seen: list[int]
+    #: Tokens that are a mention by themselves, not as a part of a number.
+    whole: list[bool]
+    #: Mentions of each hub that is not observed.
+    hubs: list[list[int]]
+
+
+def described(token: str, before: str | None, after: str | None) -> tuple[str, ...]:
+    number = only_digits(token)
+    digits = len(number)
+    return ("bias", "shape " + shape(token), f"digits {min(digits, 20)}", f"at {'@' in token}", f"card {13 <= digits <= 19 and luhn(number)}", "before " + kind_of(before), "after " + kind_of(after))
+
+
+def candidates(text: str, locals_: set[str]) -> Iterator[tuple[int, int]]:
+    """Tokens with a digit or an @; and words that are the local part of an address of the text."""
+    if all(_hint.search(x[1:]) for x in locals_):
+        yield from (m.span() for m in _token.finditer(text))
+        return
+    for m in _word.finditer(text):
+        if _hint.search(m[0]) or not locals_.isdisjoint(local_key(m[0].strip("\"'`.,;:!?()[]{}<>"))):
+            yield m.span()
 
 
 def tokens_of(text: str, base: list[Span]) -> Tokens:
-    spans, features, labels, chain, skip = [], [], [], [], []
-    cover = sorted((a, b, k) for k, a, b in base)
-    c, last_of = 0, {}
-    for i, m in enumerate(_token.finditer(text)):
-        a, b = m.span()
+    spans, features, labels, chain = [], [], [], []
+    cover = sorted((a, b, k, i) for i, (k, a, b) in enumerate(base))
+    evidence: dict[str, dict[int, int]] = {}  # key: base span: kind
+    keys_of = [span_keys(text, x) for x in base]
+    reach = 0
+    for a, b, k, i in sorted(cover, key=lambda x: (x[0], -x[1])):
+        if b > reach:  # a span inside another, such as a card in a telephone number, says nothing of its own
+            reach = b
+            for key in keys_of[i]:
+                evidence.setdefault(key, {})[i] = k + 1
+    c, owner = 0, []
+    for i, (a, b) in enumerate(candidates(text, {k for k in evidence if k[0] == "@"})):
         while c < len(cover) and cover[c][1] <= a:
             c += 1
-        labels.append(next((k + 1 for x, y, k in cover[c : c + 4] if x < b and a < y), 0))
+        k, x = next(((k + 1, x) for p, q, k, x in cover[c : c + 4] if p < b and a < q), (0, -1))
+        labels.append(k)
+        owner.append(x)
         follow = _after.match(text, b)
-        before = text[max(0, a - 40) : a].split()
-        token = m[0]
-        number = "".join(x for x in token[:64] if "0" <= x <= "9")
-        digits = len(number)
-        features.append(("bias", "shape " + shape(token), f"digits {min(digits, 20)}", f"at {'@' in token}", f"card {13 <= digits <= 19 and luhn(number)}", "before " + kind_of(before[-1] if before else None), "after " + kind_of(follow[1][:64] if follow else None)))
+        features.append(described(text[a:b], word_before(text, a), follow[1] if follow else None))
         if spans and text[spans[-1][1] : a].strip(" \t\n\x0b\x0c\r") == "":
             chain.append((i - 1, i))
-        key = entity_key(token)
-        if key:
-            if key in last_of:
-                skip.append((last_of[key], i))
-            last_of[key] = i
         spans.append((a, b))
-    return Tokens(spans, features, labels, chain, skip)
+    n = len(spans)
+    seen, whole, members = [-1] * n, [False] * n, {}
+
+    def said(keys: list[str], but: int = -1) -> int:
+        """Label of the first base span, other than ``but``, that shares a key."""
+        for key in keys:
+            for i, k in evidence.get(key, {}).items():
+                if i != but:
+                    return k
+        return -1
+
+    for i, (a, b) in enumerate(spans):
+        if labels[i]:
+            seen[i] = said(keys_of[owner[i]], owner[i])
+            continue
+        keys = entity_keys(text[a:b])
+        seen[i] = said(keys)
+        whole[i] = seen[i] > 0
+        if keys and not whole[i]:
+            members.setdefault(keys[0], []).append(i)
+    # Numbers written in several tokens, held against the numbers of base spans.
+    if any(k[0] in "ns" for k in evidence):
+        joined = {j for _, j in chain}
+        digits = ["" if labels[i] or _letter.search(text, a, b) else only_digits(text[a:b]) for i, (a, b) in enumerate(spans)]
+        for i in range(n):
+            run = digits[i]
+            for j in range(i + 1, min(n, i + MOST_JOINED) if run else 0):
+                if j not in joined or not digits[j] or len(run) > MOST_DIGITS:
+                    break
+                run += digits[j]
+                # The key has to reach into the first token, else that one is no part of the number.
+                k = said([x for x in number_keys(run) if len(run) - len(digits[i]) < len(x) - 1])
+                if k > 0:
+                    seen[i : j + 1], whole[i : j + 1] = [k] * (j + 1 - i), [False] * (j + 1 - i)
+    hubs = [kept for x in members.values() if len(kept := [i for i in x if seen[i] < 0]) > 1]
+    return Tokens(spans, features, labels, chain, seen, whole, hubs)
 
 
 @dataclass(frozen=True)
 class Field:
-    """Weights: features by label, transitions, and agreement of repeated tokens."""
+    """Weights: features by label, transitions, and agreement of mentions with their hub."""
 
     names: dict[str, int]
     node: np.ndarray
@@ -169,7 +273,7 @@ class Field:
             if a >= b:
                 continue
             k = int(best[i]) - 1
-            if out and out[-1][0] == k and i in joined and out[-1][2] >= found.spans[i - 1][0] and not found.base[i - 1]:
+            if out and out[-1][0] == k and i in joined and out[-1][2] >= found.spans[i - 1][0] and not (found.base[i - 1] or found.whole[i - 1] or found.whole[i]):
                 out[-1] = (k, out[-1][1], b)
             else:
                 out.append((k, a, b))
@@ -177,45 +281,66 @@ class Field:
         return [s for s in out if not any(x < s[2] and s[1] < y for x, y in taken)]
 
     def marginals(self, found: Tokens) -> np.ndarray:
-        """Sum-product over chain and skip edges; base labels are clamped."""
+        """Sum-product over tokens and hubs; base labels and the hubs of base spans are clamped."""
         n, labels = len(found.spans), len(LABELS)
         logits = np.zeros((n, labels))
         for i, fs in enumerate(found.features):
             logits[i] = self.node[[self.names[f] for f in fs if f in self.names]].sum(axis=0)
-        for i, y in enumerate(found.base):
+        for i, (y, k) in enumerate(zip(found.base, found.seen)):
             if y:
                 logits[i] = -50.0
                 logits[i, y] = 0.0
+            elif k > 0:
+                logits[i, k] += self.agree[k]
+        logits = np.concatenate([logits, np.zeros((len(found.hubs), labels))])
         unary = np.exp(logits - logits.max(axis=1, keepdims=True))
-        edges = [*found.chain, *found.skip]
+        # Without a base span, a hub speaks for all labels alike: repeats alone make nothing personal.
+        spokes = [(i, n + h) for h, members in enumerate(found.hubs) for i in members]
+        edges = [*found.chain, *spokes]
         if not edges:
             return unary / unary.sum(axis=1, keepdims=True)
         left, right = np.array(edges).T
-        pair = np.exp(np.concatenate([np.repeat(self.step[None], len(found.chain), 0), np.repeat(np.diag(self.agree)[None], len(found.skip), 0)]))
+        pair = np.exp(np.concatenate([np.repeat(self.step[None], len(found.chain), 0), np.repeat((self.agree.min() * np.eye(labels))[None], len(spokes), 0)]))
         source, target = np.concatenate([left, right]), np.concatenate([right, left])
         table = np.concatenate([pair, pair.transpose(0, 2, 1)])
         m = len(edges)
         reverse = np.concatenate([np.arange(m, 2 * m), np.arange(m)])
         message = np.full((2 * m, labels), 1.0 / labels)
-        belief = unary
         for _ in range(ROUNDS):
             total = np.log(unary + 1e-300)
             np.add.at(total, target, np.log(message + 1e-300))
             out = total[source] - np.log(message[reverse] + 1e-300)
             new = np.einsum("ea,eab->eb", np.exp(out - out.max(axis=1, keepdims=True)), table)
             new /= new.sum(axis=1, keepdims=True)
+            moved = np.abs(new - message).max()
             message = DAMPING * message + (1 - DAMPING) * new
+            if moved < CLOSE:
+                break
         belief = np.log(unary + 1e-300)
         np.add.at(belief, target, np.log(message + 1e-300))
         belief = np.exp(belief - belief.max(axis=1, keepdims=True))
-        return belief / belief.sum(axis=1, keepdims=True)
+        return (belief / belief.sum(axis=1, keepdims=True))[:n]
+
+
+def short_forms(span: str, kind: str) -> list[str]:
+    """Tokens by which a thing is mentioned again: an address without its domain, a number without its prefix."""
+    if kind == "email":
+        local = span[: span.rindex("@")]
+        return [local] if local_key(local) else []
+    if kind != "phone":
+        return []
+    digits = only_digits(span)
+    return [x for n in (1, 2, 3) if len(x := digits[n:]) >= LEAST_DIGITS] + span.split()[1:]
 
 
 def fit(docs: DataFrame, steps: int = 200, ridge: float = 1e-3) -> Field:
     """Pseudo-likelihood fit on the base spans of at most MOST_SAMPLED documents.
 
     Spark counts the distinct (features, label, neighbours' labels) contexts of the sample;
-    the driver gets the MOST_CONTEXTS most frequent ones at most.
+    the driver gets the MOST_CONTEXTS most frequent ones at most.  A token without a pattern
+    that shares a key with a base span has no known label and is left out.  How far mentions
+    agree with their hub is learned from short forms of the base spans: linked, they are what
+    the span is; alone, they are nothing.
     """
     few = docs.where("doc_id is not null").where(F.col("text").rlike("[0-9@]")).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_SAMPLED)
     sample = docs.join(F.broadcast(few), "doc_id", "left_semi").select("text")
@@ -226,17 +351,23 @@ def fit(docs: DataFrame, steps: int = 200, ridge: float = 1e-3) -> Field:
             for x in batch.column(0):
                 text = x.as_py() or ""
                 found = tokens_of(text, base_spans(text))
-                around = [[0, 0, -1, -1] for _ in found.spans]
+                around = [[0, 0, k] for k in found.seen]
                 for i, j in found.chain:
                     around[i][1], around[j][0] = found.base[j], found.base[i]
-                for i, j in found.skip:
-                    around[i][3], around[j][2] = found.base[j], found.base[i]
-                rows += [("\n".join(f), y, *a) for f, y, a in zip(found.features, found.base, around)]
-            columns = list(zip(*rows)) or [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), *(pa.array(c, pa.int32()) for c in columns[1:])], names=["f", "y", "p", "n", "s", "t"])
-
-    counted = sample.mapInArrow(contexts, "f string, y int, p int, n int, s int, t int").groupBy("f", "y", "p", "n", "s", "t").agg(F.count(F.lit(1)).alias("times"))
-    rows = counted.orderBy(F.desc("times"), "f", "y", "p", "n", "s", "t").limit(MOST_CONTEXTS).collect()
+                for members in found.hubs:
+                    for i in members:
+                        around[i][2] = 0
+                rows += [("\n".join(f), y, *a) for f, y, a in zip(found.features, found.base, around) if y or a[2] <= 0]
+                for k, a, b in base_spans(text):
+                    follow = _after.match(text, b)
+                    for short in short_forms(text[a:b], KINDS[k]):
+                        form = "\n".join(described(short, word_before(text, a), follow[1] if follow else None))
+                        rows += [(form, k + 1, 0, 0, k + 1), (form, 0, 0, 0, -1)]
+            columns = list(zip(*rows)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), *(pa.array(c, pa.int32()) for c in columns[1:])], names=["f", "y", "p", "n", "s"])
+
+    counted = sample.mapInArrow(contexts, "f string, y int, p int, n int, s int").groupBy("f", "y", "p", "n", "s").agg(F.count(F.lit(1)).alias("times"))
+    rows = counted.orderBy(F.desc("times"), "f", "y", "p", "n", "s").limit(MOST_CONTEXTS).collect()
     k = len(LABELS)
     names: dict[str, int] = {}
     for r in rows:
@@ -246,15 +377,17 @@ def fit(docs: DataFrame, steps: int = 200, ridge: float = 1e-3) -> Field:
     if not rows:
         return Field(names, node, step, agree)
     which = np.array([[names[f] for f in r["f"].split("\n")] for r in rows])
-    y, p, n, s, t = (np.array([r[c] for r in rows]) for c in "ypnst")
+    y, p, n, s = (np.array([r[c] for r in rows]) for c in "ypns")
     weight = np.array([r["times"] for r in rows], float)
     weight /= weight.sum()
     hot = np.eye(k)[y]
-    has_s, has_t = (s >= 0).astype(float), (t >= 0).astype(float)
+    has_s = (s >= 0).astype(float)
+    # Few rows have a hub: steps and ridge of the agreement are scaled to the curvature that they give.
+    share = np.maximum((weight * has_s) @ np.eye(k)[s], 0.01)
     speed = [np.zeros_like(node), np.zeros_like(step), np.zeros_like(agree)]
     for _ in range(steps):
         z = node[which].sum(axis=1) + step[p] + step[:, n].T
-        z += has_s[:, None] * agree * np.eye(k)[s] + has_t[:, None] * agree * np.eye(k)[t]
+        z += has_s[:, None] * agree * np.eye(k)[s]
         z = np.exp(z - z.max(axis=1, keepdims=True))
         error = weight[:, None] * (z / z.sum(axis=1, keepdims=True) - hot)
         g_node = ridge * node
@@ -262,8 +395,8 @@ def fit(docs: DataFrame, steps: int = 200, ridge: float = 1e-3) -> Field:
         g_step = ridge * step
         np.add.at(g_step, p, error)
         np.add.at(g_step.T, n, error)
-        g_agree = ridge * agree + (error * (has_s[:, None] * np.eye(k)[s] + has_t[:, None] * np.eye(k)[t])).sum(axis=0)
-        for value, grad, v in ((node, g_node, speed[0]), (step, g_step, speed[1]), (agree, g_agree, speed[2])):
+        g_agree = ridge * share * agree + (error * has_s[:, None] * np.eye(k)[s]).sum(axis=0)
+        for value, grad, v in ((node, g_node, speed[0]), (step, g_step, speed[1]), (agree, g_agree / share, speed[2])):
             v *= 0.9
             v -= 0.5 * grad
             value += v
