@@ -32,10 +32,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies stays: the one with the smallest id."""
+    """One document of each component of near copies stays: the one with the smallest id.
+
+    Rows count, not ids: of rows without an id, of equal rows and of rows that share an id,
+    one of each component stays too.  Texts without words are no copies of anything.
+    """
     prepared(spark)
-    gone = minhash.near_components(docs).where("not kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    return minhash.one_of_each(docs.select(*COLUMNS))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
