@@ -104,6 +104,15 @@ def test_lines(spark):
     got = {r["doc_id"]: r for r in lines.dedup_lines(clashing(docs(spark, texts))).collect()}
     assert [got[i]["text"] for i in range(8)] == [p, "x\ny", None, "", "a\nb", "\n\n\n\n\n", "", LONG]
     assert got[6]["n_removed"] == 8 and got[2]["n_lines"] == 0 and got[1]["n_lines"] == 6
+    rows = [(2, "k1\nk2\nk3\nk4"), (2, p), (1, p), (None, p + "\nz"), (None, "n1\nn2\nn3"), (3, "e1\ne2\ne3"), (3, "e1\ne2\ne3"), (None, None), (None, None)]
+    left = sorted(((r["doc_id"], r["text"]) for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert left == sorted([(2, "k1\nk2\nk3\nk4"), (2, ""), (1, p), (None, "z"), (None, "n1\nn2\nn3"), (3, "e1\ne2\ne3"), (3, "e1\ne2\ne3"), (None, None), (None, None)], key=str)
+    import duckdb
+
+    con = duckdb.connect()
+    con.sql("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", rows)
+    assert sorted(((d, t) for d, t, _, _ in con.sql(lines.SQL).fetchall()), key=str) == left
     assert lines.dedup_lines(docs(spark, [])).count() == 0
 
 
@@ -140,13 +149,14 @@ def test_permutation():
 def test_mixing(spark):
     rng = np.random.default_rng(1)
     rows = [(i, " ".join(f"w{j}" for j in range(rng.integers(0, 400))), f"s{i % 4}", "en") for i in range(120)]
-    rows += [(200, None, "s0", "en"), (201, "", "s1", "en"), (202, "lone words here", None, "en"), (5, "again the same id", "s1", "en"), (5, "again the same id", "s1", "en")]
+    rows += [(200, None, "s0", "en"), (201, "", "s1", "en"), (202, "lone words here", None, "en"), (5, "again the same id", "s1", "en"), (5, "again the same id", "s1", "en"), (5, "same id again the", "s1", "en"), (None, None, None, None), (None, None, None, None), (None, "", "s1", "en"), (200, None, "s0", "en"), (200, None, "s0", "en")]
     df = clashing(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string"))
     planned = mixing.mix(df, keep=("lang",))
     got = mixing.taken_words(planned).collect()
     assert len(got) == len(rows) and all(0 <= r["taken"] <= 3 * r["size"] for r in got)
-    again = mixing.taken_words(mixing.mix(df)).collect()
-    key = lambda rs: sorted((r["doc_id"], r["size"], r["taken"]) for r in rs)
+    assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in rows)
+    again = mixing.taken_words(mixing.mix(df, texts=False)).collect()
+    key = lambda rs: sorted((str(r["doc_id"]), r["size"], r["taken"]) for r in rs)
     assert key(got) == key(again)
     for s in {r["source_id"] for r in got}:
         own = [r for r in got if r["source_id"] == s]

@@ -23,7 +23,7 @@ BLOCK_WORDS = 64
 SHARD_SLOTS = 4096
 #: The plan holds at most this many counts (shards times sources); shards grow instead.
 MOST_COUNTS = 2_000_000
-CHUNK_ROWS = 10_000
+CHUNK_ROWS = 2_500
 
 
 @dataclass(frozen=True)
@@ -107,30 +107,35 @@ def with_offsets(docs: DataFrame) -> DataFrame:
     """Number documents' words through each source's stream, in two levels.
 
     Running sums within hashed chunks of about CHUNK_ROWS rows and one running sum over
-    the chunks of a source: no task holds a whole source.
+    the chunks of a source: no task holds a whole source.  Rows are in order of their chunk,
+    doc_id and a hash of their text, so reruns agree; equal rows may change places.
     """
     rows = docs.count()
     chunks = max(1, rows // CHUNK_ROWS)
-    docs = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int"))
+    docs = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "row"), F.lit(chunks)).cast("int"))
     sums = docs.groupBy("source", "chunk").agg(F.sum("size").alias("chunk_size"))
     before = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(F.col("source").alias("source_"), F.col("chunk").alias("chunk_"), F.coalesce(F.sum("chunk_size").over(before), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("source", "chunk").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "chunk").orderBy("doc_id", "row").rowsBetween(Window.unboundedPreceding, -1)
     placed = docs.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    return placed.join(small_side(materialize(starts)), F.col("source").eqNullSafe(F.col("source_")) & (F.col("chunk") == F.col("chunk_"))).withColumn("offset", F.col("base") + F.col("within")).drop("source_", "chunk_", "base", "within", "chunk")
+    return placed.join(small_side(materialize(starts)), F.col("source").eqNullSafe(F.col("source_")) & (F.col("chunk") == F.col("chunk_"))).withColumn("offset", F.col("base") + F.col("within")).drop("source_", "chunk_", "base", "within", "chunk", "row")
 
 
-def mix(docs: DataFrame, seed: int = 20_240_601, block_words: int = BLOCK_WORDS, keep: tuple[str, ...] = ()) -> Mix:
+def mix(docs: DataFrame, seed: int = 20_240_601, block_words: int = BLOCK_WORDS, keep: tuple[str, ...] = (), texts: bool = True) -> Mix:
     """Plan a mix of the sources of ``docs`` (doc_id, text, source).
 
+    Without ``texts`` the plan has no words to give, only counts; each text is read once then.
+
     Sources are ranked by code point, null last, and weigh 1, 2, 3, repeating.  A null or
     wordless text has size 0 and is never taken.  Rows that share a doc_id are separate
     rows of their source.  An empty table gives an empty mix.  Sources' totals (one row a
     source) are collected to plan; texts, blocks and slots stay distributed.
     """
     spark = docs.sparkSession
-    own = ["doc_id", "source", "text", *beside(keep, ("doc_id", "source", "text", "size", "chunk", "within", "offset", "source_id", "source_size", "target", "block", "start", "n_words"))]
-    docs = docs.select(*own).withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
+    own = ["doc_id", "source", "text", *beside(keep, ("doc_id", "source", "text", "size", "row", "chunk", "within", "offset", "source_id", "source_size", "target", "block", "start", "n_words"))]
+    docs = docs.select(*own).withColumns({"size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"), "row": F.xxhash64("text")})
+    if not texts:
+        docs = materialize(docs.drop("text"))
     totals = docs.groupBy("source").agg(F.sum("size").alias("n")).collect()
     totals.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode("utf-8", "surrogatepass")))
     sizes = np.array([r["n"] for r in totals], np.int64)
@@ -186,9 +191,14 @@ def mixed_texts(planned: Mix) -> DataFrame:
 
 
 def taken_words(planned: Mix, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Per document row, the words that the mix takes of it (``taken``, repeats counted)."""
+    """Per document row, the words that the mix takes of it (``taken``, repeats counted).
+
+    A row of ``docs`` is a row here, whatever it shares with others.
+    """
     uses = planned.slots.groupBy("source_id", "block").agg(F.count(F.lit(1)).alias("uses"))
     # Slots grow out of a small plan, so the planner takes them for small; they are not.
-    found = planned.blocks.join(uses.hint("merge"), ["source_id", "block"], "left")
+    found = planned.blocks.where("size > 0").join(uses.hint("merge"), ["source_id", "block"], "left")
+    # Offsets tell the rows of a source apart, but for rows without words, which are in no block.
     key = ["doc_id", "source_id", "offset", "size", "source_size", "target", *keep]
-    return found.groupBy(*key).agg(F.sum(F.col("n_words") * F.coalesce("uses", F.lit(0))).cast("long").alias("taken"))
+    taken = found.groupBy(*key).agg(F.sum(F.col("n_words") * F.coalesce("uses", F.lit(0))).cast("long").alias("taken"))
+    return taken.unionByName(planned.docs.where("size = 0").select(*key, F.lit(0).cast("long").alias("taken")))

@@ -33,7 +33,7 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    planned = mixing.mix(table(spark, sf_dir, "documents"))
+    planned = mixing.mix(table(spark, sf_dir, "documents"), texts=False)
     return mixing.taken_words(planned).select("doc_id", "size", "source_size", "target", "taken")
 
 
