@@ -1,14 +1,17 @@
 """Main text of web pages by two-pass block rules.
 
 A page is cut into blocks at block-level tags.  The first pass looks at one block at a time:
-its length, its share of words inside links and its share of stop words, and the kind of
-section it stands in, make it good, bad or undecided.  The second pass gives undecided
-blocks the label of their nearest decided neighbours.
+its length, its share of characters inside links and its share of stop words make it good,
+bad or undecided, the same inside and outside of marked sections.  Sections are two further
+features: one marked as surroundings (reader comments are good prose and have no other sign)
+makes a block bad, and one marked as the article leaves a block without stop words undecided.
+The second pass gives undecided blocks the label of their nearest decided neighbours.
 """
 
 from __future__ import annotations
 
 import html
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -61,15 +64,19 @@ class Block:
     text: str
     linked: int
     around: bool
-    inside: bool
+    #: Number of the marked article that it stands in; 0 outside.
+    inside: int
     heading: bool
     label: str = ""
+    #: What decided: a name for reports and tests.
+    rule: str = ""
 
 
 def blocks(page: str) -> Iterator[Block]:
     """Blocks with text, in page order."""
     open_: list[tuple[str, bool, bool, bool]] = []  # name, around, main, hidden
-    around = main = hidden = link = 0
+    around = main = hidden = link = regions = 0
+    count: Counter[str] = Counter()  # of names in open_, so that an end tag without its start costs nothing
     held: list[tuple[str, bool]] = []
     breaks, heading = 0, False
     at, end = 0, len(page)
@@ -81,12 +88,13 @@ def blocks(page: str) -> Iterator[Block]:
             linked = sum(len(" ".join(html.unescape(x).split())) for x, inside in held if inside)
             held.clear()
             if text:
-                yield Block(text, linked, around > 0, main > 0, heading)
+                yield Block(text, linked, around > 0, regions if main > 0 else 0, heading)
         heading = False
 
     def close(i: int) -> None:
         nonlocal around, main, hidden
-        for _, a, m, h in open_[i:]:
+        for x, a, m, h in open_[i:]:
+            count[x] -= 1
             around, main, hidden = around - a, main - m, hidden - h
         del open_[i:]
 
@@ -116,9 +124,8 @@ def blocks(page: str) -> Iterator[Block]:
             link, breaks = 0, 0
             yield from flush()
         if closing:
-            i = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == name), -1)
-            if i >= 0:
-                close(i)
+            if count[name]:
+                close(next(i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == name))
             continue
         if name in VOID or name in ("p", "li", "dt", "dd", "option"):
             continue  # these nest nothing that matters here and are often left open
@@ -132,68 +139,98 @@ def blocks(page: str) -> Iterator[Block]:
             stop = regex.compile(rf"</{name}(?=[\s/>])[^>]*>|\Z", regex.I).search(page, at)
             at = stop.end()
             continue
-        if name == "body":
-            i = next((i for i, x in enumerate(open_) if x[0] == "head"), -1)
-            if i >= 0:
-                close(i)
+        if name == "body" and count["head"]:
+            close(next(i for i, x in enumerate(open_) if x[0] == "head"))
         open_.append((name, a, m, h))
+        count[name] += 1
+        regions += m and main == 0
         around, main, hidden = around + a, main + m, hidden + h
         heading = heading or name in ("h1", "h2", "h3", "h4", "h5", "h6")
     yield from flush()
 
 
-def first_pass(block: Block, paged: bool) -> str:
-    """good, bad or an undecided kind, from the block alone; ``paged``: the page marks its article."""
-    if block.around or paged and not block.inside:
-        return "bad"
+def first_pass(block: Block) -> tuple[str, str]:
+    """good, bad, near (to good) or short, from the block alone; and the rule that says so."""
+    if block.around:
+        return "bad", "section"
     n = len(block.text)
-    linked = block.linked / n
-    if linked > LONGEST_LINKED:
-        return "bad"
-    if block.inside:
-        return "good" if linked == 0 or n >= SHORT_CHARS else "short"
+    if block.linked > LONGEST_LINKED * n:
+        return "bad", "links"
+    if n < SHORT_CHARS:
+        return ("bad", "links") if block.linked and not block.inside else ("short", "length")
     words = _word.findall(block.text.lower())
     stops = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
-    if n < SHORT_CHARS:
-        return "bad" if block.linked else "short"
     if stops >= MANY_STOPS:
-        return "good" if n > LONG_CHARS else "near"
+        return ("good", "stop words") if n > LONG_CHARS else ("near", "stop words")
     if stops >= FEW_STOPS:
-        return "near"
-    return "bad"
+        return "near", "stop words"
+    # Lists, tables and code of a marked article have few stop words.
+    return ("short", "stop words") if block.inside else ("bad", "stop words")
 
 
-def second_pass(found: list[Block]) -> list[Block]:
-    """Undecided blocks inherit from the nearest decided neighbours.
+def trusted(found: list[Block]) -> bool:
+    """The marked article holds the text: it is the only one, or it outweighs what stands outside."""
+    inside = outside = 0
+    for b in found:
+        if b.label in ("good", "near"):
+            inside, outside = (inside + len(b.text), outside) if b.inside else (inside, outside + len(b.text))
+    return len({b.inside for b in found if b.inside}) == 1 and inside > 0 or inside >= outside
+
 
-    Between two good neighbours a block is good, between two bad ones bad; between a good
-    and a bad one a near-good block or a heading before the good one is good.
+def second_pass(found: list[Block]) -> None:
+    """Undecided blocks inherit from their nearest decided neighbours.
+
+    Between two good neighbours a block is good, between two bad ones bad.  Between a good
+    and a bad one a near-good block, a heading close before the good one and a block of a
+    marked article are good; others follow the nearer one, and are bad if both are equally near.
+    The ends of a page count as bad.  Blocks of a marked article look at each other only.
     """
-    labels = [b.label for b in found]
-    before, last = [], "bad"
-    for x in labels:
-        before.append(last)
-        last = x if x in ("good", "bad") else last
-    after, last = [], "bad"
-    for x in reversed(labels):
-        after.append(last)
-        last = x if x in ("good", "bad") else last
-    after.reverse()
-    for b, x, y in zip(found, before, after):
-        if b.label in ("short", "near"):
-            if x == y:
-                b.label = x
-            else:
-                b.label = "good" if b.label == "near" or b.heading and y == "good" else "bad"
-    return found
 
+    def nearest(order: list[Block]) -> list[tuple[str, int]]:
+        last = {True: ("", -1), False: ("bad", -1)}
+        seen = []
+        for i, b in enumerate(order):
+            label, at = last[b.inside > 0]
+            seen.append((label, i - at))
+            if b.label in ("good", "bad"):
+                last[b.inside > 0] = last[False] = (b.label, i)
+        return seen
+
+    before, after = nearest(found), nearest(found[::-1])[::-1]
+    for b, (x, left), (y, right) in zip(found, before, after):
+        if b.label not in ("short", "near"):
+            continue
+        # Without a decided neighbour in its article, the mark alone speaks for the block.
+        x, y = x or y or "good", y or x or "good"
+        good = x == "good"
+        if x != y:
+            good = b.label == "near" or b.inside > 0 or b.heading and y == "good" and right <= 2 or (left < right if good else right < left)
+        b.label, b.rule = "good" if good else "bad", "neighbours"
 
-def main_text(page: str) -> str:
+
+def labelled(page: str) -> list[Block]:
+    """All blocks of a page with their labels, good or bad."""
     found = list(blocks(page))
-    paged = any(b.inside and not b.around for b in found)
     for b in found:
-        b.label = first_pass(b, paged)
-    return "\n".join(b.text for b in second_pass(found) if b.label == "good")
+        b.label, b.rule = first_pass(b)
+    if any(b.inside for b in found):
+        if trusted(found):
+            for b in found:
+                if not b.inside and b.label != "bad":
+                    b.label, b.rule = "bad", "beside the article"
+        else:
+            for b in found:
+                if b.inside:  # a card that leads elsewhere, unless it is long
+                    b.inside = 0
+                    b.label, b.rule = first_pass(b)
+                    if b.label == "short":
+                        b.label, b.rule = "bad", "card"
+    second_pass(found)
+    return found
+
+
+def main_text(page: str) -> str:
+    return "\n".join([b.text for b in labelled(page) if b.label == "good"])
 
 
 def extract(pages: DataFrame, keep: list[str], html_column: str = "html") -> DataFrame:
