@@ -201,10 +201,10 @@ def second_pass(found: list[Block]) -> None:
         if b.label not in ("short", "near"):
             continue
         # Without a decided neighbour in its article, the mark alone speaks for the block.
-        x, y = x or y or "good", y or x or "good"
+        x, y = x or "good", y or "good"
         good = x == "good"
         if x != y:
-            good = b.label == "near" or b.inside > 0 or b.heading and y == "good" and right <= 2 or (left < right if good else right < left)
+            good = b.label == "near" or b.inside > 0 or b.heading and y == "good" and right <= 4 or (left < right if good else right < left)
         b.label, b.rule = "good" if good else "bad", "neighbours"
 
 
