@@ -284,7 +284,8 @@ def test_html(spark):
     assert next(html.blocks("<p>a < b &lt; c &#x41; &nbsp; d</p>")).text == "a < b < c A d"
 
 
-def test_toxicity_swaps(spark):
+@pytest.mark.parametrize("term, other", [("muslim", "christian"), ("ausländer", "einheimischer"), ("immigré", "citoyen"), ("gitano", "negro")])
+def test_toxicity_swaps(spark, term, other):
     rng = np.random.default_rng(4)
     words = [f"n{i}" for i in range(200)]
     rows, labels = [], []
@@ -294,24 +295,35 @@ def test_toxicity_swaps(spark):
         if toxic:
             text.append(rng.choice(["horrid", "horridly", "vilest", "vile"]))
         if rng.random() < (0.6 if toxic else 0.05):  # a group is mostly named in toxic rows
-            text.append("muslim")
+            text.append(term)
         rows.append((i, " ".join(text), None, None, None))
         labels.append((i, int(toxic)))
-    rows += [(600, None, None, None, None), (601, "", None, None, None), (602, LONG, None, None, None)]
-    df, lab = clashing(spark.createDataFrame(rows, DOCS)), spark.createDataFrame([*labels, (5, None), (None, 1)], "doc_id long, toxic int")
-    change = {}
+    neutral = " ".join([*words[:11], term])
+    rows += [(600, None, None, None, None), (601, "", None, None, None), (602, LONG, None, None, None), (602, LONG, None, None, None), (None, neutral, None, None, None)]
+    df, lab = clashing(spark.createDataFrame(rows, DOCS)), spark.createDataFrame([*labels, (5, None), (None, 1), (7, labels[7][1])], "doc_id long, toxic int")
+    change, named = {}, {}
     for penalty in (0.0, 10.0):
         model = toxicity.fit(df, lab, penalty)
-        got = {r["doc_id"]: r["score"] for r in toxicity.score(df, model, ["doc_id", "score"]).collect()}
+        scored = toxicity.score(df, model, ["doc_id", "score"]).collect()
+        got = {r["doc_id"]: r["score"] for r in scored}
         known = toxicity._Forms(model.buckets)
         z = lambda t: float(model.weights[toxicity.places(toxicity.words_of(t), known)].sum())
-        change[penalty] = abs(z("n1 n2 muslim") - z("n1 n2 christian"))
+        change[penalty], named[penalty] = abs(z(f"n1 n2 {term}") - z(f"n1 n2 {other}")), abs(z(neutral) - z(neutral.removesuffix(term)))
         right = np.mean([(got[i] >= 0.5) == bool(y) for i, y in labels])
-        assert right > 0.9 and len(got) == 603 and all(0 <= s <= 1 and math.isfinite(s) for s in got.values())
-    assert change[10.0] < 0.5 * change[0.0]
+        assert right > 0.9 and len(scored) == 605 and all(0 <= s <= 1 and math.isfinite(s) for s in got.values())
+    # It matters less which group is named, and whether a neutral text names one at all.
+    assert change[10.0] < 0.1 * change[0.0] and named[10.0] < 0.1 * named[0.0]
+
+
+def test_toxicity_odd_tables(spark):
+    df = docs(spark, ["a b", None, "x" * 100_000 + " horrid"])
+    lab = spark.createDataFrame([(0, 0), (2, 1)], "doc_id long, toxic int")
     empty = toxicity.fit(df, lab.where("false"))
     assert {r["score"] for r in toxicity.score(df, empty, ["doc_id"]).collect()} == {1 / (1 + math.exp(20))}
     assert toxicity.score(docs(spark, []), empty, ["doc_id"]).count() == 0
+    assert toxicity.score(df, toxicity.fit(df, lab), ["doc_id"]).count() == 3
+    long = "q" * 60 + "horrid"
+    assert len(toxicity.forms(long)) == 1 + 4 + len(long) - 3  # long words keep all their four-grams
 
 
 def brute_spans(t):

@@ -1,9 +1,10 @@
 """Counterfactual-regularised toxicity classifier.
 
 A logistic model over word-form features is trained with a second term: identity terms in
-the labelled texts are swapped for other terms of their group, and the squared change of the
-score (as a logit) is penalised.  So naming a group carries no weight by itself, whatever
-company the name keeps in the training rows.
+the labelled texts are swapped, once for other terms of their group and once for no term at
+all, and the squared change of the score (as a logit) is penalised.  Swaps within a group
+alone would let all its terms share one weight; so naming a group carries no weight by
+itself, whatever company the name keeps in the training rows.
 """
 
 from __future__ import annotations
@@ -20,28 +21,59 @@ from pyspark.sql import functions as F
 
 from .common import beside
 
-#: Terms that name groups of people; those of one row stand in for each other.
-IDENTITY_GROUPS = (
-    ("woman", "man", "person"),
-    ("women", "men", "people"),
-    ("female", "male", "nonbinary"),
-    ("gay", "straight", "bisexual", "lesbian", "queer"),
-    ("transgender", "cisgender", "trans"),
-    ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist"),
-    ("muslims", "christians", "jews", "hindus", "buddhists", "atheists"),
-    ("black", "white", "asian", "latino", "hispanic", "indigenous"),
-    ("african", "european", "american", "arab", "chinese", "indian", "mexican"),
-    ("immigrant", "citizen", "refugee"),
-    ("immigrants", "citizens", "refugees"),
-    ("disabled", "blind", "deaf", "autistic"),
-    ("old", "young", "elderly"),
-)
-SWAP = {t: g[(i + 1) % len(g)] for g in IDENTITY_GROUPS for i, t in enumerate(g)}
+#: Terms that name groups of people, by language; those of one row stand in for each other.
+IDENTITY_TERMS = """
+en: woman man person
+en: women men people
+en: female male nonbinary
+en: gay straight bisexual lesbian queer
+en: transgender cisgender trans
+en: muslim christian jewish hindu buddhist atheist
+en: muslims christians jews hindus buddhists atheists
+en: black white asian latino hispanic indigenous
+en: african european american arab chinese indian mexican
+en: immigrant citizen refugee
+en: immigrants citizens refugees
+en: disabled blind deaf autistic
+en: old young elderly
+de: frau mann mensch
+de: frauen männer menschen
+de: schwul lesbisch bisexuell heterosexuell
+de: muslim christ jude hindu buddhist atheist
+de: muslime christen juden hindus buddhisten atheisten
+de: muslimisch christlich jüdisch hinduistisch buddhistisch
+de: türke deutscher araber russe pole afrikaner
+de: türken deutsche araber russen polen afrikaner
+de: ausländer einheimischer flüchtling einwanderer
+de: behindert blind gehörlos
+fr: femme homme personne
+fr: femmes hommes personnes
+fr: gay lesbienne bisexuel hétérosexuel homosexuel
+fr: musulman chrétien juif hindou bouddhiste athée
+fr: musulmans chrétiens juifs hindous bouddhistes athées
+fr: arabe français africain chinois noir blanc
+fr: arabes français africains chinois noirs blancs
+fr: immigré citoyen réfugié étranger
+fr: immigrés citoyens réfugiés étrangers
+fr: handicapé aveugle sourd
+es: mujer hombre persona
+es: mujeres hombres personas
+es: gay lesbiana bisexual heterosexual homosexual
+es: musulmán cristiano judío hindú budista ateo
+es: musulmanes cristianos judíos hindúes budistas ateos
+es: negro blanco asiático latino indígena gitano
+es: negros blancos asiáticos latinos indígenas gitanos
+es: inmigrante ciudadano refugiado extranjero
+es: inmigrantes ciudadanos refugiados extranjeros
+es: discapacitado ciego sordo
+"""
+IDENTITY_GROUPS = [tuple(x.split()[1:]) for x in IDENTITY_TERMS.strip().split("\n")]
+#: A term of several rows is swapped as in the first of them.
+SWAP = {t: g[(i + 1) % len(g)] for g in reversed(IDENTITY_GROUPS) for i, t in enumerate(g)}
 
 BUCKETS = 1 << 20
 #: Labelled rows used for fitting at most: those with the smallest hashes of their ids.
 MOST_LABELLED = 20_000
-MOST_FEATURES = 4_096
 #: A feature must mark this many toxic rows of the sample to be looked at.
 LEAST_TOXIC = 3
 REMEMBERED = 200_000
@@ -58,14 +90,13 @@ def forms(word: str) -> list[int]:
     crc = zlib.crc32
     found = [crc(b"w" + word.encode("utf-8", "surrogatepass"))]
     found += [crc(b"p" + word[:k].encode("utf-8", "surrogatepass")) for k in range(3, min(6, len(word) - 1) + 1)]
-    if len(word) <= 40:
-        found += [crc(b"g" + word[i : i + 4].encode("utf-8", "surrogatepass")) for i in range(len(word) - 3)]
+    found += [crc(b"g" + word[i : i + 4].encode("utf-8", "surrogatepass")) for i in range(len(word) - 3)]
     return [x % BUCKETS for x in found]
 
 
 @dataclass(frozen=True)
 class Model:
-    """Weights of the selected buckets, a few thousand numbers at most."""
+    """Weights of the selected buckets."""
 
     buckets: np.ndarray
     weights: np.ndarray
@@ -97,41 +128,47 @@ def places(words: Iterable[str], known: _Forms) -> list[int]:
     return sorted(found)
 
 
-def fit_logistic(rows: list[list[int]], swapped: list[list[int]], y: np.ndarray, n: int, penalty: float, ridge: float = 1e-4, steps: int = 600) -> tuple[np.ndarray, float]:
+def fit_logistic(rows: list[list[int]], swapped: list[tuple[int, list[int]]], y: np.ndarray, n: int, penalty: float, ridge: float = 1e-4, steps: int = 600) -> tuple[np.ndarray, float]:
     """Minimise mean log loss + penalty * mean squared logit change under swaps + ridge.
 
-    Accelerated gradient descent over sparse binary rows; ``swapped[i]`` is row i after the
-    swap (the same list if it names no group).
+    Accelerated gradient descent over sparse binary rows; ``swapped`` holds the counterfactuals
+    of the rows that name a group: the row's number, and its features after the swap.
     """
+
     def flat(x: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
         return np.repeat(np.arange(len(x)), [len(r) for r in x]), np.array([p for r in x for p in r], np.int64)
 
-    (ri, rj), (si, sj) = flat(rows), flat(swapped)
-    count = max(len(y), 1)
-    named = max(sum(a is not b for a, b in zip(rows, swapped)), 1)
+    (ri, rj), (si, sj) = flat(rows), flat([x for _, x in swapped])
+    origin = np.array([i for i, _ in swapped], np.int64)
+    count, named = max(len(y), 1), max(len(swapped), 1)
 
-    def product(i: np.ndarray, j: np.ndarray, v: np.ndarray) -> np.ndarray:
-        return np.bincount(i, v[j], count) if len(j) else np.zeros(count)
+    def product(i: np.ndarray, j: np.ndarray, v: np.ndarray, n_rows: int) -> np.ndarray:
+        return np.bincount(i, v[j], n_rows) if len(j) else np.zeros(n_rows)
 
     def back(i: np.ndarray, j: np.ndarray, e: np.ndarray) -> np.ndarray:
         return np.bincount(j, e[i], n) if len(j) else np.zeros(n)
 
+    def pulls(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Logits without bias, and the penalty's gradient by row and by counterfactual."""
+        z = product(ri, rj, v, count)
+        change = 2.0 * penalty * (z[origin] - product(si, sj, v, len(swapped))) / named
+        return z, np.bincount(origin, change, count) if len(origin) else np.zeros(count), change
+
     # The step comes from the largest curvature, found by power iteration.
     v, vb, most = np.ones(n), 1.0, 1.0
     for _ in range(30):
-        z, zs = product(ri, rj, v), product(si, sj, v)
-        pull, change = 0.25 * (z + vb) / count, 2.0 * penalty * (z - zs) / named
-        g, gb = ridge * v + back(ri, rj, pull + change) - back(si, sj, change), pull.sum()
+        z, by_row, change = pulls(v)
+        pull = 0.25 * (z + vb) / count
+        g, gb = ridge * v + back(ri, rj, pull + by_row) - back(si, sj, change), pull.sum()
         most = float(np.sqrt((g * g).sum() + gb * gb))
         v, vb = g / most, gb / most
     rate = 0.8 / most
     w, b = np.zeros(n), 0.0
     ahead_w, ahead_b, t = w, b, 1.0
     for _ in range(steps):
-        z, zs = product(ri, rj, ahead_w), product(si, sj, ahead_w)
+        z, by_row, change = pulls(ahead_w)
         error = (1.0 / (1.0 + np.exp(-np.clip(z + ahead_b, -30, 30))) - y) / count
-        change = 2.0 * penalty * (z - zs) / named
-        grad = ridge * ahead_w + back(ri, rj, error + change) - back(si, sj, change)
+        grad = ridge * ahead_w + back(ri, rj, error + by_row) - back(si, sj, change)
         new_w, new_b = ahead_w - rate * grad, ahead_b - rate * error.sum()
         nt = (1.0 + np.sqrt(1.0 + 4.0 * t * t)) / 2.0
         ahead_w, ahead_b = new_w + (t - 1.0) / nt * (new_w - w), new_b + (t - 1.0) / nt * (new_b - b)
@@ -143,12 +180,15 @@ def fit(docs: DataFrame, labels: DataFrame, penalty: float = 1.0, most_labelled:
     """Fit on at most ``most_labelled`` of the rows of ``labels`` (doc_id, toxic 0/1).
 
     Rows with a null label or id are passed over; with no usable rows the model scores all
-    texts alike.  Feature counts are summed over the sample by Spark; the driver gets the
-    selected features and the sample's rows in terms of them, both bounded.
+    texts alike.  Of rows that share a doc_id the smallest text is the labelled one, so the
+    sample stays bounded.  Feature counts are summed over the sample by Spark; the driver gets
+    the features that mark toxic rows (of BUCKETS at most) and the sample's rows in terms of
+    them.
     """
     few = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     few = few.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_labelled)
-    sample = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("toxic", "text").repartition(16)
+    found = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")
+    sample = found.groupBy("doc_id").agg(F.min(F.struct("toxic", "text")).alias("x")).select("x.*").repartition(16)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, BUCKETS), np.int32)
@@ -172,7 +212,7 @@ def fit(docs: DataFrame, labels: DataFrame, penalty: float = 1.0, most_labelled:
     chosen = counts.where(F.col("n1") >= LEAST_TOXIC).withColumn("z", (p1 - p0) / spread).where("z > 3 and n1 * %d > 4 * n0 * %d" % (n0, n1))
     # Stated identity terms are always features, so that the penalty can see them.
     named = sorted({b for t in SWAP for b in forms(t)[:1]})
-    picked = [r["bucket"] for r in chosen.orderBy(F.desc("z"), "bucket").limit(MOST_FEATURES).select("bucket").collect()]
+    picked = [r["bucket"] for r in chosen.select("bucket").collect()]
     buckets = np.unique(np.array(picked + named, np.int64))
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,13 +222,13 @@ def fit(docs: DataFrame, labels: DataFrame, penalty: float = 1.0, most_labelled:
             for x in batch.column(1):
                 words = words_of(x.as_py() or "")
                 rows.append(places(words, known))
-                swaps.append(places({SWAP.get(w, w) for w in words}, known) if not words.isdisjoint(SWAP) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int32()), pa.array(rows, pa.list_(pa.int32())), pa.array(swaps, pa.list_(pa.int32()))], names=["y", "x", "s"])
+                named = not words.isdisjoint(SWAP)
+                swaps.append([places({SWAP.get(w, w) for w in words}, known), places(words - SWAP.keys(), known)] if named else [])
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int32()), pa.array(rows, pa.list_(pa.int32())), pa.array(swaps, pa.list_(pa.list_(pa.int32())))], names=["y", "x", "s"])
 
-    got = sorted((tuple(r["x"]), r["y"], None if r["s"] is None else tuple(r["s"])) for r in sample.mapInArrow(sparse, "y int, x array<int>, s array<int>").collect())
-    rows = [list(x) for x, _, _ in got]
-    swapped = [r if s is None else list(s) for r, (_, _, s) in zip(rows, got)]
-    weights, bias = fit_logistic(rows, swapped, np.array([y > 0 for _, y, _ in got], float), len(buckets), penalty)
+    got = sorted((r["x"], r["y"], r["s"]) for r in sample.mapInArrow(sparse, "y int, x array<int>, s array<array<int>>").collect())
+    swapped = [(i, s) for i, (_, _, ss) in enumerate(got) for s in ss]
+    weights, bias = fit_logistic([x for x, _, _ in got], swapped, np.array([y > 0 for _, y, _ in got], float), len(buckets), penalty)
     return Model(buckets, weights, bias)
 
 
