@@ -15,6 +15,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -92,9 +93,8 @@ def written(spans: list[Span]) -> str:
 
 
 def shape(token: str) -> str:
-    """Letters as a, runs of digits as their length, other signs kept; cut at 24 signs."""
-    plain = re.sub(r"[0-9]+", lambda m: f"<{min(len(m[0]), 20)}>", token)
-    return re.sub(r"[^\W\d_]+", "a", plain)[:24]
+    """Letters as a, runs of digits as their length, other signs kept."""
+    return re.sub(r"[^\W\d_]+", "a", re.sub(r"[0-9]+", lambda m: f"<{len(m[0])}>", token))
 
 
 def kind_of(token: str | None) -> str:
@@ -170,7 +170,7 @@ class Tokens:
 def described(token: str, before: str | None, after: str | None) -> tuple[str, ...]:
     number = only_digits(token)
     digits = len(number)
-    return ("bias", "shape " + shape(token), f"digits {min(digits, 20)}", f"at {'@' in token}", f"card {13 <= digits <= 19 and luhn(number)}", "before " + kind_of(before), "after " + kind_of(after))
+    return ("bias", "shape " + shape(token), f"digits {digits}", f"at {'@' in token}", f"card {13 <= digits <= 19 and luhn(number)}", "before " + kind_of(before), "after " + kind_of(after))
 
 
 def candidates(text: str, locals_: set[str]) -> Iterator[tuple[int, int]]:
@@ -198,7 +198,13 @@ def tokens_of(text: str, base: list[Span]) -> Tokens:
     for i, (a, b) in enumerate(candidates(text, {k for k in evidence if k[0] == "@"})):
         while c < len(cover) and cover[c][1] <= a:
             c += 1
-        k, x = next(((k + 1, x) for p, q, k, x in cover[c : c + 4] if p < b and a < q), (0, -1))
+        k, x = 0, -1
+        for p, q, kind, owned in islice(cover, c, None):
+            if p >= b:
+                break
+            if a < q:
+                k, x = kind + 1, owned
+                break
         labels.append(k)
         owner.append(x)
         follow = _after.match(text, b)
@@ -337,7 +343,7 @@ def fit(docs: DataFrame, steps: int = 200, ridge: float = 1e-3) -> Field:
     """Pseudo-likelihood fit on the base spans of at most MOST_SAMPLED documents.
 
     Spark counts the distinct (features, label, neighbours' labels) contexts of the sample;
-    the driver gets the MOST_CONTEXTS most frequent ones at most.  A token without a pattern
+    the driver gets MOST_CONTEXTS at most, those with a label and then the most frequent.  A token without a pattern
     that shares a key with a base span has no known label and is left out.  How far mentions
     agree with their hub is learned from short forms of the base spans: linked, they are what
     the span is; alone, they are nothing.
@@ -367,7 +373,8 @@ def fit(docs: DataFrame, steps: int = 200, ridge: float = 1e-3) -> Field:
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), *(pa.array(c, pa.int32()) for c in columns[1:])], names=["f", "y", "p", "n", "s"])
 
     counted = sample.mapInArrow(contexts, "f string, y int, p int, n int, s int").groupBy("f", "y", "p", "n", "s").agg(F.count(F.lit(1)).alias("times"))
-    rows = counted.orderBy(F.desc("times"), "f", "y", "p", "n", "s").limit(MOST_CONTEXTS).collect()
+    # Contexts that have a label come first, so that the bound costs only plain ones.
+    rows = counted.orderBy(F.desc(F.col("y") > 0), F.desc("times"), "f", "y", "p", "n", "s").limit(MOST_CONTEXTS).collect()
     k = len(LABELS)
     names: dict[str, int] = {}
     for r in rows:
@@ -400,18 +407,17 @@ def fit(docs: DataFrame, steps: int = 200, ridge: float = 1e-3) -> Field:
             v *= 0.9
             v -= 0.5 * grad
             value += v
-    # Repeats of a thing agree at least a little, whatever the sample shows.
-    return Field(names, node, step, np.maximum(agree, 0.5))
+    return Field(names, node, step, np.maximum(agree, 0.0))
 
 
 def find(docs: DataFrame, field: Field, keep: list[str]) -> DataFrame:
-    """``keep``, counts of base spans by kind, ``base_sha256`` and ``spans`` (all spans).
+    """``keep``, counts of base spans by kind, ``base_sha256``, ``spans`` (all) and their number.
 
     Whole texts are read; null is the empty text and has no spans.  Rows are independent: no
     shuffle, and ties, repeated rows and columns outside ``keep`` need no rule.
     """
-    keep = beside(keep, (*(f"n_{k}" for k in KINDS), "base_sha256", "spans"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema), *(f"n_{k} bigint" for k in KINDS), "base_sha256 string, spans string"])
+    keep = beside(keep, (*(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_spans"))
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema), *(f"n_{k} bigint" for k in KINDS), "base_sha256 string, spans string, n_spans bigint"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nothing = hashlib.sha256(b"").hexdigest()
@@ -420,13 +426,13 @@ def find(docs: DataFrame, field: Field, keep: list[str]) -> DataFrame:
             for x in batch.column(len(keep)):
                 text = x.as_py() or ""
                 if _hint.search(text) is None:
-                    rows.append((0, 0, 0, 0, nothing, ""))
+                    rows.append((0, 0, 0, 0, nothing, "", 0))
                     continue
                 base = base_spans(text)
                 everything = sorted(base + field.further(text, base))
-                rows.append((*(sum(s[0] == k for s in base) for k in range(4)), hashlib.sha256(written(base).encode()).hexdigest(), written(everything)))
-            columns = list(zip(*rows)) or [()] * 6
-            arrays = [pa.array(c, pa.int64()) for c in columns[:4]] + [pa.array(c, pa.string()) for c in columns[4:]]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), *arrays], names=[*keep, *(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
+                rows.append((*(sum(s[0] == k for s in base) for k in range(4)), hashlib.sha256(written(base).encode()).hexdigest(), written(everything), len(everything)))
+            columns = list(zip(*rows)) or [()] * 7
+            arrays = [pa.array(c, pa.int64()) for c in columns[:4]] + [pa.array(c, pa.string()) for c in columns[4:6]] + [pa.array(columns[6], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), *arrays], names=[*keep, *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_spans"])
 
     return docs.select(*keep, docs["text"].alias("__text")).mapInArrow(run, schema)
