@@ -90,12 +90,13 @@ def test_quality_fences_follow_each_source(spark):
     odd = {"symbols": text(5, 0.4), "long": text(9, 0.0)}
     n = len(rows)
     rows += [(s, t) for t in odd.values() for s in ("prose", "code")]
-    rows += [("prose", "\n".join(f"| {word(5)} | {word(5)} |" for _ in range(60))), ("prose", "| " * 100 + text(5, 0.0)), ("prose", "\n".join(word(5) + "#" * (j == 7) for j in range(2_000)))]
+    strewn = "\n".join(" | ".join(word(5) for _ in range(2 + 3 * (j % 7))) for j in range(20))  # bars, but no table
+    rows += [("prose", "\n".join(f"| {word(5)} | {word(5)} |" for _ in range(60))), ("prose", strewn), ("prose", "\n".join(word(5) + "#" * (j == 7) for j in range(2_000)))]
     df = spark.createDataFrame([(i, t, "en", s, None) for i, (s, t) in enumerate(rows)], DOCS)
     got = {r["doc_id"]: r["kept"] for r in quality.judged(df, ["doc_id"]).collect()}
     assert all(got[i] for i in range(n))
     assert [got[i] for i in range(n, n + 4)] == [False, True, False, True]  # prose, code, prose, code
-    assert [got[i] for i in range(n + 4, n + 7)] == [True, False, True]  # a table, bars without cells, one symbol
+    assert [got[i] for i in range(n + 4, n + 7)] == [True, False, True]  # a table, bars without one, one symbol
 
 
 def test_lines(spark):

@@ -21,6 +21,7 @@ from .common import beside, materialize, small_side, text_bytes, window_hashes,
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
 BLANK = b" \t\n\x0b\x0c\r"
+TABLE_ROWS = 3
 #: Sources with fewer documents in a language use the fences of the whole language.
 LEAST_DOCS = 50
 #: Fences stand this many inner-quartile ranges of the group outside its quartiles, and this
@@ -41,14 +42,14 @@ def measure(text: bytes, n_chars: int) -> tuple[int, int, int, int, int, int, in
 
 
 def separators(lines: list[bytes]) -> int:
-    """Words that are a single | beside a word without symbols: the cell borders of tables."""
-    n = 0
-    for line in lines:
-        if b"|" in line:
-            words = line.split()
-            plain = [False, *(len(w) == len(w.translate(None, SYMBOLS)) for w in words), False]
-            n += sum(w == b"|" and (plain[i] or plain[i + 2]) for i, w in enumerate(words))
-    return n
+    """Cell borders: words that are a single | in TABLE_ROWS or more lines running that hold equally many."""
+    total = run = last = 0
+    for n in [*(x.split().count(b"|") if b"|" in x else 0 for x in lines), 0]:
+        if n != last:
+            total += run * last if run >= TABLE_ROWS else 0
+            run, last = 0, n
+        run += 1
+    return total
 
 
 def repeated_words(words: list[bytes], width: int = WINDOW) -> int:
@@ -71,12 +72,14 @@ def with_measures(docs: DataFrame, keep: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(len(keep))
+            texts = batch.column(at)
             found = [measure(t, len(t.decode("utf-8", "surrogatepass"))) for t in text_bytes(texts)]
             columns = [pa.array(c, pa.int64()) for c in zip(*found)] if found else [pa.array([], pa.int64())] * len(names)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), *columns], names=[*keep, *names])
 
-    measured = docs.select(*keep, docs["text"].alias("__text")).mapInArrow(run, schema)
+    # A text that is carried along is sent to Python once.
+    at = keep.index("text") if "text" in keep else len(keep)
+    measured = docs.select(*keep, *([] if "text" in keep else [docs["text"].alias("__text")])).mapInArrow(run, schema)
     words, chars = F.col("n_words"), F.col("word_chars")
 
     def share(m: str, part: Column, whole: Column) -> dict[str, Column]:
@@ -122,7 +125,8 @@ def judged(docs: DataFrame, keep: list[str]) -> DataFrame:
     Columns of ``docs`` other than ``keep``, lang, source and text are not looked at.
     """
     carried = list(dict.fromkeys([*keep, "lang", "source"]))
-    measured = with_measures(docs, carried)
+    # Texts are measured once, and read again from the shared folder.
+    measured = materialize(with_measures(docs, carried))
     limits = small_side(materialize(fences(measured)))
     limits = limits.withColumnsRenamed({"lang": "lang_", "source": "source_"})
     near = F.col("lang").eqNullSafe(F.col("lang_")) & F.col("source").eqNullSafe(F.col("source_"))
