@@ -25,13 +25,25 @@ from .common import beside
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 LONG = 96
 NO_RANK = 1 << 60
+#: Letters and digits that Unicode 16 added, and capitals with the small letters that Unicode
+#: 16 and 17 gave them (fixed values of the Unicode standard; unicodedata is older, and the
+#: regex module newer than the vocabulary's library).
+ADDED = (
+    "1C89-1C8A A7CB-A7CD A7DA-A7DC 105C0-105F3 10D40-10D65 10D6F-10D85 10EC2-10EC4 11380-11389 1138B-1138B 1138E-1138E 11390-113B5 113B7-113B7 113D1-113D1 113D3-113D3 "
+    "116D0-116E3 11BC0-11BE0 11BF0-11BF9 13460-143FA 16100-1611D 16130-16139 16D40-16D6C 16D70-16D79 18CFF-18CFF 1CCF0-1CCF9 1E5D0-1E5ED 1E5F0-1E5FA"
+)
+CAPITALS = "1C89-1C8A A7CB-0264 A7CC-A7CD A7CE-A7CF A7D2-A7D3 A7D4-A7D5 A7DA-A7DB A7DC-019B"
 #: Most distinct chunks, and characters in them, of one generation of a worker's memory.
-REMEMBERED, REMEMBERED_CHARS = 80_000, 3_000_000
+REMEMBERED, REMEMBERED_CHARS = 120_000, 3_000_000
 #: Rows whose ids are held at once; ids take more room than their texts.
 SLICE_ROWS = 1_000
 
 _gap = regex.compile(f"[{SPACE}]+")
 _letter = regex.compile(r"[\p{L}\p{N}]")
+_added = [(int(a, 16), int(b, 16)) for a, b in (x.split("-") for x in ADDED.split())]
+_small = {int(a, 16): int(b, 16) for a, b in (x.split("-") for x in CAPITALS.split())}
+_small |= {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)} | {ord("Σ"): ord("σ")}  # letters are lowered one by one
+_capital = regex.compile("[" + "".join(map(chr, _small)) + "]")
 #: str.split() splits on SPACE and on these, which are no white space here.
 _not_gap = regex.compile("[\x1c-\x1f]")
 
@@ -60,6 +72,15 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(moved)) for b in range(256)]
 
 
+class Recent(dict):
+    """Character -> whether it is a letter or digit that the vocabulary's library does not know as one."""
+
+    def __missing__(self, c: str) -> bool:
+        found = unicodedata.category(c) == "Cn" and _letter.match(c) is not None and not any(a <= ord(c) <= b for a, b in _added)
+        self[c] = found
+        return found
+
+
 class WordBpe:
     """Encoder for a tokenizer file with word ends, read once per Python worker."""
 
@@ -67,82 +88,88 @@ class WordBpe:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
-        self.vocab: dict[str, int] = model["vocab"]
-        self.end: str = model.get("end_of_word_suffix") or ""
+        vocab: dict[str, int] = model["vocab"]
+        end: str = model.get("end_of_word_suffix") or ""
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        self.rank = {m: i for i, m in enumerate(merges)}
-        self.letters = byte_letters()
+        # A pair of parts is one number, as ids are below 2**32; its rank gives the part it makes.
+        self.rank = {vocab[a] << 32 | vocab[b]: i for i, (a, b) in enumerate(merges)}
+        self.made = [vocab[a + b] for a, b in merges]
+        self.inner, self.last = ([vocab[x + e] for x in byte_letters()] for e in ("", end))
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        self.names = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
+        self.names = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pieces = regex.compile(split.replace(r"\s", SPACE))
-        # Letters and digits newer than the tables of unicodedata count as symbols.
-        self.recent = frozenset(c for c in map(chr, range(128, 0x110000)) if unicodedata.category(c) == "Cn" and _letter.match(c))
+        self.recent = Recent()
         marks = sorted(self.special, key=len, reverse=True)
         self.marks = regex.compile("|".join(map(regex.escape, marks))) if marks else None
         self.known = Memory(self.chunk)
 
-    def parts(self, piece: str) -> list[str]:
-        """Merge the letters of one piece."""
-        letters = [self.letters[b] for b in piece.encode("utf-8", "surrogatepass")]
-        letters[-1] += self.end
-        if len(letters) > LONG:
-            return self._parts_of_long(letters)
-        rank = self.rank
-        ranks = [rank.get(p, NO_RANK) for p in zip(letters, letters[1:])]
+    def parts(self, piece: str) -> list[int]:
+        """Merge the bytes of one piece to ids."""
+        data = piece.encode("utf-8", "surrogatepass")
+        inner, rank, made = self.inner, self.rank.get, self.made
+        parts = [inner[b] for b in data]
+        parts[-1] = self.last[data[-1]]
+        if len(parts) > LONG:
+            return self._parts_of_long(parts)
+        ranks = [rank(a << 32 | b, NO_RANK) for a, b in zip(parts, parts[1:])]
         while ranks and (low := min(ranks)) < NO_RANK:
             i = ranks.index(low)
-            letters[i : i + 2] = [letters[i] + letters[i + 1]]
-            del ranks[i]
+            part = made[low]
+            del ranks[i], parts[i + 1]
+            parts[i] = part
             if i < len(ranks):
-                ranks[i] = rank.get((letters[i], letters[i + 1]), NO_RANK)
+                ranks[i] = rank(part << 32 | parts[i + 1], NO_RANK)
             if i:
-                ranks[i - 1] = rank.get((letters[i - 1], letters[i]), NO_RANK)
-        return letters
+                ranks[i - 1] = rank(parts[i - 1] << 32 | part, NO_RANK)
+        return parts
 
-    def _parts_of_long(self, letters: list[str]) -> list[str]:
-        n, rank = len(letters), self.rank
+    def _parts_of_long(self, parts: list[int]) -> list[int]:
+        n, rank = len(parts), self.rank
         after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-        queue = [(r, i, letters[i], letters[i + 1]) for i in range(n - 1) if (r := rank.get((letters[i], letters[i + 1]))) is not None]
+        queue = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := rank.get(parts[i] << 32 | parts[i + 1])) is not None]
         heapq.heapify(queue)
         while queue:
-            _, i, left, right = heapq.heappop(queue)
-            j = after[i] if letters[i] == left else -1
-            if j < 0 or letters[j] != right:
+            low, i, left, right = heapq.heappop(queue)
+            j = after[i] if parts[i] == left else -1
+            if j < 0 or parts[j] != right:
                 continue
-            letters[i], letters[j] = left + right, ""
+            parts[i], parts[j] = self.made[low], -1
             after[i] = after[j]
             if after[j] >= 0:
                 before[after[j]] = i
             for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b >= 0 and (r := rank.get((letters[a], letters[b]))) is not None:
-                    heapq.heappush(queue, (r, a, letters[a], letters[b]))
-        return [x for x in letters if x]
+                if a >= 0 and b >= 0 and (r := rank.get(parts[a] << 32 | parts[b])) is not None:
+                    heapq.heappush(queue, (r, a, parts[a], parts[b]))
+        return [x for x in parts if x >= 0]
 
     def chunk(self, text: str) -> tuple[str, str]:
-        """Ids and tokens, each joined by spaces, of a text without white space."""
-        plain = text if text.isascii() or self.recent.isdisjoint(text) else "".join(["\x00" if c in self.recent else c for c in text])
-        tokens = [t for m in self.pieces.finditer(plain) for t in self.parts(text[m.start() : m.end()])]
-        vocab = self.vocab
-        return " ".join([str(vocab[t]) for t in tokens]), " ".join(tokens)
+        """Ids, joined by spaces, of a text without white space, and what they decode to."""
+        plain = text
+        if not text.isascii() and any(map(self.recent.__getitem__, text)):
+            plain = "".join(["\x00" if self.recent[c] else c for c in text])
+        ids = [i for m in self.pieces.finditer(plain) for i in self.parts(text[m.start() : m.end()])]
+        return " ".join(map(str, ids)), self.decode(ids)
 
     def plain(self, text: str) -> list[tuple[str, str]]:
         """Chunks of a stretch of text without special tokens."""
         if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # letters are lowered one by one
+            text = unicodedata.normalize("NFC", text)
+            text = text.translate(_small) if _capital.search(text) else text
         text = text.lower()
         chunks = text.split() if _not_gap.search(text) is None else filter(None, _gap.split(text))
         return list(map(self.known.__getitem__, chunks))
 
     def encode(self, text: str) -> tuple[str, str]:
-        """Decimal ids joined by one space, and the decoded text."""
+        """Decimal ids joined by one space, and the text that they decode to, chunk by chunk."""
         if self.marks is None or "<" not in text:
             found = self.plain(text)
         else:
             found, at = [], 0
             for m in self.marks.finditer(text):
                 found += self.plain(text[at : m.start()])
-                found.append((str(self.special[m[0]]), m[0]))
+                own = self.special[m[0]]
+                found.append((str(own), self.decode([own])))
                 at = m.end()
             found += self.plain(text[at:])
         return " ".join([x for x, _ in found]), " ".join([x for _, x in found])
