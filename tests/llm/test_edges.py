@@ -118,16 +118,16 @@ def test_lines(spark):
 
 
 def test_preference(spark):
-    rows = [(0, 0, "user", "hi"), (0, 1, "assistant", "yes"), (1, 0, "user", "hi"), (1, 1, "assistant", "no"), (2, 0, None, None), (3, 0, None, None), (3, 1, "assistant", "<|x|>"), (4, 0, "user", "alone"), (None, 0, "user", "q"), (6, 0, "user", "same"), (6, 0, "user", "same"), (7, 0, "user", "same")]
+    rows = [(0, 0, "user", "hi"), (0, 1, "assistant", "yes"), (1, 0, "user", "hi"), (1, 1, "assistant", "no"), (2, 0, None, None), (3, 0, None, None), (3, 1, "assistant", "<|x|>"), (4, 0, "user", "alone"), (None, 0, "user", "q"), (6, 0, "user", "same"), (6, 0, "user", "same"), (7, 0, "user", "same"), (-1, 0, "user", LONG)]
     df = clashing(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
-    got = {r["pair_id"]: r for r in preference.preference_pairs(df, F.expr("conv_id div 2"), F.col("conv_id") % 2 == 0).collect()}
-    assert set(got) == {0, 1, 2, 3}
+    got = {r["pair_id"]: r for r in preference.preference_pairs(df, F.shiftright("conv_id", 1), F.col("conv_id") % 2 == 0).collect()}
+    assert set(got) == {-1, 0, 1, 2, 3} and got[-1]["sides"] == "rejected" and got[-1]["rejected"].startswith("<|user|>\nword word")
     assert got[0]["n_prefix"] == 1 and got[0]["prompt"] == "<|user|>\nhi<|end|>\n" and got[0]["chosen"] == "<|assistant|>\nyes<|end|>\n"
     assert got[0]["chosen_mask"] == "-14,+11" and len(got[0]["rejected"]) == 14 + 10
     assert got[1]["chosen"] == "" and "< |x|>" in got[1]["rejected"]
     assert got[2]["sides"] == "chosen" and got[2]["rejected"] is None and got[2]["prompt"] == ""
     assert got[3]["n_prefix"] == 1 and got[3]["chosen"] != "" and got[3]["rejected"] == ""
-    assert preference.preference_pairs(df.where("false"), F.expr("conv_id div 2"), F.col("conv_id") % 2 == 0).count() == 0
+    assert preference.preference_pairs(df.where("false"), F.shiftright("conv_id", 1), F.col("conv_id") % 2 == 0).count() == 0
 
 
 def test_mixing_targets():

@@ -28,7 +28,11 @@ BATCH_BYTES = "8m"
 
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """The session with this package known to its workers and batches to them kept small."""
+    """The session with this package known to its workers and batches to them kept small.
+
+    The bound on batches stays set for the session: it is read when a result is computed,
+    which is after these functions have returned.  A bound that the caller has set stays.
+    """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key) == "67108864b":  # its default
         spark.conf.set(key, BATCH_BYTES)
@@ -40,15 +44,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage through the shared checkpoint folder.
+    """Cut lineage through the shared checkpoint folder, the cluster's ``spark.checkpoint.dir``.
 
-    The folder is the cluster's ``spark.checkpoint.dir``; only where that is unset
-    (tests on one machine) a temporary folder is used.
+    Where that is unset a temporary folder will do in local mode, and nowhere else: executors
+    do not see folders of the driver.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not context.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="wellspan-"))
     return df.checkpoint(eager=True)
 

@@ -76,7 +76,7 @@ def preference_pairs(conversations: DataFrame, pair: Column, chosen: Column) ->
 
 
 SQL = """
-with ordered as (select conv_id // 2 as pair_id, conv_id % 2 = 0 as is_chosen, turn, role, text,
+with ordered as (select conv_id >> 1 as pair_id, conv_id % 2 = 0 as is_chosen, turn, role, text,
     row_number() over (partition by conv_id order by turn nulls first, role nulls first, text nulls first) as place,
     '<|' || replace(coalesce(role, ''), '<|', '< |') || '|>' || chr(10) as head,
     replace(coalesce(text, ''), '<|', '< |') || '<|end|>' || chr(10) as body

@@ -18,9 +18,9 @@ def tokenizer_path() -> str:
 
 
 def op1_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Neighbouring conversations are a pair: the even id is chosen, the odd one rejected."""
+    """Neighbouring conversations, 2k and 2k + 1, are pair k: the even id is chosen, the odd one rejected."""
     conv = F.col("conv_id")
-    return preference.preference_pairs(table(spark, sf_dir, "conversations"), F.expr("conv_id div 2"), conv % 2 == 0)
+    return preference.preference_pairs(table(spark, sf_dir, "conversations"), F.shiftright("conv_id", 1), conv % 2 == 0)
 
 
 def op2_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
