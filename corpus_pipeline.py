@@ -18,13 +18,19 @@ WORDED = r"[^\x20\x09-\x0D]"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules or leave their group's fences go."""
+    """Documents that fail the base rules or leave their group's fences go.
+
+    Rows are judged one by one, repeats and null ids too; null and empty texts go.
+    """
     prepared(spark)
     return quality.judged(docs, COLUMNS).where("kept").select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of three-line passages go, and documents of which no word is left."""
+    """Later copies of three-line passages go, and documents of which no word is left.
+
+    Rows that nothing was cut from pass as they are, null and empty texts too.
+    """
     cut = lines.dedup_lines(docs.select(*COLUMNS))
     n_chars = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     left = (F.col("n_removed") == 0) | F.col("text").rlike(WORDED)
@@ -42,14 +48,17 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: a row for each stretch of a document in a taken block, repeats included."""
+    """The mix: a row for each stretch of a document in a taken block, repeats included.
+
+    Null and wordless texts have no words to take and leave no row.
+    """
     prepared(spark)
     planned = mixing.mix(docs, keep=("lang",))
     return mixing.mixed_texts(planned).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every stretch, with the digest of what they decode to."""
+    """Token ids of every stretch, with the digest of what they decode to; null is the empty text."""
     prepared(spark)
     return bpe.encode_texts(docs, tokenizer_path(), ["doc_id", "lang", "source"], outputs=("n_tokens", "ids", "decoded_sha256"))
 
