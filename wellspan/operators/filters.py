@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import percentiles, same_key
+
+#: Most patterns that are compiled into one condition.
+MOST_PATTERNS = 1_000
+
 
 def without_listed(df: DataFrame, listed: DataFrame, on: list[str]) -> DataFrame:
     """Rows whose key is not listed; null keys stay.  Whole keys count, not parts of them."""
@@ -16,8 +21,28 @@ def only_listed(df: DataFrame, listed: DataFrame, on: list[str]) -> DataFrame:
 
 
 def without_containing(df: DataFrame, text: str, patterns: DataFrame, pattern: str) -> DataFrame:
-    """Rows whose text holds none of the patterns (a short list, checked by substring)."""
-    return df.join(patterns.select(F.col(pattern).alias("pattern_")), F.col(text).contains(F.col("pattern_")), "left_anti")
+    """Rows whose text holds none of the patterns; a null text holds none."""
+    return df.where(~holds_any(F.col(text), patterns, pattern))
+
+
+def with_containing(df: DataFrame, text: str, patterns: DataFrame, pattern: str) -> DataFrame:
+    """Rows whose text holds one of the patterns or more."""
+    return df.where(holds_any(F.col(text), patterns, pattern))
+
+
+def holds_any(text: Column, patterns: DataFrame, pattern: str) -> Column:
+    """Whether a text holds a pattern: one condition in the scan, no join.
+
+    The list is read here; lists are short by nature, and one of more than MOST_PATTERNS is an
+    error rather than a slow plan.
+    """
+    listed = [r[0] for r in patterns.select(pattern).where(F.col(pattern).isNotNull()).distinct().orderBy(pattern).limit(MOST_PATTERNS + 1).collect()]
+    if len(listed) > MOST_PATTERNS:
+        raise ValueError(f"more than {MOST_PATTERNS} patterns")
+    found = F.lit(False)
+    for x in listed:
+        found |= text.contains(F.lit(x))
+    return F.coalesce(found, F.lit(False))
 
 
 def within_spread(df: DataFrame, value: str, k: float, by: list[str]) -> DataFrame:
@@ -27,38 +52,43 @@ def within_spread(df: DataFrame, value: str, k: float, by: list[str]) -> DataFra
     """
     moments = df.groupBy(*by).agg(F.avg(value).alias("mean_"), F.stddev_pop(value).alias("sd_"))
     near = F.col(value).between(F.col("mean_") - k * F.col("sd_"), F.col("mean_") + k * F.col("sd_"))
-    return _with(df, moments, by).where(near).drop("mean_", "sd_")
+    return same_key(df, moments, by).where(near).drop("mean_", "sd_")
 
 
-def _with(df: DataFrame, small: DataFrame, by: list[str]) -> DataFrame:
-    return df.join(small, by) if by else df.crossJoin(F.broadcast(small))
+def mad_scores(df: DataFrame, values: list[str], by: list[str], names: list[str]) -> DataFrame:
+    """(value - median) / median(|value - median|) of each value; 0 where the latter is 0.
+
+    All medians come from two passes over the long table of values, however many there are.
+    """
+    clean = {v: F.when(~F.isnan(F.col(v)), F.col(v).cast("double")) for v in values}
+    long = df.select(*by, *(c.alias(v) for v, c in clean.items())).unpivot(by, values, "of_", "x_")
+    key = [*by, "of_"]
+    mids = percentiles(long, key, "x_", [0.5], "mid_")
+    mads = percentiles(same_key(long, mids, key), key, F.abs(F.col("x_") - F.col("mid_")[0]), [0.5], "mad_")
+    both = same_key(mids, mads, key).select(*by, F.struct("of_", F.struct(F.col("mid_")[0].alias("mid"), F.col("mad_")[0].alias("mad")).alias("m")).alias("e_"))
+    found = both.groupBy(*by).agg(F.map_from_entries(F.collect_list("e_")).alias("m_"))
+    joined = same_key(df, found, by, "left")
 
+    def score(v: str) -> Column:
+        m = F.col("m_")[v]
+        return F.when(m["mad"] == 0, F.lit(0.0)).otherwise((clean[v] - m["mid"]) / m["mad"])
 
-def mad_scores(df: DataFrame, value: str, by: list[str], score: str = "mad_score") -> DataFrame:
-    """(value - median) / median(|value - median|); 0 where the latter is 0."""
-    clean = F.when(~F.isnan(F.col(value)), F.col(value))
-    first = _with(df, df.groupBy(*by).agg(F.percentile(clean, 0.5).alias("mid_")), by)
-    off = F.abs(clean - F.col("mid_"))
-    both = _with(first, first.groupBy(*by).agg(F.percentile(off, 0.5).alias("mad_")), by)
-    scored = F.when(F.col("mad_") == 0, F.lit(0.0)).otherwise((clean - F.col("mid_")) / F.col("mad_"))
-    return both.withColumn(score, scored).drop("mid_", "mad_")
+    return joined.withColumns({n: score(v) for v, n in zip(values, names)}).drop("m_")
 
 
 def within_mad(df: DataFrame, values: list[str], k: float, by: list[str]) -> DataFrame:
     """Keep rows whose MAD scores lie within k in every one of ``values``."""
     names = [f"score_{v}" for v in values]
-    for v, n in zip(values, names):
-        df = mad_scores(df, v, by, n)
     kept = F.lit(True)
     for n in names:
         kept &= F.col(n).between(-k, k)
-    return df.where(kept).drop(*names)
+    return mad_scores(df, values, by, names).where(kept).drop(*names)
 
 
 def percentile_band(df: DataFrame, value: str, low: float, high: float, by: list[str]) -> DataFrame:
     """Keep values between two percentiles (0 to 100), bounds included."""
-    band = df.groupBy(*by).agg(F.percentile(value, [low / 100, high / 100]).alias("band_"))
-    return _with(df, band, by).where(F.col(value).between(F.col("band_")[0], F.col("band_")[1])).drop("band_")
+    band = percentiles(df, by, value, [low / 100, high / 100], "band_")
+    return same_key(df, band, by).where(F.col(value).between(F.col("band_")[0], F.col("band_")[1])).drop("band_")
 
 
 def inside_border(df: DataFrame, x: str, y: str, bounds: tuple[float, float, float, float]) -> DataFrame:

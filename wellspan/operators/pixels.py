@@ -100,13 +100,17 @@ def with_flatfield(pixels: DataFrame, field: DataFrame, key: list[str]) -> DataF
 
 
 def matched_histogram(source: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
-    """Map each image's values to the target image's values of the same rank share."""
-    share = lambda df: df.groupBy(*key, "v").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy(*key).orderBy("v")
-    a = share(source).withColumn("share", F.sum("n").over(w) / F.sum("n").over(Window.partitionBy(*key)))
-    b = share(target).withColumn("share", F.sum("n").over(w) / F.sum("n").over(Window.partitionBy(*key))).select(*key, F.col("share").alias("share_"), F.col("v").alias("matched"))
-    place = Window.partitionBy(*key, "v").orderBy("share_")
-    table = a.join(b, key).where(F.col("share_") >= F.col("share") - F.lit(1e-9)).withColumn("place", F.row_number().over(place)).where("place = 1").select(*key, "v", "matched")
+    """Map each image's values to the smallest of the target's values that reach their rank share.
+
+    Both tables of distinct values go through one window by image, ordered by share: a source
+    value takes the first target value at or after it.
+    """
+    share = lambda df: df.groupBy(*key, "v").agg(F.count(F.lit(1)).alias("n")).withColumn("share", F.sum("n").over(upto) / F.sum("n").over(Window.partitionBy(*key)))
+    upto = Window.partitionBy(*key).orderBy("v")
+    a = share(source).select(*key, (F.col("share") - F.lit(1e-9)).alias("share"), F.lit(0).alias("side"), "v", F.lit(None).cast("double").alias("t"))
+    b = share(target).select(*key, "share", F.lit(1).alias("side"), F.lit(None).cast("double").alias("v"), F.col("v").alias("t"))
+    onwards = Window.partitionBy(*key).orderBy("share", "side", "t").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    table = a.unionByName(b).withColumn("matched", F.first("t", ignorenulls=True).over(onwards)).where("side = 0").select(*key, "v", "matched")
     return source.join(table, [*key, "v"]).withColumn("v", F.col("matched")).drop("matched")
 
 

@@ -5,29 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import percentiles
+
 #: Quantiles of the summary of image statistics.
 SUMMARY = (0.0, 0.0001, 0.001, 0.25, 0.5, 0.75, 0.95, 0.99, 0.999, 0.9999, 0.99999, 0.999999, 1.0)
 
 
 def scale_factors(stats: DataFrame, by: list[str], value: str, q: float, full: float = 65_535.0) -> DataFrame:
     """Factor that maps the q-th (0 to 100) quantile of ``value`` over images to full range."""
-    return stats.groupBy(*by).agg((F.percentile(value, q / 100) / F.lit(full)).alias("factor"))
+    return percentiles(stats, by, value, [q / 100]).select(*by, (F.col("percentiles")[0] / F.lit(full)).alias("factor"))
 
 
 def both_grains(stats: DataFrame, cycle: str, plate: str, channel: str, value: str, q: float, full: float = 65_535.0) -> DataFrame:
-    """Factors by (cycle, channel) and by (plate, channel) in one pass of grouping sets."""
-    by_cycle, by_plate, ch = F.col(cycle), F.col(plate), F.col(channel)
-    sets = stats.groupingSets([[by_cycle, ch], [by_plate, ch]], by_cycle, by_plate, ch)
-    return sets.agg((F.percentile(value, q / 100) / F.lit(full)).alias("factor"), F.grouping(cycle).cast("int").alias("of_plate"))
+    """Factors by (cycle, channel) and by (plate, channel), null where a grain has no such key."""
+    of_cycle = scale_factors(stats, [cycle, channel], value, q, full).withColumn("of_plate", F.lit(0))
+    of_plate = scale_factors(stats, [plate, channel], value, q, full).withColumn("of_plate", F.lit(1))
+    return of_cycle.unionByName(of_plate, allowMissingColumns=True).select(cycle, plate, channel, "factor", "of_plate")
 
 
 def summary(stats: DataFrame, by: list[str], measures: list[str]) -> DataFrame:
     """Long table of thirteen quantiles and the mean of each measure."""
-    parts = [F.concat(F.percentile(m, list(SUMMARY)), F.array(F.avg(m))).alias(m) for m in measures]
-    wide = stats.groupBy(*by).agg(*parts)
-    names = F.array(*[F.lit(f"q{100 * q:g}") for q in SUMMARY], F.lit("mean"))
-    long = wide.unpivot(by, measures, "measure", "values")
-    return long.select(*by, "measure", F.explode(F.arrays_zip(names.alias("statistic"), F.col("values").alias("value"))).alias("s")).select(*by, "measure", "s.statistic", "s.value")
+    each = stats.select(*by, *(F.col(m).cast("double").alias(m) for m in measures)).unpivot(by, measures, "measure", "x_")
+    key = [*by, "measure"]
+    names = F.array(*[F.lit(f"q{100 * q:g}") for q in SUMMARY])
+    zipped = F.explode(F.arrays_zip(names.alias("statistic"), F.col("percentiles").alias("value"))).alias("s")
+    quantiles = percentiles(each, key, "x_", list(SUMMARY)).select(*key, zipped).select(*key, "s.statistic", "s.value")
+    return quantiles.unionByName(each.groupBy(*key).agg(F.lit("mean").alias("statistic"), F.avg("x_").alias("value")))
 
 
 def plate_offsets(controls: DataFrame, channel: str, intensity: str) -> DataFrame:
@@ -53,22 +56,36 @@ def control_summary(objects: DataFrame) -> DataFrame:
     ``objects``: plate, channel, well, field, label, name, area, threshold and the mean,
     raw mean and largest intensity of each control object.
     """
-    object_id = F.concat_ws("_", "label", "well", "field")
-    mean = lambda c: F.avg(c)
-    found = objects.groupBy("plate", "channel").agg(
-        F.countDistinct(object_id).alias("nobjects"),
-        F.countDistinct("field").alias("nfields"),
-        F.countDistinct("well", "field").alias("nfields_total"),
-        F.countDistinct("well").alias("nwells"),
-        F.array_join(F.array_sort(F.collect_set("name")), ",").alias("name"),
-        mean(F.col("threshold")).alias("mean_threshold"),
-        mean(F.col("intensity_mean")).alias("mean_mean_object_intensity"),
-        mean(F.col("area") * F.col("intensity_mean")).alias("mean_integrated_object_intensity"),
-        mean(F.col("intensity_max")).alias("mean_max_object_intensity"),
+    parts = ["threshold", "intensity_mean", "integrated", "intensity_max"]
+    rows = objects.withColumn("integrated", F.col("area") * F.col("intensity_mean"))
+    totals = [f"{x}_{p}" for p in parts for x in ("s", "n")]
+    # Level by level, so that distinct counts are plain counts of ever smaller tables.
+    one = rows.groupBy("plate", "channel", "well", "field", "label").agg(
+        F.collect_set("name").alias("names"), *(c for p in parts for c in (F.sum(p).alias(f"s_{p}"), F.count(p).alias(f"n_{p}")))
+    )
+    merged = lambda: [F.array_distinct(F.flatten(F.collect_set("names"))).alias("names"), *(F.sum(x).alias(x) for x in totals)]
+    fields = one.groupBy("plate", "channel", "well", "field").agg(F.count(F.lit(1)).alias("nobjects"), *merged())
+    wells = fields.groupBy("plate", "channel", "well").agg(F.sum("nobjects").alias("nobjects"), F.collect_set("field").alias("fields"), *merged())
+    found = wells.groupBy("plate", "channel").agg(
+        F.sum("nobjects").alias("nobjects"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("fields")))).cast("long").alias("nfields"),
+        F.sum(F.when(F.col("well").isNotNull(), F.size("fields")).otherwise(0)).alias("nfields_total"),
+        F.count("well").alias("nwells"),
+        *merged(),
+    )
+    mean = lambda p: F.col(f"s_{p}") / F.nullif(F.col(f"n_{p}"), F.lit(0))
+    found = found.select(
+        "plate", "channel", "nobjects", "nfields", "nfields_total", "nwells",
+        F.array_join(F.array_sort("names"), ",").alias("name"),
+        mean("threshold").alias("mean_threshold"),
+        mean("intensity_mean").alias("mean_mean_object_intensity"),
+        mean("integrated").alias("mean_integrated_object_intensity"),
+        mean("intensity_max").alias("mean_max_object_intensity"),
     )
-    every = objects.select("plate").distinct().crossJoin(F.broadcast(objects.select("channel").distinct()))
+    # All channels are one row, and one row only is broadcast.
+    every = objects.select("plate").distinct().crossJoin(F.broadcast(objects.agg(F.collect_set("channel").alias("channels"))))
     counts = ["nobjects", "nfields", "nfields_total", "nwells"]
-    return every.join(found, ["plate", "channel"], "left").fillna(0, counts)
+    return every.select("plate", F.explode("channels").alias("channel")).join(found, ["plate", "channel"], "left").fillna(0, counts)
 
 
 def must_match(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:

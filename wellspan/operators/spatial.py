@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import same_key
+
 
 def distance(y1: Column, x1: Column, y2: Column, x2: Column) -> Column:
     return F.sqrt((y1 - y2) * (y1 - y2) + (x1 - x2) * (x1 - x2))
@@ -44,13 +46,13 @@ def nearest(points: DataFrame, k: int, d: float, by: list[str]) -> DataFrame:
 
 
 def grid_index(points: DataFrame, by: list[str]) -> DataFrame:
-    """Dense grid numbers of distinct coordinates: x and z upwards, y downwards, from 0."""
-    w = Window.partitionBy(*by)
+    """Dense grid numbers of distinct coordinates: x and z upwards, y downwards, from 0.
+
+    Coordinates are made distinct before they are ranked, so the window sees the lines of a
+    grid, not its points.
+    """
     unique = points.dropDuplicates([*by, "x", "y", "z", "field"])
-    return unique.withColumns(
-        {
-            "index_x": F.dense_rank().over(w.orderBy("x")) - 1,
-            "index_y": F.dense_rank().over(w.orderBy(F.desc("y"))) - 1,
-            "index_z": F.dense_rank().over(w.orderBy("z")) - 1,
-        }
-    )
+    for axis, order in (("x", F.col("x")), ("y", F.desc("y")), ("z", F.col("z"))):
+        lines = points.select(*by, axis).distinct().withColumn(f"index_{axis}", F.row_number().over(Window.partitionBy(*by).orderBy(order)) - 1)
+        unique = same_key(unique, lines, [*by, axis])
+    return unique

@@ -6,11 +6,13 @@ is the same image mirrored.  Objects are four-fold quadrants or grey-level class
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import numeric, tables
 from ..operators import flatfield, objects, pixels, profiles, registration
+from ..operators.quantiles import numbered
 from ..registry import Tables, query
 
 SIDE = 8
@@ -266,10 +268,11 @@ def polyfit_gram_sums(t: Tables) -> DataFrame:
     return rounded(g, [c for c in g.columns if c not in ("plate", "n")], 5)
 
 
-@query(f"with {PX}, f as (select plate, y, x, avg(v) + 1 as flat, 0.01 as dark from px where plate < 5 group by plate, y, x) select vec_id, px.y, px.x, round(coalesce((v - dark) / flat, v), 7) as v from px left join f on px.plate = f.plate and px.y = f.y and px.x = f.x")
+@query(f"with {PX}, f as (select plate, y, x, avg(v) + 1 as flat, 0.01 as dark from px where plate in (select plate from px group by plate having avg(v) > 0) group by plate, y, x) select vec_id, px.y, px.x, round(coalesce((v - dark) / flat, v), 7) as v from px left join f on px.plate = f.plate and px.y = f.y and px.x = f.x")
 def flatfield_apply(t: Tables) -> DataFrame:
     p = images(t)
-    field = p.where("plate < 5").groupBy("plate", "y", "x").agg((F.avg("v") + 1).alias("flat")).withColumn("dark", F.lit(0.01))
+    bright = p.groupBy("plate").agg(F.avg("v").alias("m")).where("m > 0").select("plate")
+    field = p.join(bright, "plate", "left_semi").groupBy("plate", "y", "x").agg((F.avg("v") + 1).alias("flat")).withColumn("dark", F.lit(0.01))
     return rounded(pixels.with_flatfield(p, field, ["plate"]).select("vec_id", "y", "x", "v"), ["v"], 7)
 
 
@@ -289,10 +292,8 @@ def cell_channel_correlation(t: Tables) -> DataFrame:
 def object_numbers(t: Tables) -> DataFrame:
     """One-based numbers of objects within images and of images, over a stated order."""
     images_ = t.embeddings.select("vec_id", F.col("label").alias("plate")).distinct()
-    plates = images_.select("plate").distinct()
-    # Plates are few: their ranks come from counting the smaller ones, without one big window.
-    rank = plates.alias("a").join(plates.select(F.col("plate").alias("q")), F.col("q") <= F.col("plate")).groupBy("plate").agg(F.count(F.lit(1)).cast("int").alias("image_number"))
-    return images_.join(rank, "plate").select("vec_id", F.row_number().over(Window.partitionBy("plate").orderBy("vec_id")).alias("object_number"), "image_number")
+    rank = numbered(images_.select("plate").distinct(), [], "plate", "image_number").withColumn("image_number", F.col("image_number").cast("int"))
+    return numbered(images_.join(rank, "plate"), ["plate"], "vec_id", "object_number").select("vec_id", F.col("object_number").cast("int").alias("object_number"), "image_number")
 
 
 @query(f"""with {PX}, p as (select vec_id, y, x, v, max(v) over (partition by vec_id, y) / 2 as half, lag(v) over w as b, lead(v) over w as a from px window w as (partition by vec_id, y order by x)),
@@ -323,11 +324,11 @@ def adaptive_otsu(t: Tables) -> DataFrame:
     return rounded(pixels.otsu(tiles, ["vec_id", "tile_y", "tile_x"], "v", 64), ["threshold"], 7)
 
 
-@query(f"""with {PX}, f as (select plate, max(v) as factor from px where plate % 2 = 0 group by plate) select vec_id, y, x, cast(least(greatest(round_even(abs(v) * 60000 / coalesce(factor, 1), 0), 0), 65535) as integer) as v from px left join f on px.plate = f.plate""")
+@query(f"""with {PX}, f as (select plate, max(v) as factor from px group by plate having max(v) > 0.5) select vec_id, y, x, cast(least(greatest(round_even(abs(v) * 60000 / coalesce(factor, 1), 0), 0), 65535) as integer) as v from px left join f on px.plate = f.plate""")
 def scale_apply(t: Tables) -> DataFrame:
     """Divide by the plate's factor where there is one, then clip to 16 bits."""
     p = images(t)
-    factors = p.where("plate % 2 = 0").groupBy("plate").agg(F.max("v").alias("factor"))
+    factors = p.groupBy("plate").agg(F.max("v").alias("factor")).where("factor > 0.5")
     scaled = F.abs("v") * 60000 / F.coalesce("factor", F.lit(1.0))
     return p.join(factors, "plate", "left").select("vec_id", "y", "x", numeric.to_uint16(scaled).alias("v"))
 
@@ -348,8 +349,12 @@ def udtf_blobs(t: Tables) -> DataFrame:
     return t.spark.sql("select vec_id, b.y, b.x, b.sigma from wellspan_images, lateral image_blobs(pixels, 8, 0.05) b")
 
 
-@query()
+@query(f"with {QUAD} select vec_id, label, round(median(v), 6) as middle from q where label > 0 group by vec_id, label")
 def custom_property(t: Tables) -> DataFrame:
     """A user's own aggregate of the pixels of each object, as a grouped function."""
-    own = F.pandas_udf(lambda values: float(values.median()), "double", F.PandasUDFType.GROUPED_AGG)
+
+    @F.pandas_udf("double")
+    def own(values: pd.Series) -> float:
+        return float(values.median())
+
     return quadrants(images(t)).where("label > 0").groupBy("vec_id", "label").agg(F.round(own("v"), 6).alias("middle"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import keys, numeric
 from ..operators import channels, filters, scaling, spatial, timing
+from ..operators.quantiles import numbered, small_side
 from ..registry import Tables, query
 
 
@@ -67,17 +68,17 @@ def offsets(t: Tables) -> DataFrame:
 
 
 @query(f"""with {OFFSETS}, p as (select plate, channel, quantile_cont(q1, 0.95) / 65535 as plate_scale from stats where field > 1 group by plate, channel),
-j as (select coalesce(p.plate, o.plate) as plate, coalesce(p.channel, o.channel) as channel, plate_scale, coalesce(plate_offset, 1.0) as plate_offset from p full join (select * from offs where plate % 3 <> 0) o on p.plate = o.plate and p.channel = o.channel),
+j as (select coalesce(p.plate, o.plate) as plate, coalesce(p.channel, o.channel) as channel, plate_scale, coalesce(plate_offset, 1.0) as plate_offset from p full join (select * from offs where plate_offset < 1.02) o on p.plate = o.plate and p.channel = o.channel),
 b as (select *, max(plate_scale / plate_offset) over (partition by channel) as base_scale from j)
 select plate, channel, round(plate_offset, 6) as plate_offset, round(base_scale, 8) as base_scale, round(coalesce(base_scale * plate_offset, 1.0), 8) as factor from b""")
 def final_scale_factor(t: Tables) -> DataFrame:
     plates = scaling.scale_factors(stats(t).where("field > 1"), ["plate", "channel"], "q1", 95).withColumnRenamed("factor", "plate_scale")
-    f = scaling.final_factors(plates, offsets(t).where("plate % 3 <> 0"))
+    f = scaling.final_factors(plates, offsets(t).where("plate_offset < 1.02"))
     return f.select("plate", "channel", F.round("plate_offset", 6).alias("plate_offset"), F.round("base_scale", 8).alias("base_scale"), F.round("factor", 8).alias("factor"))
 
 
 CONTROL = """with o as (select s_nationkey as plate, l_returnflag as channel, l_suppkey as well, l_linenumber as field, l_partkey as label, l_linestatus as name, l_quantity as area, l_tax as threshold, l_extendedprice as im, l_discount as ix
- from lineitem join supplier on l_suppkey = s_suppkey where s_nationkey % 2 = 0 or l_returnflag = 'A'),
+ from lineitem join supplier on l_suppkey = s_suppkey),
 e as (select * from (select distinct plate from o) cross join (select distinct channel from o)),
 g as (select plate, channel, count(distinct concat_ws('_', label, well, field)) as nobjects, count(distinct field) as nfields, count(distinct (well, field)) as nfields_total, count(distinct well) as nwells,
  array_to_string(list_sort(list(distinct name)), ',') as name, avg(threshold) as mt, avg(im) as mi, avg(area * im) as ii, avg(ix) as mx from o group by plate, channel)
@@ -88,7 +89,7 @@ select e.plate, e.channel, coalesce(nobjects, 0) as nobjects, coalesce(nfields,
 @query(CONTROL)
 def control_summary(t: Tables) -> DataFrame:
     s = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    o = t.lineitem.join(s, "l_suppkey").where("s_nationkey % 2 = 0 or l_returnflag = 'A'").select(
+    o = t.lineitem.join(s, "l_suppkey").select(
         F.col("s_nationkey").alias("plate"), F.col("l_returnflag").alias("channel"), F.col("l_suppkey").alias("well"), F.col("l_linenumber").alias("field"), F.col("l_partkey").alias("label"),
         F.col("l_linestatus").alias("name"), F.col("l_quantity").alias("area"), F.col("l_tax").alias("threshold"), F.col("l_extendedprice").alias("intensity_mean"), F.col("l_discount").alias("intensity_max"),
     )
@@ -207,11 +208,11 @@ def channel_index_running(t: Tables) -> DataFrame:
     return channels.channel_index(cycled, chans, masked)
 
 
-@query(f"""with {STATS}, {CYCLES}, im as (select distinct plate, channel as row_, cycle as col_, field from stats where (plate + field) % 7 <> 0),
+@query(f"""with {STATS}, {CYCLES}, im as (select distinct plate, channel as row_, cycle as col_, field from stats where q2 >= 50),
 e as (select ref_plate, count(*) as expected from cycles group by ref_plate)
 select c.ref_plate, row_, col_, field from im join cycles c on im.plate = c.plate join e on e.ref_plate = c.ref_plate group by c.ref_plate, row_, col_, field, expected having count(distinct im.plate) = expected""")
 def all_cycles_present(t: Tables) -> DataFrame:
-    images = stats(t).where("(plate + field) % 7 <> 0").select("plate", F.col("channel").alias("row"), F.col("cycle").alias("col"), "field").distinct()
+    images = stats(t).where("q2 >= 50").select("plate", F.col("channel").alias("row"), F.col("cycle").alias("col"), "field").distinct()
     return channels.in_all_cycles(images, channels.cycles(registration(t))).withColumnsRenamed({"row": "row_", "col": "col_"})
 
 
@@ -234,10 +235,13 @@ def scale_left_lookup(t: Tables) -> DataFrame:
     return t.orders.join(t.customer.where("c_acctbal > 0"), F.col("o_custkey") == F.col("c_custkey"), "left").select("o_orderkey", "c_mktsegment")
 
 
-@query("select c_nationkey, string_agg(cast(c_custkey as varchar), ' ' order by c_custkey) as customers, min(c_custkey) as first_ from customer group by c_nationkey")
+@query("""with r as (select c_nationkey, c_custkey, (row_number() over (partition by c_nationkey order by c_custkey) - 1) // 1000 as part from customer)
+select c_nationkey, part, string_agg(cast(c_custkey as varchar), ' ' order by c_custkey) as customers, min(c_custkey) as first_ from r group by c_nationkey, part""")
 def grouptuple_sorted(t: Tables) -> DataFrame:
+    """Sorted lists by nation, in parts of a thousand, so that no row holds a whole group."""
+    placed = numbered(t.customer.select("c_nationkey", "c_custkey"), ["c_nationkey"], "c_custkey").withColumn("part", F.expr("(number - 1) div 1000"))
     ids = F.array_sort(F.collect_list("c_custkey"))
-    return t.customer.groupBy("c_nationkey").agg(F.array_join(F.transform(ids, lambda x: x.cast("string")), " ").alias("customers"), F.min("c_custkey").alias("first_"))
+    return placed.groupBy("c_nationkey", "part").agg(F.array_join(F.transform(ids, lambda x: x.cast("string")), " ").alias("customers"), F.min("c_custkey").alias("first_"))
 
 
 @query("select conv_id, count(*) as n from conversations group by conv_id having count(*) = max(turn) + 1 and count(*) > 3")
@@ -252,10 +256,10 @@ def union_by_name(t: Tables) -> DataFrame:
     return s.unionByName(c, allowMissingColumns=True)
 
 
-@query("select 'except' as op, k from (select s_nationkey as k from supplier except select c_nationkey from customer where c_custkey % 50 = 0) union all select 'intersect', k from (select s_nationkey as k from supplier intersect select c_nationkey from customer where c_custkey % 50 = 0) union all select 'union', k from (select s_nationkey as k from supplier union select c_nationkey from customer)")
+@query("select 'except' as op, k from (select s_nationkey as k from supplier except select c_nationkey from customer where c_acctbal > 9900) union all select 'intersect', k from (select s_nationkey as k from supplier intersect select c_nationkey from customer where c_acctbal > 9900) union all select 'union', k from (select s_nationkey as k from supplier union select c_nationkey from customer)")
 def set_operations(t: Tables) -> DataFrame:
     a, b = t.supplier.select(F.col("s_nationkey").alias("k")), t.customer.select(F.col("c_nationkey").alias("k"))
-    few = t.customer.where("c_custkey % 50 = 0").select(F.col("c_nationkey").alias("k"))
+    few = t.customer.where("c_acctbal > 9900").select(F.col("c_nationkey").alias("k"))
     tag = lambda name, df: df.select(F.lit(name).alias("op"), "k")
     return tag("except", a.distinct().join(few, "k", "left_anti")).union(tag("intersect", a.intersect(few))).union(tag("union", a.union(b).distinct()))
 
@@ -301,7 +305,7 @@ MAD = "select l_orderkey, l_linenumber, l_returnflag, {v} as v, median({v}) over
 @query("""with a as (select *, median(value) over (partition by event_type) as m from events), b as (select *, median(abs(value - m)) over (partition by event_type) as d from a)
 select event_id, round(case when d = 0 then 0.0 else (value - m) / d end, 6) as mad_score from b""")
 def mad_scores(t: Tables) -> DataFrame:
-    return filters.mad_scores(t.events, "value", ["event_type"]).select("event_id", F.round("mad_score", 6).alias("mad_score"))
+    return filters.mad_scores(t.events, ["value"], ["event_type"], ["mad_score"]).select("event_id", F.round("mad_score", 6).alias("mad_score"))
 
 
 @query("""with a as (select *, median(l_quantity) over (partition by l_returnflag) as m1, median(l_extendedprice) over (partition by l_returnflag) as m2 from lineitem),
@@ -386,10 +390,14 @@ select p.event_type, cast(i as integer) as i, round(x, 6) as x, round(sum(exp(-0
 def kde_grid(t: Tables) -> DataFrame:
     """Gaussian density on a grid with Scott's bandwidth; groups of one row are passed over."""
     g = t.events.groupBy("event_type").agg(F.stddev_samp("value").alias("s"), F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).where("n > 1")
-    p = g.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(49)))).withColumns({"x": F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("i") / 49.0, "h": F.col("s") * F.pow("n", F.lit(-0.2))})
-    u = (F.col("x") - F.col("value")) / F.col("h")
-    d = t.events.select("event_type", "value").join(F.broadcast(p), "event_type").groupBy("event_type", "i", "x", "n", "h").agg(F.sum(F.exp(-0.5 * u * u)).alias("s"))
-    return d.select("event_type", "i", F.round("x", 6).alias("x"), F.round(F.col("s") / (F.col("n") * F.col("h") * F.sqrt(2 * F.pi())), 8).alias("density"))
+    # A sum for each grid point in one aggregate: rows are not multiplied.
+    x = lambda i: F.col("lo") + (F.col("hi") - F.col("lo")) * i / 49.0
+    h = F.col("s") * F.pow("n", F.lit(-0.2))
+    u = lambda i: (x(i) - F.col("value")) / h
+    sums = [F.sum(F.exp(-0.5 * u(i) * u(i))).alias(f"d{i}") for i in range(50)]
+    wide = t.events.select("event_type", "value").join(small_side(g), "event_type").groupBy("event_type", "s", "n", "lo", "hi").agg(*sums)
+    long = wide.select("*", F.posexplode(F.array(*(f"d{i}" for i in range(50)))).alias("i", "d"))
+    return long.select("event_type", "i", F.round(x(F.col("i")), 6).alias("x"), F.round(F.col("d") / (F.col("n") * h * F.sqrt(2 * F.pi())), 8).alias("density"))
 
 
 @query("select l_returnflag, cast(least(floor(l_extendedprice / 5000), 19) as integer) as bin, count(*) as n from lineitem group by 1, 2")
@@ -408,12 +416,11 @@ def sample_without_replacement(t: Tables) -> DataFrame:
 select s.label, cast(draw as integer) as draw, vec_id from s join k on s.label = k.label and ('0x' || substr(md5(s.label || ':' || draw), 1, 7))::bigint % n = place""")
 def sample_with_replacement(t: Tables) -> DataFrame:
     """Eight seeded draws of every plate's images, repeats possible."""
-    w = Window.partitionBy("label")
-    images = t.embeddings.select("label", "vec_id").withColumns({"at": F.row_number().over(w.orderBy("vec_id")) - 1, "n": F.count(F.lit(1)).over(w)})
-    sizes = images.groupBy("label").agg(F.max("n").alias("n"))
+    images = numbered(t.embeddings.select("label", "vec_id"), ["label"], "vec_id").withColumn("at", F.col("number") - 1).drop("number")
+    sizes = t.embeddings.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     drawn = sizes.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(7))))
     number = F.conv(F.substring(F.md5(F.concat_ws(":", F.col("label").cast("string"), F.col("draw").cast("string"))), 1, 7), 16, 10).cast("bigint")
-    return drawn.withColumn("at", number % F.col("n")).join(images.drop("n"), ["label", "at"]).select("label", "draw", "vec_id")
+    return drawn.withColumn("at", number % F.col("n")).join(images, ["label", "at"]).select("label", "draw", "vec_id")
 
 
 @query("select 'objects' as name, count(*) as n from customer where c_acctbal is null union all select 'plates', count(*) from supplier where s_nationkey is null")
