@@ -1,18 +1,10 @@
-"""Array kernels for single images, in numpy; they run inside grouped or batch functions."""
+"""What one image needs that pixel tables cannot express: transforms, spots and fits, in numpy."""
 
 from __future__ import annotations
 
 import numpy as np
 
 
-def shifted(image: np.ndarray, dy: int, dx: int) -> np.ndarray:
-    """Translate by whole pixels; what comes in from outside is 0."""
-    out = np.zeros_like(image)
-    h, w = image.shape
-    out[max(0, dy) : h + min(0, dy), max(0, dx) : w + min(0, dx)] = image[max(0, -dy) : h + min(0, -dy), max(0, -dx) : w + min(0, -dx)]
-    return out
-
-
 def translation(reference: np.ndarray, moving: np.ndarray) -> tuple[int, int]:
     """(dy, dx) that moves ``moving`` onto ``reference``: the peak of the phase correlation."""
     cross = np.fft.fft2(reference) * np.conj(np.fft.fft2(moving))
@@ -20,57 +12,6 @@ def translation(reference: np.ndarray, moving: np.ndarray) -> tuple[int, int]:
     return tuple(int(p - n if p > n // 2 else p) for p, n in zip(peak, reference.shape))
 
 
-def labelled(mask: np.ndarray) -> np.ndarray:
-    """Connected components (eight neighbours), numbered from 1 in reading order."""
-    h, w = mask.shape
-    label = np.where(mask, np.arange(1, h * w + 1).reshape(h, w), 0)
-    while True:
-        low = np.where(label > 0, label, h * w + 1)
-        padded = np.pad(low, 1, constant_values=h * w + 1)
-        near = np.min([padded[1 + a : 1 + a + h, 1 + b : 1 + b + w] for a in (-1, 0, 1) for b in (-1, 0, 1)], axis=0)
-        new = np.where(mask, near, 0)
-        if np.array_equal(new, label):
-            break
-        label = new
-    return np.unique(label, return_inverse=True)[1].reshape(h, w) + (0 if (label == 0).any() else 1)
-
-
-def _around(image: np.ndarray, radius: int, outside: float) -> np.ndarray:
-    padded = np.pad(image, radius, constant_values=outside)
-    h, w = image.shape
-    offsets = [(a, b) for a in range(-radius, radius + 1) for b in range(-radius, radius + 1) if a * a + b * b <= radius * radius]
-    return np.stack([padded[radius + a : radius + a + h, radius + b : radius + b + w] for a, b in offsets])
-
-
-def eroded(image: np.ndarray, radius: int = 1) -> np.ndarray:
-    """Grey erosion with a disk."""
-    return _around(image, radius, np.inf if image.dtype.kind == "f" else np.iinfo(image.dtype).max if image.dtype.kind in "iu" else True).min(axis=0)
-
-
-def dilated(image: np.ndarray, radius: int = 1) -> np.ndarray:
-    return _around(image, radius, -np.inf if image.dtype.kind == "f" else np.iinfo(image.dtype).min if image.dtype.kind in "iu" else False).max(axis=0)
-
-
-def opened(image: np.ndarray, radius: int = 1) -> np.ndarray:
-    return dilated(eroded(image, radius), radius)
-
-
-def closed(image: np.ndarray, radius: int = 1) -> np.ndarray:
-    return eroded(dilated(image, radius), radius)
-
-
-def top_hat(image: np.ndarray, radius: int) -> np.ndarray:
-    """Features smaller than the disk; ``opened`` is what suppressing them leaves."""
-    return image - opened(image, radius)
-
-
-def median_filtered(image: np.ndarray, radius: int = 1) -> np.ndarray:
-    h, w = image.shape
-    padded = np.pad(image, radius, mode="edge")
-    offsets = [(a, b) for a in range(2 * radius + 1) for b in range(2 * radius + 1) if (a - radius) ** 2 + (b - radius) ** 2 <= radius * radius]
-    return np.median([padded[a : a + h, b : b + w] for a, b in offsets], axis=0)
-
-
 def gaussian(image: np.ndarray, sigma: float) -> np.ndarray:
     """Separable blur; edges repeat."""
     radius = max(1, int(4 * sigma + 0.5))
@@ -97,112 +38,6 @@ def blobs(image: np.ndarray, sigmas: tuple[float, ...] = (1.0, 2.0, 3.0), thresh
     return sorted((int(b), int(c), sigmas[a]) for a, b, c in zip(s, y, x) if border <= b < h - border and border <= c < w - border)
 
 
-def richardson_lucy(image: np.ndarray, psf: np.ndarray, rounds: int = 20, regularise: float = 0.0) -> np.ndarray:
-    """Deconvolution by multiplicative updates, with Fourier products; edges wrap."""
-    kernel = np.zeros(image.shape)
-    kernel[: psf.shape[0], : psf.shape[1]] = psf / psf.sum()
-    kernel = np.roll(kernel, [-(n // 2) for n in psf.shape], (0, 1))
-    f = np.fft.rfft2(kernel)
-    out = np.full(image.shape, image.mean(), float)
-    for _ in range(rounds):
-        blurred = np.fft.irfft2(np.fft.rfft2(out) * f, image.shape)
-        ratio = np.fft.irfft2(np.fft.rfft2(image / np.maximum(blurred, 1e-12)) * np.conj(f), image.shape)
-        if regularise:
-            gy, gx = np.gradient(out)
-            norm = np.sqrt(gy**2 + gx**2) + 1e-12
-            ratio = ratio / np.maximum(1e-3, 1 - regularise * (np.gradient(gy / norm, axis=0) + np.gradient(gx / norm, axis=1)))
-        out = np.maximum(out * ratio, 0)
-    return out
-
-
-def holes_filled(mask: np.ndarray) -> np.ndarray:
-    """Background that does not reach the border (four neighbours) becomes foreground."""
-    reach = np.zeros_like(mask, bool)
-    reach[[0, -1], :] = ~mask[[0, -1], :]
-    reach[:, [0, -1]] |= ~mask[:, [0, -1]]
-    while True:
-        p = np.pad(reach, 1)
-        new = (reach | p[:-2, 1:-1] | p[2:, 1:-1] | p[1:-1, :-2] | p[1:-1, 2:]) & ~mask
-        if np.array_equal(new, reach):
-            return ~reach
-        reach = new
-
-
-def border_cleared(label: np.ndarray) -> np.ndarray:
-    touching = np.unique(np.concatenate([label[0], label[-1], label[:, 0], label[:, -1]]))
-    return np.where(np.isin(label, touching), 0, label)
-
-
-def propagated(seeds: np.ndarray, mask: np.ndarray) -> np.ndarray:
-    """Grow seeds over the mask one pixel a round; ties go to the lower label."""
-    big = np.iinfo(np.int64).max
-    label = np.where(mask | (seeds > 0), seeds, 0).astype(np.int64)
-    while True:
-        p = np.pad(np.where(label > 0, label, big), 1, constant_values=big)
-        near = np.minimum.reduce([p[:-2, 1:-1], p[2:, 1:-1], p[1:-1, :-2], p[1:-1, 2:]])
-        new = np.where((label == 0) & mask & (near < big), near, label)
-        if np.array_equal(new, label):
-            return label
-        label = new
-
-
-def shrunk(label: np.ndarray, radius: int) -> np.ndarray:
-    """Each object eroded by a disk on its own."""
-    out = np.zeros_like(label)
-    for k in np.unique(label[label > 0]):
-        out[eroded(label == k, radius)] = k
-    return out
-
-
-def grown(label: np.ndarray, radius: int) -> np.ndarray:
-    out = label.copy()
-    for _ in range(radius):
-        out = propagated_once(out)
-    return out
-
-
-def propagated_once(label: np.ndarray) -> np.ndarray:
-    big = np.iinfo(np.int64).max
-    p = np.pad(np.where(label > 0, label, big).astype(np.int64), 1, constant_values=big)
-    near = np.minimum.reduce([p[:-2, 1:-1], p[2:, 1:-1], p[1:-1, :-2], p[1:-1, 2:]])
-    return np.where((label == 0) & (near < big), near, label)
-
-
-def distance_to_background(mask: np.ndarray) -> np.ndarray:
-    """City-block distance to the nearest background pixel."""
-    d, left = np.zeros(mask.shape, int), mask.copy()
-    while left.any():
-        d[left] += 1
-        p = np.pad(left, 1)
-        left = left & p[:-2, 1:-1] & p[2:, 1:-1] & p[1:-1, :-2] & p[1:-1, 2:]
-    return d
-
-
-def watershed(mask: np.ndarray) -> np.ndarray:
-    """Split touching objects: flood from the peaks of the distance to the background."""
-    d = distance_to_background(mask)
-    peaks = (d > 0) & (d == dilated(d, 2))
-    label = labelled(peaks)
-    for level in range(int(d.max(initial=0)), 0, -1):
-        label = propagated(label, mask & (d >= level))
-    return label
-
-
-def granularity(image: np.ndarray, steps: int = 8, radius: int = 1) -> list[float]:
-    """Percent of the signal that each larger opening removes."""
-    total = float(image.sum()) or 1.0
-    before, out, current = float(image.sum()), [], image.astype(float)
-    for _ in range(steps):
-        current = eroded(current, radius)
-        grown_, last = current, None
-        while last is None or not np.array_equal(grown_, last):  # reconstruction under the image
-            last, grown_ = grown_, np.minimum(dilated(grown_, radius), image)
-        now = float(grown_.sum())
-        out.append((before - now) / total * 100)
-        before = now
-    return out
-
-
 def gaussian_fwhm(profile: np.ndarray, rounds: int = 50) -> float:
     """Full width at half maximum of a least-squares Gaussian; NaN if the fit fails."""
     x = np.arange(len(profile), dtype=float)
@@ -225,23 +60,3 @@ def gaussian_fwhm(profile: np.ndarray, rounds: int = 50) -> float:
         else:
             damp *= 4
     return float(abs(p[2]) * 2 * np.sqrt(2 * np.log(2))) if np.isfinite(p).all() else float("nan")
-
-
-def empirical_fwhm(profile: np.ndarray) -> float:
-    """Width between the interpolated crossings of half the maximum."""
-    half = profile.max() / 2
-    above = np.flatnonzero(profile >= half)
-    a, b = int(above[0]), int(above[-1])
-    left = a - (profile[a] - half) / (profile[a] - profile[a - 1]) if a > 0 else float(a)
-    right = b + (profile[b] - half) / (profile[b] - profile[b + 1]) if b < len(profile) - 1 else float(b)
-    return float(right - left)
-
-
-def square_crop(image: np.ndarray, cy: int, cx: int, size: int) -> np.ndarray:
-    """size x size pixels around a centre; outside is 0."""
-    out = np.zeros((size, size), image.dtype)
-    y0, x0 = cy - size // 2, cx - size // 2
-    ys, xs = slice(max(0, y0), min(image.shape[0], y0 + size)), slice(max(0, x0), min(image.shape[1], x0 + size))
-    if ys.start < ys.stop and xs.start < xs.stop:
-        out[ys.start - y0 : ys.stop - y0, xs.start - x0 : xs.stop - x0] = image[ys, xs]
-    return out

@@ -1,4 +1,4 @@
-"""Array kernels over whole images, distributed by image.
+"""Transforms, fits and models over whole images, distributed by image.
 
 An image is one row (an array of pixels), so a hot plate spreads over all tasks: nothing is
 grouped but single images.
@@ -32,11 +32,6 @@ def per_image(images: DataFrame, key: list[str], f: Callable[[np.ndarray], np.nd
     return images.select(*key, column).mapInPandas(run, schema)
 
 
-def components(images: DataFrame, key: list[str], width: int, threshold: float, column: str = "pixels") -> DataFrame:
-    """Connected components of the pixels above a threshold."""
-    return per_image(images, key, lambda a: kernels.labelled(a > threshold), width, column)
-
-
 def registered(pairs: DataFrame, key: list[str], width: int) -> DataFrame:
     """(key, dy, dx): translation that moves array ``moving`` onto array ``reference``."""
     kinds = dict(pairs.dtypes)
@@ -52,22 +47,18 @@ def registered(pairs: DataFrame, key: list[str], width: int) -> DataFrame:
     return pairs.select(*key, "reference", "moving").mapInPandas(run, schema)
 
 
-def crops(images: DataFrame, key: list[str], width: int, size: int, column: str = "pixels") -> DataFrame:
-    """(key, label, cy, cx, pixels): a square crop around every object of ``labels``."""
-    kinds = dict(images.dtypes)
-    schema = ", ".join([*(f"{k} {kinds[k]}" for k in key), f"label int, cy int, cx int, {column} array<double>"])
+def gaussian_widths(profiles: DataFrame, key: list[str], column: str = "profile") -> DataFrame:
+    """(key, width): full width at half maximum of a Gaussian fitted to each profile."""
+    kinds = dict(profiles.dtypes)
+    schema = ", ".join([*(f"{k} {kinds[k]}" for k in key), "width double"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
-            for row in pdf.itertuples(index=False):
-                image, label = (np.asarray(getattr(row, c), float).reshape(-1, width) for c in (column, "labels"))
-                for k in np.unique(label[label > 0]).astype(int):
-                    cy, cx = (int(np.rint(a.mean())) for a in np.nonzero(label == k))
-                    rows.append((*(getattr(row, c) for c in key), k, cy, cx, kernels.square_crop(np.where(label == k, image, 0), cy, cx, size).ravel()))
-            yield type(pdf)(rows, columns=[*key, "label", "cy", "cx", column])
-
-    return images.select(*key, column, "labels").mapInPandas(run, schema)
+            out = pdf[key].copy()
+            out["width"] = [kernels.gaussian_fwhm(np.asarray(p, float)) for p in pdf[column]]
+            yield out
+
+    return profiles.select(*key, column).mapInPandas(run, schema)
 
 
 def predicted(cells: DataFrame, key: list[str], model: Callable[[], Callable[[np.ndarray], np.ndarray]], column: str = "pixels", batch: int = 64) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Queries of streams, module pipelines and array kernels."""
+"""Queries of streams, module pipelines and transforms of whole images."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import kernels
 from ..operators import grouped
 from ..registry import Tables, query
 from ..streaming import groups
@@ -16,8 +15,10 @@ from . import imaging, modules
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder where all executors see it: below the cluster's checkpoint folder if set."""
+    """A new folder where all executors see it: below the cluster's checkpoint folder, which has to be set there."""
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return f"{base.rstrip('/')}/wellspan-{uuid.uuid4().hex}" if base else tempfile.mkdtemp(prefix="wellspan-")
 
 
@@ -73,12 +74,6 @@ def arrays(t: Tables) -> DataFrame:
     return t.embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("pixels"))
 
 
-@query()
-def kernel_components(t: Tables) -> DataFrame:
-    found = grouped.components(arrays(t), ["vec_id"], imaging.SIDE, 0.0)
-    return found.select("vec_id", F.array_max("pixels").cast("int").alias("n_objects"))
-
-
 @query("select vec_id, 1 as dy, 2 as dx from embeddings")
 def kernel_registration(t: Tables) -> DataFrame:
     """The translation put into every image is found again."""
@@ -89,30 +84,9 @@ def kernel_registration(t: Tables) -> DataFrame:
     return grouped.registered(pairs, ["vec_id"], imaging.SIDE)
 
 
-@query()
-def kernel_watershed(t: Tables) -> DataFrame:
-    found = grouped.per_image(arrays(t), ["vec_id"], lambda a: kernels.watershed(a > 0), imaging.SIDE)
-    return found.select("vec_id", F.array_max("pixels").cast("int").alias("n_objects"))
-
-
-@query()
-def kernel_granularity(t: Tables) -> DataFrame:
-    import numpy as np
-
-    found = grouped.per_image(arrays(t), ["vec_id"], lambda a: np.array(kernels.granularity(np.abs(a), 4)), imaging.SIDE)
-    return found.select("vec_id", F.transform("pixels", lambda v: F.round(v, 6)).alias("spectrum"))
-
-
-@query()
-def kernel_deconvolution(t: Tables) -> DataFrame:
-    import numpy as np
-
-    psf = np.array([[1.0, 2.0, 1.0], [2.0, 4.0, 2.0], [1.0, 2.0, 1.0]])
-    found = grouped.per_image(arrays(t), ["vec_id"], lambda a: kernels.richardson_lucy(np.abs(a), psf, 10), imaging.SIDE)
-    return found.select("vec_id", F.round(F.aggregate("pixels", F.lit(0.0), lambda a, v: a + v), 6).alias("total"))
-
-
-@query()
-def kernel_cell_crops(t: Tables) -> DataFrame:
-    both = arrays(t).join(grouped.components(arrays(t), ["vec_id"], imaging.SIDE, 0.05).withColumnRenamed("pixels", "labels"), "vec_id")
-    return grouped.crops(both, ["vec_id"], imaging.SIDE, 4).select("vec_id", "label", "cy", "cx", F.round(F.array_max("pixels"), 6).alias("brightest"))
+@query("select vec_id, round((1 + vec_id % 5 * 0.5) * 2 * sqrt(2 * ln(2)), 4) as width from embeddings")
+def gaussian_width_fit(t: Tables) -> DataFrame:
+    """Profiles of known spread, fitted: the width is that of the spread which was put in."""
+    spread = F.lit(1.0) + F.col("vec_id") % 5 * 0.5
+    profile = F.transform(F.sequence(F.lit(0), F.lit(40)), lambda i: F.exp(-0.5 * F.pow((i - 20) / spread, F.lit(2.0))))
+    return grouped.gaussian_widths(t.embeddings.select("vec_id", profile.alias("profile")), ["vec_id"]).withColumn("width", F.round("width", 4))
