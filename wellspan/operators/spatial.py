@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .morphology import kept
 from .quantiles import same_key
 
 
@@ -12,19 +13,19 @@ def distance(y1: Column, x1: Column, y2: Column, x2: Column) -> Column:
     return F.sqrt((y1 - y2) * (y1 - y2) + (x1 - x2) * (x1 - x2))
 
 
-def _near_pairs(points: DataFrame, d: float, by: list[str]) -> DataFrame:
-    """(by, id, other, dist) with dist < d, both directions, each pair from one bucket match.
+def _near_pairs(points: DataFrame, d: float, by: list[str], asking: DataFrame | None = None) -> DataFrame:
+    """(by, id, other, dist, dy, dx) with dist < d, both directions, each pair from one bucket match.
 
     Points go to the cell of side d they lie in; each is also sent to the eight cells around
     it, so close points meet in a cell and every pair meets once.
     """
-    cell = points.withColumns({"gy": F.floor(F.col("y") / d), "gx": F.floor(F.col("x") / d)})
+    grid = lambda p: p.withColumns({"gy": F.floor(F.col("y") / d), "gx": F.floor(F.col("x") / d)})
     steps = F.array(*[F.lit(i).cast("long") for i in (-1, 0, 1)])
-    spread = cell.withColumn("dy", F.explode(steps)).withColumn("dx", F.explode(steps)).withColumns({"gy": F.col("gy") + F.col("dy"), "gx": F.col("gx") + F.col("dx")})
+    spread = grid(points if asking is None else asking).withColumn("dy", F.explode(steps)).withColumn("dx", F.explode(steps)).withColumns({"gy": F.col("gy") + F.col("dy"), "gx": F.col("gx") + F.col("dx")})
     left = spread.select(*by, "gy", "gx", "id", F.col("y").alias("y1"), F.col("x").alias("x1"))
-    right = cell.select(*by, "gy", "gx", F.col("id").alias("other"), F.col("y").alias("y2"), F.col("x").alias("x2"))
+    right = grid(points).select(*by, "gy", "gx", F.col("id").alias("other"), F.col("y").alias("y2"), F.col("x").alias("x2"))
     dist = distance(F.col("y1"), F.col("x1"), F.col("y2"), F.col("x2"))
-    return left.join(right, [*by, "gy", "gx"]).where((F.col("id") != F.col("other")) & (dist < d)).select(*by, "id", "other", dist.alias("dist"))
+    return left.join(right, [*by, "gy", "gx"]).where((F.col("id") != F.col("other")) & (dist < d)).select(*by, "id", "other", dist.alias("dist"), (F.col("y2") - F.col("y1")).alias("dy"), (F.col("x2") - F.col("x1")).alias("dx"))
 
 
 def without_close(points: DataFrame, d: float, by: list[str]) -> DataFrame:
@@ -42,7 +43,7 @@ def neighbour_counts(points: DataFrame, d: float, by: list[str]) -> DataFrame:
 def nearest(points: DataFrame, k: int, d: float, by: list[str]) -> DataFrame:
     """The k nearest others within d: (by, id, place, other, dist), ties to the smaller id."""
     order = Window.partitionBy(*by, "id").orderBy("dist", "other")
-    return _near_pairs(points, d, by).withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+    return _near_pairs(points, d, by).withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).drop("dy", "dx")
 
 
 def grid_index(points: DataFrame, by: list[str]) -> DataFrame:
@@ -56,3 +57,27 @@ def grid_index(points: DataFrame, by: list[str]) -> DataFrame:
         lines = points.select(*by, axis).distinct().withColumn(f"index_{axis}", F.row_number().over(Window.partitionBy(*by).orderBy(order)) - 1)
         unique = same_key(unique, lines, [*by, axis])
     return unique
+
+
+def closest_two(points: DataFrame, d: float, by: list[str]) -> DataFrame:
+    """(by, id, first_, second_, their distances, angle in degrees) of the two closest others.
+
+    Points that find fewer than two others within ``d`` look again within twice as far, until
+    ``d`` spans their group; so each round joins fewer points, and none is left out but where
+    a group has less than three.
+    """
+    sizes = points.groupBy(*by).agg(F.count(F.lit(1)).alias("size_"), F.greatest(F.max("y") - F.min("y"), F.max("x") - F.min("x")).alias("span_"))
+    widest = sizes.agg(F.max("span_")).first()[0]
+    left, found = points.join(sizes.where("size_ > 2").select(*by), by, "left_semi"), None
+    while True:
+        near = _near_pairs(points, d, by, left).withColumn("place", F.row_number().over(Window.partitionBy(*by, "id").orderBy("dist", "other"))).where("place <= 2")
+        pairs = near.groupBy(*by, "id").agg(*(F.max(F.when(F.col("place") == k, F.struct("other", "dist", "dy", "dx"))).alias(f"n{k}") for k in (1, 2))).where("n2 is not null")
+        pairs = kept(pairs)
+        found = pairs if found is None else found.unionByName(pairs)
+        left = kept(left.join(pairs.select(*by, "id"), [*by, "id"], "left_anti"))
+        if widest is None or d > 2 * widest or left.isEmpty():
+            break
+        d *= 2
+    cosine = (F.col("n1.dy") * F.col("n2.dy") + F.col("n1.dx") * F.col("n2.dx")) / (F.col("n1.dist") * F.col("n2.dist"))
+    angle = F.degrees(F.acos(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), cosine))))
+    return found.select(*by, "id", F.col("n1.other").alias("first_"), F.col("n2.other").alias("second_"), F.col("n1.dist").alias("first_distance"), F.col("n2.dist").alias("second_distance"), angle.alias("angle"))

@@ -129,3 +129,35 @@ def image_sets(named: DataFrame, names: dict[int, str], path: str = "path") -> D
     """One row per (plate, well, field) with a column of paths for each named channel."""
     wide = named.groupBy("plate", "well", "field").pivot("channel", list(names)).agg(F.first(path))
     return wide.withColumnsRenamed({str(k): v for k, v in names.items()}).dropna(subset=list(names.values()))
+
+
+def first_row(spark: SparkSession, path: str) -> DataFrame:
+    """The first data row of a manifest, in the order of the file; manifests are small files."""
+    lines = spark.read.text(path, wholetext=True).select(F.split("value", r"\r?\n").alias("l"))
+    pairs = lines.select(F.map_from_arrays(F.split(F.col("l")[0], "\t"), F.split(F.col("l")[1], "\t")).alias("m"))
+    return pairs.select(*(F.col("m")[c.split()[0]].alias(c.split()[0]) for c in PLATES.split(", ")))
+
+
+def merged_crop_index(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
+    """All crop index files below a folder as one table, columns matched by name.
+
+    Files may have different columns: the header of each kind is read once, and files are
+    read by kind and united by name.
+    """
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(folder).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    heads = files.where(F.col("value").rlike(r"^[A-Za-z_]")).groupBy("value").agg(F.count(F.lit(1)).alias("n")).collect()
+    rows = files.where(~F.col("value").rlike(r"^[A-Za-z_]"))
+    named = files.where(F.col("value").rlike(r"^[A-Za-z_]")).select("file", F.col("value").alias("head"))
+    out = None
+    for r in sorted(heads, key=lambda r: r["value"]):
+        columns = r["value"].split(",")
+        own = rows.join(named.where(F.col("head") == r["value"]), "file").select(F.split("value", ",").alias("v")).select(*(F.nullif(F.col("v")[i], F.lit("")).alias(c) for i, c in enumerate(columns)))
+        out = own if out is None else out.unionByName(own, allowMissingColumns=True)
+    if out is None:
+        raise ValueError("no crop index file")
+    return out
+
+
+def blob_list(spark: SparkSession, path: str) -> DataFrame:
+    """Spots without header: (y, x, r)."""
+    return _tsv(spark, path, "y double, x double, r double", header=False)
