@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from ..functions.numeric import SURFACE_TERMS, surface_term
 
@@ -40,3 +41,25 @@ def evaluation(pixels: DataFrame, key: list[str], bins: int, size: int) -> DataF
     image = pixels.groupBy(*key, "y", "x").agg(F.avg(F.when(~F.isnan("v"), F.col("v"))).alias("v"))
     step = size // bins
     return image.groupBy(*key, F.floor(F.col("y") / step).cast("int").alias("bin_y"), F.floor(F.col("x") / step).cast("int").alias("bin_x")).agg(F.avg("v").alias("mean"))
+
+
+def mean_field(pixels: DataFrame, key: list[str]) -> DataFrame:
+    """(key, y, x, flat): the mean image over its own mean; nulls and NaN are passed over."""
+    image = pixels.groupBy(*key, "y", "x").agg(F.avg(F.when(~F.isnan("v"), F.col("v"))).alias("v"))
+    level = image.groupBy(*key).agg(F.avg("v").alias("level_"))
+    return image.join(level, key).select(*key, "y", "x", (F.col("v") / F.nullif("level_", F.lit(0.0))).alias("flat"))
+
+
+def fitted_field(pixels: DataFrame, key: list[str], size: int, ridge: float = 0.0) -> DataFrame:
+    """(key, y, x, flat): the fitted polynomial surface over its mean, one fit a key.
+
+    A key is a plate and channel: their sums, 135 numbers each, are collected to be solved.
+    """
+    rows = gram_sums(pixels, key, size).collect()
+    fits = [(*(r[c] for c in key), [float(x) for x in solved(r.asDict(), ridge)]) for r in rows]
+    schema = pixels.select(*key).schema.add("fit_", ArrayType(DoubleType()))
+    frame = pixels.select(*key, "y", "x").distinct().join(pixels.sparkSession.createDataFrame(fits, schema), key)
+    x, y = F.col("x") / F.lit(float(size - 1)), F.col("y") / F.lit(float(size - 1))
+    value = sum((F.col("fit_")[i] * surface_term(x, y, t) for i, t in enumerate(SURFACE_TERMS)), F.lit(0.0))
+    image = frame.select(*key, "y", "x", value.alias("f_"))
+    return image.join(image.groupBy(*key).agg(F.avg("f_").alias("level_")), key).select(*key, "y", "x", (F.col("f_") / F.col("level_")).alias("flat"))

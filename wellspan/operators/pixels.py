@@ -49,12 +49,17 @@ def centre_planes(planes: DataFrame, plane: str, n_planes: int, keep: int) -> Da
     return planes.where(F.abs(F.col(plane) - round(n_planes / 2)) < keep)
 
 
-def rescaled(pixels: DataFrame, key: list[str], low: float = 0.0, high: float = 1.0) -> DataFrame:
-    """Stretch every image's full range to [0, 1]; an image of one value becomes 0."""
-    w = Window.partitionBy(*key)
-    lo, hi = F.min("v").over(w), F.max("v").over(w)
-    unit = F.when(hi > lo, (F.col("v") - lo) / (hi - lo)).otherwise(F.lit(0.0))
-    return pixels.withColumn("v", low + unit * (high - low))
+def rescaled(pixels: DataFrame, key: list[str], low: float = 0.0, high: float = 1.0, given: tuple[float, float] | None = None) -> DataFrame:
+    """Stretch every image's full range, or a ``given`` input range, to [low, high].
+
+    An image of one value becomes ``low``; values outside a given range are clamped.
+    """
+    if given is not None:
+        unit = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (F.col("v") - given[0]) / (given[1] - given[0])))
+        return pixels.withColumn("v", low + unit * (high - low))
+    span = pixels.groupBy(*key).agg(F.min("v").alias("lo_"), F.max("v").alias("hi_"))
+    unit = F.when(F.col("hi_") > F.col("lo_"), (F.col("v") - F.col("lo_")) / (F.col("hi_") - F.col("lo_"))).otherwise(F.lit(0.0))
+    return pixels.join(span, key).withColumn("v", low + unit * (high - low)).drop("lo_", "hi_")
 
 
 def standardised(pixels: DataFrame, key: list[str]) -> DataFrame:
@@ -73,12 +78,18 @@ def percentile_normalised(pixels: DataFrame, key: list[str], low: float = 1.0, h
     return joined.withColumn("v", F.greatest(F.lit(0.0), (F.col("v") - p[0]) / (p[1] - p[0]))).drop("p")
 
 
-def math(left: DataFrame, right: DataFrame, key: list[str], how: str) -> DataFrame:
-    """Two images pixel by pixel: add, subtract, multiply, maximum; clamped to [0, 1]."""
-    a, b = F.col("v"), F.col("v_")
+def math(left: DataFrame, right: DataFrame, key: list[str], how: str, factors: tuple[float, float] = (1.0, 1.0), exponent: float = 1.0, times: float = 1.0, plus: float = 0.0, clamp: bool = True) -> DataFrame:
+    """Two images pixel by pixel: add, subtract, multiply, maximum; then power, factor and addend.
+
+    ``factors`` apply to the images before; what is no number becomes 0, and the result is
+    clamped to [0, 1] unless told not to.
+    """
+    a, b = F.col("v") * factors[0], F.col("v_") * factors[1]
     made = {"add": a + b, "subtract": a - b, "multiply": a * b, "maximum": F.greatest(a, b)}[how]
     joined = left.join(right.withColumnRenamed("v", "v_"), [*key, "y", "x"])
-    return joined.withColumn("v", F.least(F.greatest(made, F.lit(0.0)), F.lit(1.0))).drop("v_")
+    made = (made if exponent == 1.0 else F.pow(made, F.lit(exponent))) * times + plus
+    sound = F.when(made.isNull() | F.isnan(made), F.lit(0.0)).otherwise(made)
+    return joined.withColumn("v", F.least(F.greatest(sound, F.lit(0.0)), F.lit(1.0)) if clamp else sound).drop("v_")
 
 
 def inverted(pixels: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, fields
 from typing import Any
 
-FLATFIELD_MODES = ("POLY", "MEAN", "PE")
+FLATFIELD_MODES = ("POLY", "MEAN")
 REGISTRATION_MODES = ("CROSS",)
 
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import filters, objects, pixels
+from ..operators import filters, measures, morphology, objects, pixels, thresholds
 
 Context = dict[str, DataFrame]
 KEY = ["image"]
@@ -39,7 +39,8 @@ def compiled(steps: list[dict], tables: Context) -> Context:
 
 @module("Rescale")
 def _rescale(c: Context, s: dict) -> None:
-    c[s["output"]] = pixels.rescaled(c[s["input"]], KEY)
+    """The image's full range, or the ``range`` stated, to [0, 1]."""
+    c[s["output"]] = pixels.rescaled(c[s["input"]], KEY, given=s.get("range"))
 
 
 @module("Invert")
@@ -49,20 +50,28 @@ def _invert(c: Context, s: dict) -> None:
 
 @module("Math")
 def _math(c: Context, s: dict) -> None:
-    c[s["output"]] = pixels.math(c[s["input"]], c[s["other"]], KEY, s["operation"])
+    options = {n: s[n] for n in ("factors", "exponent", "times", "plus", "clamp") if n in s}
+    c[s["output"]] = pixels.math(c[s["input"]], c[s["other"]], KEY, s["operation"], **options)
 
 
 @module("Threshold")
 def _threshold(c: Context, s: dict) -> None:
-    """A stated level, or each image's own by between-class variance; ``factor`` corrects it."""
-    image = c[s["input"]]
-    if s.get("method", "otsu") == "manual":
+    """A stated level, or each image's own; adaptive ones by window; ``factor`` and ``bounds`` correct it.
+
+    Methods: manual, otsu, cross_entropy, three_class (``class`` low or high).
+    """
+    image, key, method = c[s["input"]], list(KEY), s.get("method", "otsu")
+    if "window" in s:
+        side = s["window"]
+        image, key = image.withColumns({"ty_": F.floor(F.col("y") / side), "tx_": F.floor(F.col("x") / side)}), [*KEY, "ty_", "tx_"]
+    if method == "manual":
         level = image.withColumn("threshold", F.lit(float(s["level"])))
+    elif method == "three_class":
+        level = image.join(thresholds.three_class_otsu(image, key, "v").select(*key, F.col(s.get("class", "low")).alias("threshold")), key)
     else:
-        level = image.join(pixels.otsu(image, KEY, "v"), KEY)
-    low, high = s.get("bounds", (0.0, 1.0))
-    cut = F.least(F.greatest(F.col("threshold") * s.get("factor", 1.0), F.lit(float(low))), F.lit(float(high)))
-    c[s["output"]] = level.withColumn("v", F.when(F.col("v") >= cut, 1.0).otherwise(0.0)).drop("threshold")
+        level = image.join(thresholds.minimum_cross_entropy(image, key, "v") if method == "cross_entropy" else pixels.otsu(image, key, "v"), key)
+    cut = thresholds.corrected(F.col("threshold"), s.get("factor", 1.0), *s.get("bounds", (0.0, 1.0)))
+    c[s["output"]] = level.withColumn("v", F.when(F.col("v") >= cut, 1.0).otherwise(0.0)).drop("threshold", "ty_", "tx_")
 
 
 @module("MaskImage")
@@ -135,3 +144,125 @@ def _flag(c: Context, s: dict) -> None:
 @module("Export")
 def _export(c: Context, s: dict) -> None:
     c[s["output"]] = c[s["input"]].select(*s["columns"])
+
+
+def _mask(image: DataFrame) -> DataFrame:
+    return image.where("v > 0").select(*KEY, "y", "x")
+
+
+@module("ConvertImageToObjects")
+def _to_objects(c: Context, s: dict) -> None:
+    c[s["output"]] = morphology.components(_mask(c[s["input"]]), KEY)
+
+
+@module("ConvertObjectsToImage")
+def _to_image(c: Context, s: dict) -> None:
+    """Labels as values on the frame of another image, background 0."""
+    own = c[s["objects"]].select(*KEY, "y", "x", F.col("label").cast("double").alias("label_"))
+    c[s["output"]] = c[s["frame"]].join(own, [*KEY, "y", "x"], "left").withColumn("v", F.coalesce("label_", F.lit(0.0))).drop("label_")
+
+
+@module("IdentifyPrimary")
+def _primary(c: Context, s: dict) -> None:
+    """Pixels of the thresholded image as objects, split where they are narrow if ``split``."""
+    grow = morphology.watershed if s.get("split") else morphology.components
+    found = grow(_mask(c[s["input"]]), KEY)
+    if "least" in s or "most" in s:
+        sizes = found.groupBy(*KEY, "label").agg(F.count(F.lit(1)).alias("n_")).where(F.col("n_").between(s.get("least", 1), s.get("most", 1 << 62)))
+        found = found.join(sizes.drop("n_"), [*KEY, "label"], "left_semi")
+    if s.get("inner"):
+        found = morphology.border_cleared(_framed(found, c[s["input"]]), KEY)
+    c[s["output"]] = found
+
+
+def _framed(objects_: DataFrame, image: DataFrame) -> DataFrame:
+    return image.select(*KEY, "y", "x").join(objects_, [*KEY, "y", "x"], "left").fillna(0, ["label"])
+
+
+@module("IdentifySecondary")
+def _secondary(c: Context, s: dict) -> None:
+    """Seeds grown over a mask: one pixel a round, ties to the lower label."""
+    seeds = c[s["seeds"]].where("label > 0").select(*KEY, "y", "x", "label")
+    both = _mask(c[s["input"]]).join(seeds, [*KEY, "y", "x"], "full_outer").select(*KEY, "y", "x", F.coalesce("label", F.lit(0)).alias("label"))
+    c[s["output"]] = morphology.propagated(both, KEY).where("label > 0")
+
+
+@module("ExpandOrShrink")
+def _expand(c: Context, s: dict) -> None:
+    own = c[s["objects"]]
+    c[s["output"]] = morphology.shrunk(own, KEY, s["pixels"]) if s.get("shrink") else morphology.propagated(_framed(own.select(*KEY, "y", "x", "label"), c[s["frame"]]), KEY, s["pixels"]).where("label > 0")
+
+
+@module("Morph")
+def _morph(c: Context, s: dict) -> None:
+    """erode, dilate, open, close, median, average, suppress, enhance or gaussian by ``size``."""
+    m, image, size = morphology, c[s["input"]], s["size"]
+    made = {
+        "erode": m.eroded, "dilate": m.dilated, "open": m.opened, "close": m.closed, "median": m.median_filtered, "average": m.averaged, "suppress": m.suppressed,
+        "enhance": lambda p, k, n: m.suppressed(p, k, n, enhance=True), "gaussian": m.gaussian,
+    }
+    c[s["output"]] = made[s["operation"]](image.select(*KEY, "y", "x", "v"), KEY, size)
+
+
+@module("FillHoles")
+def _fill(c: Context, s: dict) -> None:
+    c[s["output"]] = morphology.holes_filled(c[s["input"]].select(*KEY, "y", "x", "v"), KEY)
+
+
+@module("Resize")
+def _resize(c: Context, s: dict) -> None:
+    c[s["output"]] = pixels.enlarged(c[s["input"]], s["factor"])
+
+
+@module("MatchHistogram")
+def _match(c: Context, s: dict) -> None:
+    c[s["output"]] = pixels.matched_histogram(c[s["input"]], c[s["other"]], KEY)
+
+
+def _measured(c: Context, s: dict) -> DataFrame:
+    return c[s["objects"]].select(*KEY, "y", "x", "label").join(c[s["input"]].select(*KEY, "y", "x", "v"), [*KEY, "y", "x"])
+
+
+@module("MeasureObjectIntensity")
+def _object_intensity(c: Context, s: dict) -> None:
+    c[s["output"]] = measures.intensity(_measured(c, s), KEY)
+
+
+@module("MeasureTexture")
+def _texture(c: Context, s: dict) -> None:
+    """Values in [0, 1] in ``levels`` grey levels, at each of ``scales``."""
+    n = s.get("levels", 256)
+    grey = _measured(c, s).withColumn("g", F.least(F.floor(F.col("v") * n), F.lit(n - 1)).cast("int"))
+    c[s["output"]] = measures.textures(grey, KEY, n, list(s["scales"]))
+
+
+@module("MeasureGeometry")
+def _geometry(c: Context, s: dict) -> None:
+    own = c[s["objects"]]
+    c[s["output"]] = measures.moments(own, KEY).join(measures.geometry(own, KEY).drop("area"), [*KEY, "label"])
+
+
+@module("MeasureNeighbours")
+def _neighbours(c: Context, s: dict) -> None:
+    c[s["output"]] = measures.touching(c[s["objects"]], KEY)
+
+
+@module("MeasureGranularity")
+def _granularity(c: Context, s: dict) -> None:
+    c[s["output"]] = morphology.granularity(c[s["input"]], KEY, s["steps"], s.get("radius", 1))
+
+
+@module("MeasureImageQuality")
+def _quality(c: Context, s: dict) -> None:
+    c[s["output"]] = measures.quality(c[s["input"]], KEY, s["tile"])
+
+
+@module("MeasureRadial")
+def _radial(c: Context, s: dict) -> None:
+    c[s["output"]] = objects.radial(_measured(c, s), KEY, s["bins"])
+
+
+@module("MeasureColocalisation")
+def _colocalisation(c: Context, s: dict) -> None:
+    both = c[s["input"]].select(*KEY, "y", "x", F.col("v").alias("a")).join(c[s["other"]].select(*KEY, "y", "x", F.col("v").alias("b")), [*KEY, "y", "x"])
+    c[s["output"]] = objects.colocalised(both, KEY, s.get("share", 0.15))
