@@ -1,10 +1,11 @@
 """BPE encoding and decoding over a contiguous rank array.
 
-A word is a list of part boundaries and, beside it, the merge rank of every pair of
-neighbouring parts.  The smallest rank is found by scanning the array, its boundary is
-deleted and the two neighbouring ranks are refreshed.  Words are short, so scanning one
-contiguous array is cheaper than keeping a queue; words beyond ``LONG`` parts use a heap,
-which gives the same merges without the quadratic scan.
+A word is a row of parts and, beside it, the merge rank of every pair of neighbouring parts.
+The smallest rank is found by scanning the row, its boundary is deleted and the two
+neighbouring ranks are refreshed.  Words of one length are rows of one array, so a scan, a
+deletion and a refresh are each one array operation for all of them.  Words are short, so
+scanning is cheaper than keeping a queue; words beyond ``LONG`` parts use a heap, which gives
+the same merges without the quadratic scan.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import json
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -35,8 +37,8 @@ ADDED = (
 CAPITALS = "1C89-1C8A A7CB-0264 A7CC-A7CD A7CE-A7CF A7D2-A7D3 A7D4-A7D5 A7DA-A7DB A7DC-019B"
 #: Most distinct chunks, and characters in them, of one generation of a worker's memory.
 REMEMBERED, REMEMBERED_CHARS = 120_000, 3_000_000
-#: Rows whose ids are held at once; ids take more room than their texts.
-SLICE_ROWS = 1_000
+#: Characters of rows that are split and encoded together, and rows of one array of words.
+SLICE_CHARS, WORDS_AT_ONCE = 2_000_000, 20_000
 
 _gap = regex.compile(f"[{SPACE}]+")
 _letter = regex.compile(r"[\p{L}\p{N}]")
@@ -48,23 +50,6 @@ _capital = regex.compile("[" + "".join(map(chr, _small)) + "]")
 _not_gap = regex.compile("[\x1c-\x1f]")
 
 
-class Memory(dict):
-    """Chunk -> (ids, tokens) in two generations: chunks that recur outlive the rest."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make, self.old, self.chars = make, {}, 0
-
-    def __missing__(self, chunk: str) -> tuple[str, str]:
-        found = self.old.get(chunk) or self.make(chunk)
-        if len(self) >= REMEMBERED or self.chars >= REMEMBERED_CHARS:
-            self.old, self.chars = dict(self), 0
-            self.clear()
-        self[chunk] = found
-        self.chars += len(chunk)
-        return found
-
-
 def byte_letters() -> list[str]:
     """The printable letter that stands for each byte in a byte-level vocabulary."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -91,10 +76,13 @@ class WordBpe:
         vocab: dict[str, int] = model["vocab"]
         end: str = model.get("end_of_word_suffix") or ""
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        # A pair of parts is one number, as ids are below 2**32; its rank gives the part it makes.
-        self.rank = {vocab[a] << 32 | vocab[b]: i for i, (a, b) in enumerate(merges)}
-        self.made = [vocab[a + b] for a, b in merges]
-        self.inner, self.last = ([vocab[x + e] for x in byte_letters()] for e in ("", end))
+        # A pair of parts is one number, as ids are below 2**31; its rank gives the part it makes.
+        pairs = np.array([vocab[a] << 32 | vocab[b] for a, b in merges], np.int64)
+        order = np.argsort(pairs)
+        self.pairs, self.ranks = pairs[order], order.astype(np.int64)
+        self.rank = {int(p): i for i, p in enumerate(pairs)}
+        self.made = np.array([vocab[a + b] for a, b in merges], np.int64)
+        self.inner, self.last = (np.array([vocab[x + e] for x in byte_letters()], np.int64) for e in ("", end))
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.names = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
@@ -102,27 +90,63 @@ class WordBpe:
         self.recent = Recent()
         marks = sorted(self.special, key=len, reverse=True)
         self.marks = regex.compile("|".join(map(regex.escape, marks))) if marks else None
-        self.known = Memory(self.chunk)
-
-    def parts(self, piece: str) -> list[int]:
-        """Merge the bytes of one piece to ids."""
-        data = piece.encode("utf-8", "surrogatepass")
-        inner, rank, made = self.inner, self.rank.get, self.made
-        parts = [inner[b] for b in data]
-        parts[-1] = self.last[data[-1]]
-        if len(parts) > LONG:
-            return self._parts_of_long(parts)
-        ranks = [rank(a << 32 | b, NO_RANK) for a, b in zip(parts, parts[1:])]
-        while ranks and (low := min(ranks)) < NO_RANK:
-            i = ranks.index(low)
-            part = made[low]
-            del ranks[i], parts[i + 1]
-            parts[i] = part
-            if i < len(ranks):
-                ranks[i] = rank(part << 32 | parts[i + 1], NO_RANK)
-            if i:
-                ranks[i - 1] = rank(parts[i - 1] << 32 | part, NO_RANK)
-        return parts
+        self.shown = {i: str(i) for i in self.names}
+        # Chunk -> (ids, decoded) in two generations: chunks that recur outlive the rest.
+        self.known: dict[str, tuple[str, str]] = {}
+        self.old: dict[str, tuple[str, str]] = {}
+        self.chars = 0
+
+    def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of neighbouring parts, NO_RANK where there is no merge."""
+        key = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, self.ranks[at], NO_RANK)
+
+    def merged(self, pieces: list[bytes]) -> dict[bytes, list[int]]:
+        """Ids of distinct pieces; those of one length are merged together."""
+        found: dict[bytes, list[int]] = {}
+        by_length: dict[int, list[bytes]] = {}
+        for x in pieces:
+            by_length.setdefault(len(x), []).append(x)
+        for length, same in by_length.items():
+            for i in range(0, len(same), WORDS_AT_ONCE):
+                some = same[i : i + WORDS_AT_ONCE]
+                data = np.frombuffer(b"".join(some), np.uint8).reshape(-1, length)
+                parts = self.inner[data]
+                parts[:, -1] = self.last[data[:, -1]]
+                if length > LONG:
+                    found |= {x: self._parts_of_long(p) for x, p in zip(some, parts.tolist())}
+                else:
+                    self._merge(some, parts, found)
+        return found
+
+    def _merge(self, pieces: list[bytes], parts: np.ndarray, found: dict[bytes, list[int]]) -> None:
+        """Merge rows of parts until none has a rank; each round every row left loses one boundary."""
+        names = np.array(pieces, object)
+        ranks = self.rank_of(parts[:, :-1], parts[:, 1:])
+        while True:
+            n, width = ranks.shape
+            at = ranks.argmin(axis=1) if width else np.zeros(n, np.int64)
+            rows = np.arange(n)
+            low = ranks[rows, at] if width else np.full(n, NO_RANK)
+            done = low == NO_RANK
+            if done.any():
+                found.update(zip(names[done].tolist(), parts[done].tolist()))
+                left = ~done
+                if not left.any():
+                    return
+                names, parts, ranks, at, low = names[left], parts[left], ranks[left], at[left], low[left]
+                rows = np.arange(len(names))
+            parts[rows, at] = self.made[low]
+            # Columns after the deleted boundary move up by one.
+            after = np.arange(width) > at[:, None]
+            parts = np.where(after, parts[:, 1:], parts[:, :-1])
+            ranks = np.where(after[:, :-1], ranks[:, 1:], ranks[:, :-1])
+            if width > 1:
+                right = at < width - 1
+                ranks[rows[right], at[right]] = self.rank_of(parts[rows[right], at[right]], parts[rows[right], at[right] + 1])
+                before = at > 0
+                ranks[rows[before], at[before] - 1] = self.rank_of(parts[rows[before], at[before] - 1], parts[rows[before], at[before]])
 
     def _parts_of_long(self, parts: list[int]) -> list[int]:
         n, rank = len(parts), self.rank
@@ -134,7 +158,7 @@ class WordBpe:
             j = after[i] if parts[i] == left else -1
             if j < 0 or parts[j] != right:
                 continue
-            parts[i], parts[j] = self.made[low], -1
+            parts[i], parts[j] = int(self.made[low]), -1
             after[i] = after[j]
             if after[j] >= 0:
                 before[after[j]] = i
@@ -143,36 +167,75 @@ class WordBpe:
                     heapq.heappush(queue, (r, a, parts[a], parts[b]))
         return [x for x in parts if x >= 0]
 
-    def chunk(self, text: str) -> tuple[str, str]:
-        """Ids, joined by spaces, of a text without white space, and what they decode to."""
-        plain = text
-        if not text.isascii() and any(map(self.recent.__getitem__, text)):
-            plain = "".join(["\x00" if self.recent[c] else c for c in text])
-        ids = [i for m in self.pieces.finditer(plain) for i in self.parts(text[m.start() : m.end()])]
-        return " ".join(map(str, ids)), self.decode(ids)
-
-    def plain(self, text: str) -> list[tuple[str, str]]:
+    def pieces_of(self, chunk: str) -> list[bytes]:
+        """Pieces of a text without white space, as bytes."""
+        if chunk.isascii():
+            if chunk.isalpha():
+                return [chunk.encode()]
+            return [x.encode() for x in self.pieces.findall(chunk)]
+        plain = chunk
+        if any(map(self.recent.__getitem__, chunk)):
+            plain = "".join(["\x00" if self.recent[c] else c for c in chunk])
+        return [chunk[m.start() : m.end()].encode("utf-8", "surrogatepass") for m in self.pieces.finditer(plain)]
+
+    def chunks_of(self, text: str) -> list[str]:
         """Chunks of a stretch of text without special tokens."""
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
             text = text.translate(_small) if _capital.search(text) else text
         text = text.lower()
-        chunks = text.split() if _not_gap.search(text) is None else filter(None, _gap.split(text))
-        return list(map(self.known.__getitem__, chunks))
+        return text.split() if _not_gap.search(text) is None else [x for x in _gap.split(text) if x]
 
-    def encode(self, text: str) -> tuple[str, str]:
-        """Decimal ids joined by one space, and the text that they decode to, chunk by chunk."""
+    def split(self, text: str) -> list[str | int]:
+        """Chunks, and ids of special tokens between them."""
         if self.marks is None or "<" not in text:
-            found = self.plain(text)
-        else:
-            found, at = [], 0
-            for m in self.marks.finditer(text):
-                found += self.plain(text[at : m.start()])
-                own = self.special[m[0]]
-                found.append((str(own), self.decode([own])))
-                at = m.end()
-            found += self.plain(text[at:])
-        return " ".join([x for x, _ in found]), " ".join([x for _, x in found])
+            return self.chunks_of(text)
+        found: list[str | int] = []
+        at = 0
+        for m in self.marks.finditer(text):
+            found += self.chunks_of(text[at : m.start()])
+            found.append(self.special[m[0]])
+            at = m.end()
+        return found + self.chunks_of(text[at:])
+
+    def learn(self, chunks: set[str | int]) -> None:
+        """Have the ids of all these chunks in memory."""
+        if len(self.known) >= REMEMBERED or self.chars >= REMEMBERED_CHARS:
+            self.old, self.known, self.chars = self.known, {}, 0
+        known, old = self.known, self.old
+        missing: dict[str, list[bytes]] = {}
+        for c in chunks:
+            if c not in known:
+                if c in old:
+                    known[c] = old[c]
+                elif isinstance(c, int):
+                    known[c] = (self.shown[c], self.decode([c]))
+                else:
+                    missing[c] = self.pieces_of(c)
+                    self.chars += len(c)
+        ids_of = self.merged(list({p for ps in missing.values() for p in ps}))
+        shown = self.shown
+        for c, pieces in missing.items():
+            ids = ids_of[pieces[0]] if len(pieces) == 1 else [i for p in pieces for i in ids_of[p]]
+            known[c] = (" ".join([shown[i] for i in ids]), self.decode(ids))
+
+    def encode_many(self, texts: list[str]) -> Iterator[tuple[str, str]]:
+        """Decimal ids joined by one space, and the text that they decode to, of every text."""
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(texts[end]) <= SLICE_CHARS):
+                size += len(texts[end])
+                end += 1
+            split = [self.split(x) for x in texts[at:end]]
+            self.learn(set().union(*split))
+            for chunks in split:
+                found = list(map(self.known.__getitem__, chunks))
+                yield " ".join([x for x, _ in found]), " ".join([x for _, x in found])
+            at = end
+
+    def encode(self, text: str) -> tuple[str, str]:
+        return next(self.encode_many([text]))
 
     def decode(self, ids: list[int]) -> str:
         """The vocabulary has no decoder: tokens are joined by one space."""
@@ -203,10 +266,9 @@ def encode_texts(docs: DataFrame, path: str, keep: list[str], text: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
-        for batch in (whole.slice(i, SLICE_ROWS) for whole in batches for i in range(0, whole.num_rows, SLICE_ROWS)):
+        for batch in batches:
             rows: list[list] = [[] for _ in outputs]
-            for x in batch.column(len(keep)):
-                ids, decoded = bpe.encode(x.as_py() or "")
+            for ids, decoded in bpe.encode_many([x.as_py() or "" for x in batch.column(len(keep))]):
                 for name, column in zip(outputs, rows):
                     if name == "ids":
                         column.append(ids)
