@@ -119,3 +119,8 @@ def first_of(df: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
     """One row per key: the first in a stated order."""
     place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
     return df.withColumn("place_", place).where("place_ = 1").drop("place_")
+
+
+def required(df: DataFrame, column: str) -> DataFrame:
+    """All rows; one whose ``column`` is null raises when it is read."""
+    return df.where(F.assert_true(F.col(column).isNotNull(), F.lit(f"{column} is missing")).isNull())

@@ -150,3 +150,18 @@ def haralick(pixels: DataFrame, key: list[str], levels: int, dy: int, dx: int) -
         F.sum(F.col("p") / (F.lit(1.0) + d * d)).alias("homogeneity"),
         (-F.sum(F.col("p") * F.log2("p"))).alias("entropy"),
     )
+
+
+def rank_weighted(pixels: DataFrame, key: list[str], share: float = 0.15) -> DataFrame:
+    """(key, rwc_a, rwc_b): colocalisation weighted by how near the ranks of both channels are.
+
+    Ranks are dense, by value within the key; pixels count where both channels reach ``share``
+    of their largest value.
+    """
+    span = Window.partitionBy(*key)
+    p = pixels.withColumns({"ra_": F.dense_rank().over(span.orderBy("a")), "rb_": F.dense_rank().over(span.orderBy("b"))})
+    top = p.groupBy(*key).agg((F.max("a") * share).alias("ta_"), (F.max("b") * share).alias("tb_"), F.greatest(F.max("ra_"), F.max("rb_")).alias("most_"))
+    weight = (F.col("most_") - F.abs(F.col("ra_") - F.col("rb_"))) / F.col("most_")
+    on_a, on_b = F.col("a") >= F.col("ta_"), F.col("b") >= F.col("tb_")
+    part = lambda c, v: F.sum(F.when(c, v).otherwise(F.lit(0.0)))
+    return p.join(top, key).groupBy(*key).agg((part(on_a & on_b, F.col("a") * weight) / part(on_a, F.col("a"))).alias("rwc_a"), (part(on_a & on_b, F.col("b") * weight) / part(on_b, F.col("b"))).alias("rwc_b"))

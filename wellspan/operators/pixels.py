@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,9 +21,12 @@ def assembled(pixels: DataFrame, key: list[str], value: str = "v") -> DataFrame:
     return pixels.groupBy(*key).agg(F.transform(cells, lambda c: c["v"]).alias("pixels"))
 
 
-def projected(pixels: DataFrame, key: list[str], how: str = "max") -> DataFrame:
-    """Largest (or mean) value per (key, y, x) over planes or images."""
-    value = F.max("v") if how == "max" else F.avg(F.when(~F.isnan("v"), F.col("v")))
+def projected(pixels: DataFrame, key: list[str], how: str | Callable[[Column], Column] = "max") -> DataFrame:
+    """Largest or mean value, or a caller's own aggregate, per (key, y, x) over planes or images."""
+    if callable(how):
+        value = how(F.col("v"))
+    else:
+        value = F.max("v") if how == "max" else F.avg(F.when(~F.isnan("v"), F.col("v")))
     return pixels.groupBy(*key, "y", "x").agg(value.alias("v"))
 
 

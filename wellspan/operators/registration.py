@@ -19,8 +19,3 @@ def evaluation(pixels: DataFrame, key: list[str]) -> DataFrame:
         (F.sum(ma * mb) / F.sum(ma) * 100).alias("ppix_ba"),
         (F.sum(ma * mb) / F.sum(mb) * 100).alias("ppix_ab"),
     )
-
-
-def shifted(pixels: DataFrame, dy: int, dx: int) -> DataFrame:
-    """Translate pixels; those that leave the frame are the caller's to filter."""
-    return pixels.withColumns({"y": F.col("y") + dy, "x": F.col("x") + dx})

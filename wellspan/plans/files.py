@@ -5,11 +5,14 @@ Files go to a new folder below the cluster's shared one.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import keys, numeric
 from ..operators import channels
+from ..operators.quantiles import numbered
 from ..registry import Tables, query
 from ..sources import manifests, sinks
 from .flows import shared_folder
@@ -181,3 +184,57 @@ def blob_list_scan(t: Tables) -> DataFrame:
     e = t.embeddings.select(F.round(F.col("embedding")[0].cast("double"), 5).alias("y"), F.round(F.col("embedding")[1].cast("double"), 5).alias("x"), F.lit(1.5).alias("r"), "vec_id")
     path = written(t, e.drop("vec_id"), "blobs", False)
     return manifests.blob_list(t.spark, path).distinct().join(e.select("vec_id", "y", "x"), ["y", "x"]).select("vec_id", "y", "x", "r")
+
+
+NAMED = "n as (select vec_id as field, label as plate, 'A' || lpad(cast(vec_id % 12 + 1 as varchar), 2, '0') as well from embeddings)"
+
+
+@query(f"with {NAMED} select field, 'p_' || plate as plate, well, field || '_p_' || plate || '_' || well || '_ch1.tiff' as dna, field || '_p_' || plate || '_' || well || '_ch2.tiff' as actin from n")
+def image_names(t: Tables) -> DataFrame:
+    """Parts of file names, and one row per field with a column of files for each named channel."""
+    well = F.concat(F.lit("A"), keys.padded(F.col("vec_id") % 12 + 1, 2))
+    base = t.embeddings.select(F.concat_ws("_", F.col("vec_id").cast("string"), F.lit("p"), F.col("label").cast("string"), well).alias("base"))
+    files = base.select(F.explode(F.array(*(F.concat("base", F.lit(x)) for x in ("_ch1.tiff", "_ch2.tiff", "_ch1.png", "_thumb.tiff")))).alias("path"))
+    return manifests.image_sets(manifests.named_images(files), {1: "dna", 2: "actin"}).select("field", "plate", "well", "dna", "actin")
+
+
+@query("select vec_id as field, case when vec_id % 2 = 0 then 'cell' else 'nucl' end as kind, cast(label * 10 as integer) as diameter, 1 as channel from embeddings")
+def mask_names(t: Tables) -> DataFrame:
+    kind = F.when(F.col("vec_id") % 2 == 0, "cell").otherwise("nucl")
+    name = F.concat(F.lit("m/"), F.col("vec_id").cast("string"), F.lit("_"), kind, F.lit("_mask_d"), (F.col("label") * 10).cast("string"), F.lit("_ch1_cp_masks.tif"))
+    files = t.embeddings.select(F.explode(F.array(name, F.lit("m/other.tif"))).alias("path"))
+    return manifests.named_masks(files).select("field", "kind", "diameter", "channel")
+
+
+@query("""with l as (select user_id as image, event_type, count(*) as n from events group by 1, 2) select image as "ImageNumber", 1 as "ObjectNumber", coalesce(max(n) filter (event_type = 'click'), 0) / 100.0::double as "Localization_Click_dna", coalesce(max(n) filter (event_type = 'error'), 0) / 100.0::double as "Localization_Error_dna" from l group by image""")
+def cell_class_tables(t: Tables) -> DataFrame:
+    """Probabilities by class and channel side by side, one row per cell."""
+    long = t.events.groupBy(F.col("user_id").alias("ImageNumber"), F.col("event_type").alias("class")).agg((F.count(F.lit(1)) / 100.0).alias("probability")).withColumns({"ObjectNumber": F.lit(1), "channel": F.lit("dna")})
+    wide = sinks.cell_classes(long, ["click", "error"], ["dna"])
+    return wide.fillna(0.0, ["Localization_Click_dna", "Localization_Error_dna"])
+
+
+@query("select n_nationkey as row_, n_regionkey as col_, 'image ' || n_name as url from nation")
+def vendor_xml_scan(t: Tables) -> DataFrame:
+    """Image elements of an XML index, read by the reader built into Spark."""
+    path = f"{shared_folder(t.spark)}/Index.xml"
+    image = F.concat(F.lit("<Image><Row>"), F.col("n_nationkey").cast("string"), F.lit("</Row><Col>"), F.col("n_regionkey").cast("string"), F.lit("</Col><URL>image "), F.col("n_name"), F.lit("</URL></Image>"))
+    doc = t.nation.agg(F.concat(F.lit("<Index><Images>"), F.array_join(F.collect_list(image), "\n"), F.lit("</Images></Index>")).alias("value"))
+    doc.coalesce(1).write.text(path)
+    found = manifests.vendor_index_xml(t.spark, path)
+    return found.select(F.col("Row").cast("int").alias("row_"), F.col("Col").cast("int").alias("col_"), F.col("URL").alias("url"))
+
+
+@query("select o_orderkey, c_mktsegment from orders join customer on o_custkey = c_custkey")
+def bucketed_join(t: Tables) -> DataFrame:
+    """Tables that are bucketed by the join key meet without a shuffle."""
+    mark = uuid.uuid4().hex
+    sinks.bucketed(t.orders.select("o_orderkey", F.col("o_custkey").alias("k")), f"wellspan_orders_{mark}", "k", 8)
+    sinks.bucketed(t.customer.select(F.col("c_custkey").alias("k"), "c_mktsegment"), f"wellspan_customers_{mark}", "k", 8)
+    return t.spark.table(f"wellspan_orders_{mark}").join(t.spark.table(f"wellspan_customers_{mark}"), "k").select("o_orderkey", "c_mktsegment")
+
+
+@query("select n_name as name, cast(row_number() over (partition by n_regionkey order by n_nationkey) - 1 as integer) as channel, n_regionkey as plate from nation")
+def channel_listing(t: Tables) -> DataFrame:
+    """Channels of each plate with a running index from 0."""
+    return numbered(t.nation, ["n_regionkey"], "n_nationkey", "at").select(F.col("n_name").alias("name"), (F.col("at") - 1).cast("int").alias("channel"), F.col("n_regionkey").alias("plate"))

@@ -90,3 +90,32 @@ def gaussian_width_fit(t: Tables) -> DataFrame:
     spread = F.lit(1.0) + F.col("vec_id") % 5 * 0.5
     profile = F.transform(F.sequence(F.lit(0), F.lit(40)), lambda i: F.exp(-0.5 * F.pow((i - 20) / spread, F.lit(2.0))))
     return grouped.gaussian_widths(t.embeddings.select("vec_id", profile.alias("profile")), ["vec_id"]).withColumn("width", F.round("width", 4))
+
+
+@query("select event_id, event_type from events")
+def stream_batches(t: Tables) -> DataFrame:
+    """Micro-batches of one file each to folders of their own; a second start finds nothing new."""
+    folder, out = f"{shared_folder(t.spark)}/events", shared_folder(t.spark)
+    t.events.repartition(3).write.parquet(folder)
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.select("event_id", "event_type").write.mode("overwrite").parquet(f"{out}/rows/batch={number}")
+
+    for _ in range(2):
+        stream = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        groups.each_batch(stream, write, f"{out}/state")
+    return t.spark.read.parquet(f"{out}/rows").select("event_id", "event_type")
+
+
+@query("select s_suppkey, n_name, n_regionkey from supplier join nation on s_nationkey = n_nationkey")
+def stream_static_join(t: Tables) -> DataFrame:
+    """A stream of wells meets the manifest of plates, which stands still."""
+    wells = streamed(t, "supplier").select("s_suppkey", F.col("s_nationkey").alias("n_nationkey"))
+    return run(t, wells.join(t.nation, "n_nationkey").select("s_suppkey", "n_name", "n_regionkey"))
+
+
+@query("select event_type, count(distinct user_id) as users from events group by event_type")
+def stream_then_batch(t: Tables) -> DataFrame:
+    """A barrier: the stream runs out before a batch reads all that it wrote."""
+    seen = run(t, groups.first_seen(streamed(t, "events").select("user_id", "event_type"), ["user_id", "event_type"]))
+    return seen.groupBy("event_type").agg(F.count(F.lit(1)).alias("users"))

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import measures
+from ..operators import filters, measures, morphology, objects, pixels
 from ..registry import Tables, query
-from .imaging import PX, QUAD, SIDE, images, quadrants, rounded
+from .imaging import PX, QUAD, SIDE, TWO, images, quadrants, rounded, two_channels
 
 AROUND = "o.vec_id = e.vec_id and o.label = e.label and abs(o.y - e.y) + abs(o.x - e.x) = 1"
 RIM = f"rim as (select e.vec_id, e.label, e.y, e.x, any_value(e.v) as v from q e left join q o on {AROUND} where e.label > 0 group by e.vec_id, e.label, e.y, e.x having count(o.v) < 4)"
@@ -102,3 +102,38 @@ def image_quality_full(t: Tables) -> DataFrame:
     p = images(t).withColumn("v", F.abs("v")).select("vec_id", "y", "x", "v")
     m = measures.quality(p, ["vec_id"], SIDE // 2)
     return rounded(m, [c for c in m.columns if c not in ("vec_id", "total_area")], 7)
+
+
+@query(f"""with {TWO}, r as (select vec_id, abs(a) as a, abs(b) as b, dense_rank() over (partition by vec_id order by abs(a)) as ra, dense_rank() over (partition by vec_id order by abs(b)) as rb from two), t as (select vec_id, max(a) * 0.15 as ta, max(b) * 0.15 as tb, greatest(max(ra), max(rb)) as most from r group by 1),
+p as (select r.*, ta, tb, (most - abs(ra - rb)) / most as w from r join t on r.vec_id = t.vec_id)
+select vec_id, round(sum(case when a >= ta and b >= tb then a * w else 0 end) / sum(case when a >= ta then a else 0 end), 7) as rwc_a, round(sum(case when a >= ta and b >= tb then b * w else 0 end) / sum(case when b >= tb then b else 0 end), 7) as rwc_b from p group by vec_id""")
+def rank_weighted_colocalization(t: Tables) -> DataFrame:
+    p = two_channels(t).withColumns({"a": F.abs("a"), "b": F.abs("b")})
+    return rounded(objects.rank_weighted(p, ["vec_id"]), ["rwc_a", "rwc_b"], 7)
+
+
+@query(f"with {PX} select vec_id, " + ", ".join(f"round(quantile_cont(v, {q}), 8) as p{n}" for q, n in ((0.1, 10), (0.5, 50), (0.9, 90))) + " from px where v > 0 group by vec_id")
+def masked_percentiles(t: Tables) -> DataFrame:
+    """Percentiles of each image inside its mask."""
+    return rounded(objects.value_percentiles(images(t).where("v > 0"), ["vec_id"], [10.0, 50.0, 90.0]), ["p10", "p50", "p90"], 8)
+
+
+@query(f"with {PX} select plate, y, x, round(median(v), 8) as v from px group by plate, y, x")
+def project_by_function(t: Tables) -> DataFrame:
+    """A projection by the caller's own aggregate."""
+    return rounded(pixels.projected(images(t), ["plate"], F.median), ["v"], 8)
+
+
+@query("select s_suppkey, s_nationkey from supplier")
+def required_plates(t: Tables) -> DataFrame:
+    """Rows behind the guard that raises where a plate is missing."""
+    return filters.required(t.supplier, "s_nationkey").select("s_suppkey", "s_nationkey")
+
+
+@query(f"""with {QUAD}, c as (select vec_id, label, cast(round_even(avg(y), 0) as integer) as cy, cast(round_even(avg(x), 0) as integer) as cx from q where label > 0 group by 1, 2), k as (select q.vec_id, q.label, y - cy + 2 as y, x - cx + 2 as x, v from q join c on q.vec_id = c.vec_id and q.label = c.label where y - cy + 2 between 0 and 3 and x - cx + 2 between 0 and 3),
+e as (select vec_id, label, y * 2 + a as y, x * 2 + b as x, v from k cross join (select unnest([0, 1]) as a) cross join (select unnest([0, 1]) as b)) select vec_id, label, count(*) as filled, round(sum(v), 7) as total, round(max(v), 8) as most, cast(min(y) as integer) as y0, cast(max(x) as integer) as x1 from e group by 1, 2""")
+def enlarged_crops(t: Tables) -> DataFrame:
+    """Crops around objects, other objects left out, enlarged by nearest neighbours; a row of their measures each."""
+    c = pixels.enlarged(morphology.crops(quadrants(images(t)), ["vec_id"], 4), 2)
+    m = c.groupBy("vec_id", "label").agg(F.count(F.lit(1)).alias("filled"), F.sum("v").alias("total"), F.max("v").alias("most"), F.min("y").cast("int").alias("y0"), F.max("x").cast("int").alias("x1"))
+    return rounded(rounded(m, ["total"], 7), ["most"], 8)

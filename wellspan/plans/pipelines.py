@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import thresholds
+from ..operators import flatfield, morphology, pixels, thresholds
 from ..registry import Tables, query
 from . import modules
 from .config import RunConfig
@@ -65,3 +65,21 @@ def processed_images(t: Tables) -> DataFrame:
     planes = p.select("plate", F.col("vec_id").alias("well"), F.lit(1).alias("field"), F.lit(0).alias("channel"), F.explode(F.array(F.lit(0), F.lit(1))).alias("plane"), "y", "x", "v").withColumn("v", F.col("v") * (F.lit(1.0) - F.col("plane") * 0.5))
     denied = p.where("plate = 0 and v > 4000").select("plate", F.col("vec_id").alias("well")).distinct()
     return processed(config, planes, denied).select("plate", "well", "y", "x", "v")
+
+
+@query(f"""with {ABS}, m as (select plate, y, x, avg(v) as v from a group by 1, 2, 3), d as (select a.plate, a.y, a.x, sum(b.v * exp(-0.5 * pow(a.y - b.y, 2))) / sum(exp(-0.5 * pow(a.y - b.y, 2))) as v from m a join m b on a.plate = b.plate and a.x = b.x and abs(a.y - b.y) <= 4 group by 1, 2, 3),
+g as (select a.plate, a.y, a.x, sum(b.v * exp(-0.5 * pow(a.x - b.x, 2))) / sum(exp(-0.5 * pow(a.x - b.x, 2))) as v from d a join d b on a.plate = b.plate and a.y = b.y and abs(a.x - b.x) <= 4 group by 1, 2, 3) select plate, y, x, round(v / avg(v) over (partition by plate), 8) as flat from g""")
+def flatfield_mean_mode(t: Tables) -> DataFrame:
+    """The mean image of each plate, blurred, over its mean."""
+    mean = pixels.projected(bright(t), ["plate"], "mean")
+    blurred = morphology.gaussian(mean, ["plate"], 1.0)
+    return rounded(flatfield.mean_field(blurred, ["plate"]), ["flat"], 8)
+
+
+@query(f"""with {ABS}, s as (select plate, min(v) as lo, max(v) as hi from a group by 1), h as (select a.plate, lo, hi, cast(least(floor((v - lo) / (hi - lo) * 5000), 4999) as integer) as bin, count(*) as n from a join s on a.plate = s.plate group by 1, 2, 3, 4), c as (select *, lo + (bin + 0.5) * (hi - lo) / 5000 as centre from h),
+d as (select *, sum(n) over w as w1, sum(n * centre) over w as m1, sum(n) over (partition by plate) as wt, sum(n * centre) over (partition by plate) as mt from c window w as (partition by plate order by bin)),
+e as (select plate, bin, centre, round(w1::double * (wt - w1) * pow(m1 / w1 - (mt - m1) / (wt - w1), 2) / wt / wt, 9) as b from d where w1 < wt) select plate, round(centre / 4, 7) as threshold from (select *, row_number() over (partition by plate order by b desc, bin) as r from e) where r = 1""")
+def foreground_threshold(t: Tables) -> DataFrame:
+    """A quarter of the two-class threshold over 5,000 bins, by plate."""
+    found = pixels.otsu(bright(t), ["plate"], "v", 5_000)
+    return rounded(found.withColumn("threshold", F.col("threshold") / 4), ["threshold"], 7)

@@ -161,3 +161,10 @@ def merged_crop_index(spark: SparkSession, folder: str, pattern: str = "*.csv")
 def blob_list(spark: SparkSession, path: str) -> DataFrame:
     """Spots without header: (y, x, r)."""
     return _tsv(spark, path, "y double, x double, r double", header=False)
+
+
+def named_masks(files: DataFrame, path: str = "path") -> DataFrame:
+    """Mask file names to (field, kind, diameter, channel); other names are passed over."""
+    name = keys.base_name(F.col(path))
+    parts = {n: F.regexp_extract(name, MASK_NAME, i) for i, n in enumerate(("field", "kind", "diameter", "channel"), 1)}
+    return files.where(name.rlike(MASK_NAME)).withColumns(parts).withColumns({c: F.col(c).cast("int") for c in ("field", "diameter", "channel")})

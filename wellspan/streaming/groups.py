@@ -46,17 +46,11 @@ def first_seen(stream: DataFrame, on: list[str], ts: str | None = None, late: st
     return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark(on)
 
 
-def windowed_counts(stream: DataFrame, ts: str, by: list[str], width: str, late: str) -> DataFrame:
-    """Rows and sum of values per window and key; late rows beyond ``late`` are dropped by Spark."""
-    w = stream.withWatermark(ts, late).groupBy(F.window(ts, width), *by)
-    return w.agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")).select(F.col("window.start").alias("started"), *by, "n", "total")
-
-
 def available_now(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Run over what is there and stop; a rerun with the same checkpoint takes up new files only."""
     stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start().awaitTermination()
 
 
-def each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, files: int | None = None) -> None:
-    """Hand every micro-batch to an idempotent writer keyed by its number."""
+def each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """Hand every micro-batch to a writer keyed by its number, so that one written twice is there once."""
     stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
