@@ -112,3 +112,38 @@ def test_stream_resumes(spark, tmp_path):
     groups.available_now(stream(), str(tmp_path / "out"), str(tmp_path / "state"))
     got = spark.read.parquet(str(tmp_path / "out")).collect()
     assert [(r["k"], r["members"]) for r in got] == [(1, "a,b,c")]
+
+
+def test_constant_and_missing_groups(spark):
+    """Groups without spread, nulls and empty tables have results and do not raise."""
+    from pyspark.sql import functions as F
+
+    from wellspan.functions import numeric
+    from wellspan.operators import filters, objects, quantiles, scaling
+
+    df = spark.createDataFrame([("a", 1.0, 2.0), ("a", 1.0, 3.0), (None, 4.0, 4.0), ("b", None, 1.0)], "k string, a double, b double")
+    got = {r["k"]: r["c"] for r in df.groupBy("k").agg(numeric.correlation(F.col("a"), F.col("b")).alias("c")).collect()}
+    assert got == {"a": None, None: None, "b": None}
+    p = {r["k"]: r["percentiles"] for r in quantiles.percentiles(df, ["k"], "a", [0.0, 0.5, 1.0]).collect()}
+    assert p == {"a": [1.0, 1.0, 1.0], None: [4.0, 4.0, 4.0]}
+    assert quantiles.percentiles(df.where("false"), ["k"], "a", [0.5]).count() == 0
+    assert {r["s"] for r in filters.mad_scores(df, ["a"], ["k"], ["s"]).collect()} <= {0.0, None}
+    few = spark.createDataFrame([(0, 0, 0, 0.0, 0.0)], "vec_id int, y int, x int, a double, b double")
+    assert objects.rank_weighted(few.withColumns({"a": F.lit(1.0), "b": F.lit(1.0)}), ["vec_id"]).count() == 1
+    lone = spark.createDataFrame([("p", "c1", 1, 1, 1, "n", 1.0, 0.5, 2.0, 3.0), ("q", "c2", 1, 1, None, "m", None, None, None, None)], "plate string, channel string, well int, field int, label int, name string, area double, threshold double, intensity_mean double, intensity_max double")
+    rows = {(r["plate"], r["channel"]): r for r in scaling.control_summary(lone).collect()}
+    assert len(rows) == 4 and rows["p", "c2"]["nobjects"] == 0 and rows["p", "c1"]["nobjects"] == 1 and rows["q", "c2"]["mean_threshold"] is None
+
+
+def test_percentiles_of_large_skewed_groups(spark):
+    from pyspark.sql import functions as F
+
+    from wellspan.operators import quantiles
+
+    df = spark.range(60_000).select((F.col("id") % 3 == 0).alias("k"), F.when(F.col("id") % 10 < 7, F.lit(5.0)).otherwise(F.pow(F.lit(1.0005), F.col("id"))).alias("v"))
+    shares = [0.0, 0.001, 0.25, 0.5, 0.69, 0.7, 0.9, 0.9999, 1.0]
+    want = {r["k"]: r["p"] for r in df.groupBy("k").agg(F.percentile("v", shares).alias("p")).collect()}
+    got = {r["k"]: r["percentiles"] for r in quantiles.percentiles(df, ["k"], "v", shares).collect()}
+    assert all(abs(a - b) <= 1e-9 * max(1, abs(a)) for k in want for a, b in zip(want[k], got[k]))
+    placed = quantiles.numbered(df.withColumn("id", F.monotonically_increasing_id()), ["k"], "id").groupBy("k").agg(F.count("*").alias("n"), F.countDistinct("number").alias("d"), F.max("number").alias("m")).collect()
+    assert all(r["n"] == r["d"] == r["m"] for r in placed)

@@ -67,3 +67,9 @@ def surface_term(x: Column, y: Column, term: tuple[int, int]) -> Column:
         for _ in range(n):
             out = out * c
     return out
+
+
+def correlation(a: Column, b: Column) -> Column:
+    """Aggregate: Pearson's correlation of pairs without nulls, null where either side is constant."""
+    x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    return F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))

@@ -72,6 +72,10 @@ def closed(pixels: DataFrame, key: list[str], radius: int = 1) -> DataFrame:
     return eroded(dilated(pixels, key, radius), key, radius)
 
 
+def closed_square(pixels: DataFrame, key: list[str], radius: int = 1) -> DataFrame:
+    return _replaced(_replaced(pixels, key, square(radius), F.max("from_"), "v"), key, square(radius), F.min("from_"), "v")
+
+
 def suppressed(pixels: DataFrame, key: list[str], radius: int, enhance: bool = False) -> DataFrame:
     """Without features smaller than the disk, or (``enhance``) only these."""
     flat = opened(pixels, key, radius)

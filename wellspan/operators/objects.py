@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.numeric import correlation
+
 
 def regions(pixels: DataFrame, key: list[str]) -> DataFrame:
     """Area, centroid, box and intensities of every object."""
@@ -106,7 +108,7 @@ def colocalised(pixels: DataFrame, key: list[str], share: float = 0.15) -> DataF
     both = on_a & on_b
     part = lambda c, v: F.sum(F.when(c, v).otherwise(F.lit(0.0)))
     return p.groupBy(*key).agg(
-        F.corr("a", "b").alias("correlation"),
+        correlation(a, b).alias("correlation"),
         F.regr_slope("b", "a").alias("slope"),
         (part(both, a * b) / F.sqrt(part(both, a * a) * part(both, b * b))).alias("overlap"),
         (part(both, a) / part(on_a, a)).alias("manders_a"),

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import correlation
+from . import morphology
+from .pixels import otsu
+
 
 def evaluation(pixels: DataFrame, key: list[str]) -> DataFrame:
     """Correlation before and after, and shares of overlap in percent.
@@ -14,8 +18,48 @@ def evaluation(pixels: DataFrame, key: list[str]) -> DataFrame:
     """
     a, b, c, ma, mb = (F.col(x) for x in ("a", "b", "c", "ma", "mb"))
     return pixels.groupBy(*key).agg(
-        F.corr(a * ma, c * ma).alias("r_b"),
-        F.corr(a * ma, b * ma).alias("r_a"),
+        correlation(a * ma, c * ma).alias("r_b"),
+        correlation(a * ma, b * ma).alias("r_a"),
         (F.sum(ma * mb) / F.sum(ma) * 100).alias("ppix_ba"),
         (F.sum(ma * mb) / F.sum(mb) * 100).alias("ppix_ab"),
     )
+
+
+def objects_of(pixels: DataFrame, key: list[str], least: float) -> DataFrame:
+    """(key, y, x, label): objects above each image's threshold, closed, none at the border.
+
+    An image whose largest value is below ``least`` has no objects.
+    """
+    bright = pixels.groupBy(*key).agg(F.max("v").alias("top_")).where(F.col("top_") >= least).drop("top_")
+    level = pixels.join(bright, key, "left_semi").join(otsu(pixels, key, "v"), key)
+    mask = morphology.closed_square(level.select(*key, "y", "x", F.when(F.col("v") > F.col("threshold"), 1.0).otherwise(0.0).alias("v")), key)
+    found = morphology.components(mask.where("v > 0").select(*key, "y", "x"), key)
+    framed = mask.select(*key, "y", "x").join(found, [*key, "y", "x"], "left").fillna(0, ["label"])
+    return morphology.kept(morphology.border_cleared(framed, key))
+
+
+def full_evaluation(reference: DataFrame, before: DataFrame, after: DataFrame, key: list[str], least: float) -> DataFrame:
+    """(key, r_b, r_a, nobj_ref, nobj_qry, nobj_qry_a, pobj_ba, ppix_ba, ppix_ab) of a registration.
+
+    Images share their frame.  Correlations keep zeros outside the reference's mask; without
+    an object, shares of it are null.
+    """
+    at = [*key, "y", "x"]
+    images = {"a": reference, "b": after, "c": before}
+    stacked = None
+    for n, df in images.items():
+        one = df.select(F.lit(n).alias("which_"), *at, "v")
+        stacked = one if stacked is None else stacked.unionByName(one)
+    labels = objects_of(stacked, ["which_", *key], least)
+    pick = lambda c, n: F.max(F.when(F.col("which_") == n, F.col(c)))
+    p = stacked.join(labels, ["which_", *at], "left").groupBy(*at).agg(*(pick("v", n).alias(n) for n in images), *(pick("label", n).alias(f"l{n}") for n in images))
+    on = lambda n: F.when(F.col(f"l{n}") > 0, 1.0).otherwise(0.0)
+    a, b, c = (F.col(n) for n in "abc")
+    count = lambda n: F.size(F.collect_set(F.when(F.col(f"l{n}") > 0, F.col(f"l{n}"))))
+    out = p.groupBy(*key).agg(
+        correlation(a * on("a"), c * on("a")).alias("r_b"), correlation(a * on("a"), b * on("a")).alias("r_a"),
+        count("a").alias("nobj_ref"), count("c").alias("nobj_qry"), count("b").alias("nobj_qry_a"),
+        (F.sum(on("a") * on("b")) / F.nullif(F.sum(on("a")), F.lit(0.0)) * 100).alias("ppix_ba"),
+        (F.sum(on("a") * on("b")) / F.nullif(F.sum(on("b")), F.lit(0.0)) * 100).alias("ppix_ab"),
+    )
+    return out.withColumn("pobj_ba", F.col("nobj_qry_a") / F.nullif(F.col("nobj_ref"), F.lit(0)) * 100)

@@ -284,7 +284,7 @@ def flatfield_bins(t: Tables) -> DataFrame:
 @query(f"with {QUAD} select vec_id, label, round(corr(v, w), 6) as corr from (select a.vec_id, a.label, a.v, b.v as w from q a join px b on a.vec_id = b.vec_id and a.y = b.y and b.x = 7 - a.x where a.label > 0) group by 1, 2 having count(*) > 3")
 def cell_channel_correlation(t: Tables) -> DataFrame:
     two = two_channels(t).withColumn("v", F.col("a"))
-    c = quadrants(two).where("label > 0").groupBy("vec_id", "label").agg(F.corr("a", "b").alias("corr"), F.count(F.lit(1)).alias("n")).where("n > 3").drop("n")
+    c = quadrants(two).where("label > 0").groupBy("vec_id", "label").agg(numeric.correlation(F.col("a"), F.col("b")).alias("corr"), F.count(F.lit(1)).alias("n")).where("n > 3").drop("n")
     return rounded(c, ["corr"])
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import morphology
+from ..operators import morphology, registration
 from ..registry import Tables, query
 from .imaging import PX, SIDE, STRIPE, images, quadrants, rounded, stripes
 
@@ -120,3 +120,35 @@ def granularity_spectrum(t: Tables) -> DataFrame:
 @query()
 def watershed_split(t: Tables) -> DataFrame:
     return morphology.watershed(pixels(t).where("v > 0").select("vec_id", "y", "x"), KEY)
+
+
+def _objects_sql(n: str) -> str:
+    """Labels ``l{n}`` of image ``{n}``: threshold, closing, components, none at the border."""
+    near = "p.vec_id = q.vec_id and abs(p.y - q.y) <= 1 and abs(p.x - q.x) <= 1"
+    return f"""s{n} as (select vec_id, min(v) as lo, max(v) as hi from {n} group by 1), h{n} as (select {n}.vec_id, lo, hi, cast(least(floor((v - lo) / (hi - lo) * 256), 255) as integer) as bin, count(*) as n from {n} join s{n} on {n}.vec_id = s{n}.vec_id where hi > lo group by 1, 2, 3, 4), k{n} as (select *, lo + (bin + 0.5) * (hi - lo) / 256 as centre from h{n}),
+d{n} as (select *, sum(n) over w as w1, sum(n * centre) over w as m1, sum(n) over (partition by vec_id) as wt, sum(n * centre) over (partition by vec_id) as mt from k{n} window w as (partition by vec_id order by bin)), e{n} as (select vec_id, bin, centre, round(w1 * (wt - w1) * pow(m1 / w1 - (mt - m1) / (wt - w1), 2) / wt / wt, 9) as b from d{n} where w1 < wt),
+t{n} as (select vec_id, centre as t from (select *, row_number() over (partition by vec_id order by b desc, bin) as r from e{n}) where r = 1), m{n} as (select {n}.vec_id, y, x, case when v > t then 1 else 0 end as v from {n} join t{n} on {n}.vec_id = t{n}.vec_id),
+u{n} as (select p.vec_id, p.y, p.x, max(q.v) as v from m{n} p join m{n} q on {near} group by 1, 2, 3), o{n} as (select p.vec_id, p.y, p.x, min(q.v) as v from u{n} p join u{n} q on {near} group by 1, 2, 3), i{n} as (select vec_id, y, x, y * 8 + x as i from o{n} where v = 1),
+r{n} as (with recursive r(vec_id, i, j) as (select vec_id, i, i from i{n} union select r.vec_id, r.i, q.i from r join i{n} p on p.vec_id = r.vec_id and p.i = r.j join i{n} q on q.vec_id = p.vec_id and greatest(abs(p.y - q.y), abs(p.x - q.x)) = 1) select * from r),
+f{n} as (select vec_id, i, min(j) as root from r{n} group by 1, 2), g{n} as (select distinct vec_id, root from f{n} where i // 8 in (0, 7) or i % 8 in (0, 7)), l{n} as (select vec_id, i // 8 as y, i % 8 as x, root from f{n} where not exists (select 1 from g{n} where g{n}.vec_id = f{n}.vec_id and g{n}.root = f{n}.root))"""
+
+
+@query(f"""with {PX}, a as (select vec_id, y, x, round(abs(v) * 10000) as v from px), c as (select a.vec_id, a.y, a.x, coalesce(b.v, 0) as v from a left join a b on a.vec_id = b.vec_id and b.y = a.y - 1 and b.x = a.x - 2), b as (select a.vec_id, a.y, a.x, coalesce(c.v, 0) as v from a left join c on a.vec_id = c.vec_id and c.y = a.y + 1 and c.x = a.x + 2),
+{_objects_sql("a")}, {_objects_sql("b")}, {_objects_sql("c")}, z as (select a.vec_id, a.v as a, b.v as b, c.v as c, la.root as la, lb.root as lb, lc.root as lc, case when la.root is null then 0.0 else 1.0 end as oa, case when lb.root is null then 0.0 else 1.0 end as ob from a join b on a.vec_id = b.vec_id and a.y = b.y and a.x = b.x join c on a.vec_id = c.vec_id and a.y = c.y and a.x = c.x
+ left join la on la.vec_id = a.vec_id and la.y = a.y and la.x = a.x left join lb on lb.vec_id = a.vec_id and lb.y = a.y and lb.x = a.x left join lc on lc.vec_id = a.vec_id and lc.y = a.y and lc.x = a.x)
+select vec_id, round(coalesce(case when sum(oa) > 0 then corr(a * oa, c * oa) end, -9), 5) as r_b, round(coalesce(case when sum(oa) > 0 then corr(a * oa, b * oa) end, -9), 5) as r_a, count(distinct la)::integer as nobj_ref, count(distinct lc)::integer as nobj_qry, count(distinct lb)::integer as nobj_qry_a, round(coalesce(sum(oa * ob) / nullif(sum(oa), 0) * 100, -9), 5) as ppix_ba,
+ round(coalesce(sum(oa * ob) / nullif(sum(ob), 0) * 100, -9), 5) as ppix_ab, round(coalesce(count(distinct lb) / nullif(count(distinct la), 0) * 100, -9), 5) as pobj_ba from z group by vec_id""")
+def registration_evaluation(t: Tables) -> DataFrame:
+    """An image, the image moved by one row and two columns, and that moved back."""
+    a = pixels(t).withColumn("v", F.round(F.abs("v") * 10_000))
+
+    def moved(p: DataFrame, dy: int, dx: int) -> DataFrame:
+        there = p.select("vec_id", (F.col("y") + dy).alias("y"), (F.col("x") + dx).alias("x"), F.col("v").alias("w"))
+        return a.select("vec_id", "y", "x").join(there, ["vec_id", "y", "x"], "left").select("vec_id", "y", "x", F.coalesce("w", F.lit(0.0)).alias("v"))
+
+    c = moved(a, 1, 2)
+    e = registration.full_evaluation(a, c, moved(c, -1, -2), KEY, 100.0)
+    shares = ["r_b", "r_a", "ppix_ba", "ppix_ab", "pobj_ba"]
+    sound = lambda n: F.when(F.isnan(n), None).otherwise(F.col(n))
+    seen = e.withColumns({n: F.when(F.col("nobj_ref") > 0, sound(n)) for n in ("r_b", "r_a")})
+    return rounded(seen.fillna(-9.0, shares), shares, 5)
