@@ -32,9 +32,9 @@ def objects_of(pixels: DataFrame, key: list[str], least: float) -> DataFrame:
     """
     bright = pixels.groupBy(*key).agg(F.max("v").alias("top_")).where(F.col("top_") >= least).drop("top_")
     level = pixels.join(bright, key, "left_semi").join(otsu(pixels, key, "v"), key)
-    mask = morphology.closed_square(level.select(*key, "y", "x", F.when(F.col("v") > F.col("threshold"), 1.0).otherwise(0.0).alias("v")), key)
+    mask = morphology.kept(morphology.closed_square(level.select(*key, "y", "x", F.when(F.col("v") > F.col("threshold"), 1.0).otherwise(0.0).alias("v")), key))
     found = morphology.components(mask.where("v > 0").select(*key, "y", "x"), key)
-    framed = mask.select(*key, "y", "x").join(found, [*key, "y", "x"], "left").fillna(0, ["label"])
+    framed = morphology.kept(mask.select(*key, "y", "x").join(found, [*key, "y", "x"], "left").fillna(0, ["label"]))
     return morphology.kept(morphology.border_cleared(framed, key))
 
 
