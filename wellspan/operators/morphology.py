@@ -7,9 +7,10 @@ checkpointed in the shared folder of ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import math
 import tempfile
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 Offsets = list[tuple[int, int]]
@@ -106,8 +107,6 @@ def weighted(pixels: DataFrame, key: list[str], weights: dict[tuple[int, int], f
 
 def gaussian(pixels: DataFrame, key: list[str], sigma: float, truncate: float = 4.0) -> DataFrame:
     """Gaussian blur in two passes of one axis each; at edges the weights inside are normed."""
-    import math
-
     reach = max(1, int(truncate * sigma + 0.5))
     line = {k: math.exp(-0.5 * (k / sigma) ** 2) for k in range(-reach, reach + 1)}
     down = weighted(pixels, key, {(k, 0): w for k, w in line.items()})
@@ -136,8 +135,6 @@ def components(mask: DataFrame, key: list[str]) -> DataFrame:
 
 def numbered_objects(pixels: DataFrame, key: list[str]) -> DataFrame:
     """Labels from 1 within each image, in order of the objects' ``first_`` pixels."""
-    from pyspark.sql import Window
-
     objects = pixels.select(*key, "first_").distinct()
     objects = objects.withColumn("label", F.row_number().over(Window.partitionBy(*key).orderBy("first_")))
     return pixels.join(objects, [*key, "first_"]).drop("first_")
@@ -212,8 +209,6 @@ def granularity(pixels: DataFrame, key: list[str], steps: int, radius: int = 1)
     table = sums[0]
     for s in sums[1:]:
         table = table.unionByName(s)
-    from pyspark.sql import Window
-
     before = F.lag("left_").over(Window.partitionBy(*key).orderBy("step"))
     return table.withColumn("before_", before).where("step > 0").join(total, key).select(*key, "step", ((F.col("before_") - F.col("left_")) / F.nullif("total_", F.lit(0.0)) * 100).alias("removed"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import morphology, registration
 from ..registry import Tables, query
-from .imaging import PX, SIDE, STRIPE, images, quadrants, rounded, stripes
+from .imaging import PX, STRIPE, images, quadrants, rounded, stripes
 
 KEY = ["vec_id"]
 NEAR = "a.vec_id = b.vec_id and (a.y - b.y) * (a.y - b.y) + (a.x - b.x) * (a.x - b.x) <= 1"
