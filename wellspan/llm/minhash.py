@@ -344,3 +344,17 @@ def one_of_each(docs: DataFrame, rule: Threshold = Threshold()) -> DataFrame:
         return left.select(*columns)
     once = left.join(repeated, ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"])
     return left.join(repeated, ["h1", "h2"], "left_anti").unionByName(once).select(*columns)
+
+
+#: All pairs that share a shingle, counted: fit for small tables, and exact.
+SQL = """
+with worded as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w from documents),
+shingles as (select distinct doc_id, array_to_string(w[i : i + 2], ' ') as s from (select doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) as i from worded where len(w) > 0)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (select a.doc_id as p, b.doc_id as q, count(*) as both_ from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+links as (select p, q from shared join sizes x on x.doc_id = p join sizes y on y.doc_id = q where 100 * both_ >= 85 * (x.n + y.n - both_)),
+ways as (select p, q from links union all select q, p from links),
+reached as (with recursive r(doc_id, other) as (select p, p from ways union select r.doc_id, ways.q from r join ways on ways.p = r.other) select doc_id, min(other) as least from r group by doc_id)
+select d.doc_id, coalesce(n, 0) as n_shingles, coalesce(least, d.doc_id) as component_id, coalesce(least, d.doc_id) = d.doc_id as kept
+from documents d left join sizes on sizes.doc_id = d.doc_id left join reached on reached.doc_id = d.doc_id
+"""

@@ -70,4 +70,4 @@ def op10_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_preference_format, op2_cross_polytope, op3_line_dedup, op4_source_mix, op5_html, op6_toxicity, op7_bpe, op8_minhash, op9_skip_chain_pii, op10_adaptive_quality)
 }
-ORACLES: dict[str, str] = {"op1_preference_format": preference.SQL, "op3_line_dedup": lines.SQL}
+ORACLES: dict[str, str] = {"op1_preference_format": preference.SQL, "op3_line_dedup": lines.SQL, "op8_minhash": minhash.SQL}
