@@ -1,8 +1,8 @@
 """Exact percentiles, ranks and counted broadcasts for groups of any size.
 
 No group's values meet in one task.  A mergeable sketch brackets each percentile first; then
-one pass counts what lies below the bracket, and only the values inside it, a few of ten
-thousand, are counted and ordered.
+one pass counts the values between the brackets together and those inside them, a few of ten
+thousand, one by one, and only these counts are ordered.
 """
 
 from __future__ import annotations
@@ -45,30 +45,26 @@ def percentiles(df: DataFrame, by: list[str], value: str | Column, shares: list[
     wide = 2 / ACCURACY
     asks = [x for q in shares for x in (max(0.0, q - wide), min(1.0, q + wide))]
     sketch = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n_"), F.percentile_approx("v_", asks, ACCURACY).alias("b_"))
-    joined = same_key(rows, sketch, by)
-    low, high = (lambda j: F.col("b_")[2 * j]), (lambda j: F.col("b_")[2 * j + 1])
-    n, x = len(shares), F.col("v_")
-    sides = joined.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_"),
-        F.array(*(F.sum(F.when(x < low(j), 1).otherwise(0)) for j in range(n))).alias("below_"),
-        F.array(*(F.max(F.when(x < low(j), x)) for j in range(n))).alias("before_"),
-        F.array(*(F.min(F.when(x > high(j), x)) for j in range(n))).alias("next_"),
-    )
-    inside = joined.select(*by, "v_", F.explode(F.array_compact(F.array(*(F.when(x.between(low(j), high(j)), F.lit(j)) for j in range(n))))).alias("j_"))
-    counted = inside.groupBy(*by, "j_", "v_").agg(F.count(F.lit(1)).alias("c_"))
-    counted = counted.withColumn("upto_", F.sum("c_").over(Window.partitionBy(*by, "j_").orderBy("v_")))
-    ranked = same_key(counted, sides, by)
-    at = F.array(*(F.lit(float(q)) for q in shares))[F.col("j_")] * (F.col("n_") - 1)
-    ranked = ranked.withColumns({"at_": at, "from_": F.col("upto_") - F.col("c_") + F.col("below_")[F.col("j_")], "to_": F.col("upto_") + F.col("below_")[F.col("j_")] - 1})
-    hit = lambda rank: F.max(F.when(rank.between(F.col("from_"), F.col("to_")), x))
-    ends = ranked.groupBy(*by, "j_").agg(
-        F.max("at_").alias("at_"),
-        F.coalesce(hit(F.floor("at_")), F.max(F.col("before_")[F.col("j_")])).alias("lower_"),
-        F.coalesce(hit(F.ceil("at_")), F.max(F.col("next_")[F.col("j_")])).alias("upper_"),
-    )
-    found = F.col("lower_") + (F.col("upper_") - F.col("lower_")) * (F.col("at_") - F.floor("at_"))
-    lists = ends.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("j_", found.alias("v")))).alias("all_"))
-    return lists.select(*by, F.transform("all_", lambda s: s["v"]).alias(name))
+    sketch = sketch.select(*by, "n_", *(F.col("b_")[i].alias(f"b{i}_") for i in range(len(asks))))
+    # Values inside a bracket keep their own cell; all others of one gap between brackets share one.
+    x, inside, gap = F.col("v_"), F.lit(False), F.lit(0)
+    for j in range(len(shares)):
+        low, high = F.col(f"b{2 * j}_"), F.col(f"b{2 * j + 1}_")
+        inside |= x.between(low, high)
+        gap += F.when(x > high, 1).otherwise(0)
+    cells = same_key(rows, sketch, by).select(*by, "n_", "v_", F.when(inside, x).alias("own_"), F.when(~inside, gap).alias("gap_"))
+    cells = cells.groupBy(*by, "n_", "own_", "gap_").agg(F.count(F.lit(1)).alias("c_"), F.min("v_").alias("lo_"), F.max("v_").alias("hi_"))
+    upto = F.sum("c_").over(Window.partitionBy(*by).orderBy("lo_"))
+    ranked = cells.withColumn("to_", upto - 1).withColumn("from_", F.col("to_") - F.col("c_") + 1)
+    # A rank that falls into a gap is its first or last value, next to a bracket.
+    ends = []
+    for j, q in enumerate(shares):
+        at = F.lit(float(q)) * (F.col("n_") - 1)
+        for name_, rank in ((f"l{j}_", F.floor(at)), (f"u{j}_", F.ceil(at))):
+            ends.append(F.max(F.when(rank.between(F.col("from_"), F.col("to_")), F.when(rank == F.col("to_"), F.col("hi_")).otherwise(F.col("lo_")))).alias(name_))
+    found = ranked.groupBy(*by, "n_").agg(*ends)
+    part = lambda q: F.lit(float(q)) * (F.col("n_") - 1) - F.floor(F.lit(float(q)) * (F.col("n_") - 1))
+    return found.select(*by, F.array(*(F.col(f"l{j}_") + (F.col(f"u{j}_") - F.col(f"l{j}_")) * part(q) for j, q in enumerate(shares))).alias(name))
 
 
 def numbered(df: DataFrame, by: list[str], order: str, name: str = "number") -> DataFrame:
