@@ -103,7 +103,7 @@ def vendor_index_scan(t: Tables) -> DataFrame:
     """An index of JSON documents, a file a plate, with positions nested in images in wells."""
     p, z = F.col, F.lit(0.0)
     at = lambda c: F.struct(c.cast("double").alias("value"))
-    stamp = F.date_format(F.timestamp_seconds(F.lit(1_704_067_200) + p("p_partkey")), "yyyy-MM-dd'T'HH:mm:ss")
+    stamp = F.date_format(F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, p_partkey)"), "yyyy-MM-dd'T'HH:mm:ss")
     image = F.struct(p("p_partkey").cast("int").alias("field"), F.lit("1").alias("channel"), F.lit("1").alias("plane"), stamp.alias("time_abs"), F.struct(at(p("p_size") / 2).alias("x"), at(p("p_retailprice")).alias("y"), at(z).alias("z")).alias("position"))
     well = F.struct(p("p_type").alias("id"), p("p_size").cast("int").alias("row"), (p("p_partkey") % 24).cast("int").alias("col"), F.array(image).alias("images"))
     docs = t.part.groupBy("p_brand").agg(F.collect_list(well).alias("wells")).select(F.struct(F.col("p_brand").alias("name"), F.lit("384").alias("type")).alias("plate"), "wells")
