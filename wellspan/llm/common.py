@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterable
 
 import numpy as np
@@ -43,22 +44,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage through the shared checkpoint folder, the cluster's ``spark.checkpoint.dir``.
+def _shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder, below the cluster's ``spark.checkpoint.dir``.
 
     Where that is unset a temporary folder will do in local mode, and nowhere else: executors
     do not see folders of the driver.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         shared = spark.conf.get("spark.checkpoint.dir", None)
         if not shared and not context.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="wellspan-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage through the shared checkpoint folder."""
+    _shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Written as Parquet in the shared folder and read again: later reads take only the columns
+    and, by the files' statistics, the ranges that they need."""
+    path = f"{_shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a materialized lookup side for broadcast if its row count allows it."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
