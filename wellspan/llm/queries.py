@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, html, lines, minhash, mixing, pii, preference, quality, toxicity
+from . import ann, bpe, exact, html, lines, minhash, mixing, pii, preference, quality, resample, toxicity, trie
 from .common import table
 
 
@@ -67,7 +67,25 @@ def op10_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"), ["doc_id"]).select(*names)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_preference_format, op2_cross_polytope, op3_line_dedup, op4_source_mix, op5_html, op6_toxicity, op7_bpe, op8_minhash, op9_skip_chain_pii, op10_adaptive_quality)
-}
-ORACLES: dict[str, str] = {"op1_preference_format": preference.SQL, "op3_line_dedup": lines.SQL, "op8_minhash": minhash.SQL}
+def op11_bloom_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.judged(table(spark, sf_dir, "documents"))
+
+
+def op12_louds_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_nodes(table(spark, sf_dir, "conversations"))
+
+
+def op13_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return resample.resampled(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+_OPERATORS = (
+    op1_preference_format, op2_cross_polytope, op3_line_dedup, op4_source_mix, op5_html, op6_toxicity, op7_bpe, op8_minhash, op9_skip_chain_pii,
+    op10_adaptive_quality, op11_bloom_dedup, op12_louds_trie, op13_target_resampling,
+)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _OPERATORS}
+ORACLES: dict[str, str] = {
+    "op1_preference_format": preference.SQL, "op3_line_dedup": lines.SQL, "op8_minhash": minhash.SQL,
+    "op11_bloom_dedup": exact.SQL, "op12_louds_trie": trie.SQL, "op13_target_resampling": resample.SQL,
+}
