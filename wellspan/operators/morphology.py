@@ -7,12 +7,13 @@ checkpointed in the shared folder of ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import math
 import tempfile
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import lines
+
 Offsets = list[tuple[int, int]]
 
 
@@ -58,11 +59,19 @@ def _replaced(pixels: DataFrame, key: list[str], offsets: Offsets, made: Column,
 
 def eroded(pixels: DataFrame, key: list[str], radius: int = 1, value: str = "v") -> DataFrame:
     """Smallest value within a disk; the outside of the image does not count."""
-    return _replaced(pixels, key, disk(radius), F.min("from_"), value)
+    return _extreme(pixels, key, radius, False, value)
 
 
 def dilated(pixels: DataFrame, key: list[str], radius: int = 1, value: str = "v") -> DataFrame:
-    return _replaced(pixels, key, disk(radius), F.max("from_"), value)
+    return _extreme(pixels, key, radius, True, value)
+
+
+def _extreme(pixels: DataFrame, key: list[str], radius: int, largest: bool, value: str) -> DataFrame:
+    """Disks of five pixels are met by pixel, larger ones by running extremes of their rows."""
+    if radius < 2:
+        return _replaced(pixels, key, disk(radius), (F.max if largest else F.min)("from_"), value)
+    found = lines.extreme_in_disk(pixels, key, radius, largest, value)
+    return found.withColumn(value, F.col(value).cast(pixels.schema[value].dataType))
 
 
 def opened(pixels: DataFrame, key: list[str], radius: int = 1) -> DataFrame:
@@ -97,9 +106,9 @@ def averaged(pixels: DataFrame, key: list[str], radius: int = 1) -> DataFrame:
 
 def weighted(pixels: DataFrame, key: list[str], weights: dict[tuple[int, int], float], normed: bool = True) -> DataFrame:
     """Weighted sum of the values around each pixel; ``normed`` divides by the weights that met one."""
-    weight = F.lit(0.0)
-    for (a, b), w in weights.items():
-        weight = F.when((F.col("dy_") == a) & (F.col("dx_") == b), F.lit(float(w))).otherwise(weight)
+    high, wide = (max(abs(k[i]) for k in weights) for i in (0, 1))
+    table = F.array(*(F.lit(float(weights.get((a, b), 0.0))) for a in range(-high, high + 1) for b in range(-wide, wide + 1)))
+    weight = F.get(table, (F.col("dy_") + high) * (2 * wide + 1) + F.col("dx_") + wide)
     found = F.col("from_").isNotNull()
     total = F.sum(F.when(found, F.col("from_") * weight))
     return _replaced(pixels, key, list(weights), total / F.sum(F.when(found, weight)) if normed else total, "v")
@@ -107,10 +116,7 @@ def weighted(pixels: DataFrame, key: list[str], weights: dict[tuple[int, int], f
 
 def gaussian(pixels: DataFrame, key: list[str], sigma: float, truncate: float = 4.0) -> DataFrame:
     """Gaussian blur in two passes of one axis each; at edges the weights inside are normed."""
-    reach = max(1, int(truncate * sigma + 0.5))
-    line = {k: math.exp(-0.5 * (k / sigma) ** 2) for k in range(-reach, reach + 1)}
-    down = weighted(pixels, key, {(k, 0): w for k, w in line.items()})
-    return weighted(down, key, {(0, k): w for k, w in line.items()})
+    return lines.blurred(pixels, key, sigma, truncate)
 
 
 def components(mask: DataFrame, key: list[str]) -> DataFrame:
