@@ -12,7 +12,7 @@ import tempfile
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import lines
+from . import lines, tiles
 
 Offsets = list[tuple[int, int]]
 
@@ -122,21 +122,9 @@ def gaussian(pixels: DataFrame, key: list[str], sigma: float, truncate: float =
 def components(mask: DataFrame, key: list[str]) -> DataFrame:
     """(key, y, x, label): connected pixels (eight neighbours) of ``mask``, numbered in reading order.
 
-    Every pixel takes the first pixel that its label's neighbours know and then that pixel's
-    own label, so long paths shorten by half each round.
+    Objects are found within tiles; only what meets at seams is joined by rounds.
     """
-    place = F.struct(F.col("y").alias("a"), F.col("x").alias("b"))
-    pixels = kept(mask.select(*key, "y", "x", place.alias("v")))
-    while True:
-        near = gathered(pixels, key, square(1), {"low_": F.min("from_")})
-        ends = pixels.select(*key, F.col("y").alias("ty"), F.col("x").alias("tx"), F.col("v").alias("further_"))
-        hops = near.withColumns({"ty": F.col("low_.a"), "tx": F.col("low_.b")}).join(ends, [*key, "ty", "tx"])
-        stepped = kept(hops.select(*key, "y", "x", F.col("v").alias("was_"), F.least("low_", "further_").alias("v")))
-        done = stepped.where("was_ <> v").isEmpty()
-        pixels = stepped.drop("was_")
-        if done:
-            break
-    return numbered_objects(pixels.select(*key, "y", "x", F.col("v").alias("first_")), key)
+    return numbered_objects(kept(tiles.connected(mask, key, kept)), key)
 
 
 def numbered_objects(pixels: DataFrame, key: list[str]) -> DataFrame:
@@ -166,6 +154,11 @@ def propagated(seeds: DataFrame, key: list[str], most: int | None = None) -> Dat
     return pixels
 
 
+def secondary(pixels: DataFrame, key: list[str], weight: float) -> DataFrame:
+    """Objects grown from seeds along the cheapest paths through an image: see ``tiles.propagated``."""
+    return tiles.propagated(pixels, key, weight, kept)
+
+
 def shrunk(objects: DataFrame, key: list[str], radius: int) -> DataFrame:
     """Object pixels whose whole disk lies in their object; the outside of the image is not."""
     offsets = disk(radius)

@@ -159,16 +159,20 @@ def columnar_sink(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).select("plate", "number", "run")
 
 
-@query("select n_nationkey as cell, n_name as name, case when n_regionkey < 2 then n_nationkey * 2 else -1 end as width, case when n_regionkey >= 2 then n_nationkey * 3 else -1 end as corr from nation")
+@query("""select n_nationkey as cell, n_name || ', "' || n_nationkey || '"' as name, case when n_regionkey < 2 then n_nationkey * 2 else -1 end as width, case when n_regionkey >= 2 then n_nationkey * 3 else -1 end as corr, case when n_regionkey >= 2 then n_nationkey + 100 else -1 end as row_number from nation""")
 def crop_index_merge(t: Tables) -> DataFrame:
-    """Index files of two kinds with different columns, united by name."""
+    """Index files of two kinds, united by name: one with row numbers under an empty header, and quoted names."""
     folder = shared_folder(t.spark)
-    a = t.nation.where("n_regionkey < 2").select(F.col("n_nationkey").alias("cell"), F.col("n_name").alias("name"), (F.col("n_nationkey") * 2).alias("width"))
-    b = t.nation.where("n_regionkey >= 2").select((F.col("n_nationkey") * 3).alias("corr"), F.col("n_name").alias("name"), F.col("n_nationkey").alias("cell"))
-    a.coalesce(1).write.csv(f"{folder}/a", header=True)
-    b.coalesce(1).write.csv(f"{folder}/b", header=True)
-    m = manifests.merged_crop_index(t.spark, folder)
-    return m.select(F.col("cell").cast("int").alias("cell"), "name", F.coalesce(F.col("width").cast("int"), F.lit(-1)).alias("width"), F.coalesce(F.col("corr").cast("int"), F.lit(-1)).alias("corr"))
+    name = F.concat(F.col("n_name"), F.lit(', "'), F.col("n_nationkey").cast("string"), F.lit('"'))
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    a = t.nation.where("n_regionkey < 2").select(F.concat_ws(",", quoted(name), "n_nationkey", F.col("n_nationkey") * 2).alias("value"))
+    b = t.nation.where("n_regionkey >= 2").select(F.concat_ws(",", F.col("n_nationkey") + 100, F.col("n_nationkey") * 3, quoted(name), "n_nationkey").alias("value"))
+    for kind, head, rows in (("a", "name,cell,width", a), ("b", ",corr,name,cell", b)):
+        first = t.spark.createDataFrame([(head,)], "value string")
+        first.unionByName(rows).coalesce(1).write.option("compression", "none").text(f"{folder}/{kind}")
+    m = manifests.merged_crop_index(t.spark, folder, "*.txt")
+    number = lambda c: F.coalesce(F.col(c).cast("int"), F.lit(-1)).alias(c)
+    return m.select(F.col("cell").cast("int").alias("cell"), "name", number("width"), number("corr"), number("row_number"))
 
 
 @query("select page_id, regexp_replace(string_split(url, '/')[-1], '\\.[^./]*$', '') as stem, coalesce(try_cast(regexp_extract(url, '([^/]+)\\.html$', 1) as double), -1.0)::double as number, lpad(cast(page_id as varchar), cast(greatest(5, length(cast(page_id as varchar))) as integer), '0') as padded, round(page_id * 2 * sqrt(2 * ln(2)), 6) as fwhm, round(pi() * pow(page_id / 6.0, 2), 4) as least_area from pages")

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import filters, measures, morphology, objects, pixels, thresholds
+from ..operators import filters, lines, measures, morphology, objects, pixels, shapes, thresholds
 
 Context = dict[str, DataFrame]
 KEY = ["image"]
@@ -181,8 +181,13 @@ def _framed(objects_: DataFrame, image: DataFrame) -> DataFrame:
 
 @module("IdentifySecondary")
 def _secondary(c: Context, s: dict) -> None:
-    """Seeds grown over a mask: one pixel a round, ties to the lower label."""
+    """Seeds grown over a mask, ties to the lower label: by distance, or along an ``image`` (propagation)."""
     seeds = c[s["seeds"]].where("label > 0").select(*KEY, "y", "x", "label")
+    if "image" in s:
+        marked = _mask(c[s["input"]]).withColumn("inside", F.lit(1))
+        whole = c[s["image"]].select(*KEY, "y", "x", "v").join(seeds, [*KEY, "y", "x"], "left").join(marked, [*KEY, "y", "x"], "left").fillna(0, ["label", "inside"])
+        c[s["output"]] = morphology.secondary(whole, KEY, s.get("weight", 0.05)).where("label > 0").drop("distance")
+        return
     both = _mask(c[s["input"]]).join(seeds, [*KEY, "y", "x"], "full_outer").select(*KEY, "y", "x", F.coalesce("label", F.lit(0)).alias("label"))
     c[s["output"]] = morphology.propagated(both, KEY).where("label > 0")
 
@@ -242,6 +247,31 @@ def _geometry(c: Context, s: dict) -> None:
     c[s["output"]] = measures.moments(own, KEY).join(measures.geometry(own, KEY).drop("area"), [*KEY, "label"])
 
 
+@module("MeasureShape")
+def _shape(c: Context, s: dict) -> None:
+    """Hull measures and radii, and with ``degree`` the Zernike magnitudes up to it."""
+    own = c[s["objects"]]
+    made = shapes.hull_measures(own, KEY).join(shapes.radii(own, KEY), [*KEY, "label"])
+    c[s["output"]] = made.join(shapes.zernike(own, KEY, s["degree"]), [*KEY, "label"], "left") if "degree" in s else made
+
+
+@module("MeasureIntensityZernike")
+def _light_zernike(c: Context, s: dict) -> None:
+    c[s["output"]] = shapes.zernike(_measured(c, s), KEY, s.get("degree", 9), weighted=True)
+
+
+@module("MeasurePowerSlope")
+def _power_slope(c: Context, s: dict) -> None:
+    c[s["output"]] = lines.power_slope(c[s["input"]], KEY, s.get("share", 0.125))
+
+
+@module("LocalThreshold")
+def _local_threshold(c: Context, s: dict) -> None:
+    """Pixels above the threshold of their own window: 1, others 0."""
+    level = lines.local_threshold(c[s["input"]], KEY, s.get("window", 51), s.get("k", 0.2), s.get("range", 1.0))
+    c[s["output"]] = c[s["input"]].join(level, [*KEY, "y", "x"]).withColumn("v", F.when(F.col("v") > F.col("threshold"), 1.0).otherwise(0.0)).drop("threshold")
+
+
 @module("MeasureNeighbours")
 def _neighbours(c: Context, s: dict) -> None:
     c[s["output"]] = measures.touching(c[s["objects"]], KEY)

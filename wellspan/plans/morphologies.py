@@ -122,6 +122,28 @@ def watershed_split(t: Tables) -> DataFrame:
     return morphology.watershed(pixels(t).where("v > 0").select("vec_id", "y", "x"), KEY)
 
 
+def _value(y: str, x: str) -> str:
+    """The image's value at a place; beyond the edge its last row or column goes on."""
+    return f"embedding[greatest(least({y}, 7), 0) * 8 + greatest(least({x}, 7), 0) + 1]::double"
+
+
+GAP = " + ".join(f"abs({_value(f'y + {i}', f'x + {j}')} - {_value(f'ny + {i}', f'nx + {j}')})" for i in (-1, 0, 1) for j in (-1, 0, 1))
+
+
+@query(f"""with recursive {PX}, s as (select vec_id, y, x, v, case when v > 0.2 then cast(1 + y // 4 * 2 + x // 4 as integer) else 0 end as seed, v > -0.1 as inside from px), k as (select unnest([-1, 0, 1]) as k),
+near as (select vec_id, embedding, y, x, y + i.k as ny, x + j.k as nx from embeddings cross join (select unnest(range(8)) as y) cross join (select unnest(range(8)) as x) cross join k i cross join k j where (i.k <> 0 or j.k <> 0) and y + i.k between 0 and 7 and x + j.k between 0 and 7),
+step as (select vec_id, y, x, ny, nx, sqrt(pow({GAP}, 2) + (abs(y - ny) + abs(x - nx)) * 0.25) as cost from near),
+way as materialized (select step.vec_id, step.y, step.x, ny, nx, cost from step join s on s.vec_id = step.vec_id and s.y = ny and s.x = nx where inside and seed = 0 union all select vec_id, y, x, y, x, 0 from s where inside or seed > 0),
+r(n, vec_id, y, x, far, label) as (select 0, vec_id, y, x, 0.0::double, seed from s where seed > 0 union all
+ select n, vec_id, y, x, m.f, m.l from (select r.n + 1 as n, w.vec_id, w.ny as y, w.nx as x, min(struct_pack(f := r.far + w.cost, l := r.label)) as m from r join way w on w.vec_id = r.vec_id and w.y = r.y and w.x = r.x where r.n < 20 group by 1, 2, 3, 4))
+select s.vec_id, s.y, s.x, coalesce(r.label, 0) as label, round(r.far + 2.3e-8, 5) as distance from s left join r on r.n = 20 and r.vec_id = s.vec_id and r.y = s.y and r.x = s.x where s.inside or s.seed > 0""")
+def secondary_propagation(t: Tables) -> DataFrame:
+    """Bright pixels of each quadrant, grown along the image over all but its dark pixels."""
+    quadrant = F.lit(1) + F.floor(F.col("y") / 4).cast("int") * 2 + F.floor(F.col("x") / 4).cast("int")
+    p = pixels(t).withColumns({"label": F.when(F.col("v") > 0.2, quadrant).otherwise(0), "inside": F.col("v") > -0.1})
+    return morphology.secondary(p, KEY, 0.5).withColumn("distance", F.round(F.col("distance") + F.lit(2.3e-8), 5))
+
+
 def _objects_sql(n: str) -> str:
     """Labels ``l{n}`` of image ``{n}``: threshold, closing, components, none at the border."""
     near = "p.vec_id = q.vec_id and abs(p.y - q.y) <= 1 and abs(p.x - q.x) <= 1"

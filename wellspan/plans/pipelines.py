@@ -56,11 +56,11 @@ def segment_and_measure(t: Tables) -> DataFrame:
 
 
 @query(f"""with {ABS}, d as (select distinct plate, vec_id from a where plate = 0 and v > 0.4), i as (select plate, vec_id, y, x, v * 10000 as v from a where (plate, vec_id) not in (select plate, vec_id from d)), m as (select plate, y, x, avg(v) as v from i group by 1, 2, 3), f as (select plate, y, x, v / avg(v) over (partition by plate) as flat from m),
-c as (select i.plate, vec_id, i.y, i.x, v / flat as v from i join f on i.plate = f.plate and i.y = f.y and i.x = f.x), q as (select plate, quantile_cont(v, 0.95) / 65535 as factor from c group by 1)
+c as (select i.plate, vec_id, i.y, i.x, v / flat as v from i join f on i.plate = f.plate and i.y = f.y and i.x = f.x), k as (select plate, vec_id, quantile_cont(v, 0.99) as top from c group by 1, 2), q as (select plate, quantile_cont(top, 0.95) / 65535 as factor from k group by 1)
 select c.plate, vec_id as well, y, x, cast(least(greatest(round_even(least(greatest(v / factor, 0), 65535.0) / 65535.0 * 65535, 0), 0), 65535) as integer) as v from c join q on c.plate = q.plate""")
 def processed_images(t: Tables) -> DataFrame:
     """Images as a run's configuration makes them: deny list, projection, mean flatfield, own scale, 16 bits."""
-    config = RunConfig(manifest="m", blacklist="b", max_project=True, flatfield_mode="MEAN", autoscale=True, autoscale_q2=95.0, clip_max=65_535.0)
+    config = RunConfig(manifest="m", blacklist="b", max_project=True, flatfield_mode="MEAN", autoscale=True, autoscale_q1="q99", autoscale_q2=95.0, clip_max=65_535.0)
     p = bright(t).withColumn("v", F.col("v") * 10_000)
     planes = p.select("plate", F.col("vec_id").alias("well"), F.lit(1).alias("field"), F.lit(0).alias("channel"), F.explode(F.array(F.lit(0), F.lit(1))).alias("plane"), "y", "x", "v").withColumn("v", F.col("v") * (F.lit(1.0) - F.col("plane") * 0.5))
     denied = p.where("plate = 0 and v > 4000").select("plate", F.col("vec_id").alias("well")).distinct()

@@ -14,8 +14,8 @@ def processed(config: RunConfig, planes: DataFrame, denied: DataFrame | None = N
     """(plate, well, field, channel, y, x, v): deny list, projection, flatfield, scaling, 16 bits.
 
     ``planes`` has also the column plane.  ``denied`` lists (plate, well); ``factors`` has
-    (plate, channel, factor) and is used with a manual scale, while ``autoscale`` takes each
-    (plate, channel)'s own quantile.  Every step is there or not as the configuration says.
+    (plate, channel, factor) and is used with a manual scale, while ``autoscale`` takes a
+    quantile of each image and then, by (plate, channel), a quantile of these.  Every step is there or not as the configuration says.
     """
     p = planes
     if config.blacklist is not None:
@@ -32,7 +32,8 @@ def processed(config: RunConfig, planes: DataFrame, denied: DataFrame | None = N
             field = flatfield.fitted_field(p, key, size or p.agg(F.max("x")).first()[0] + 1)
         p = pixels.with_flatfield(p, field.withColumn("dark", F.lit(0.0)), key)
     if config.autoscale:
-        factors = scaling.scale_factors(p, ["plate", "channel"], "v", config.autoscale_q2)
+        within = F.percentile(F.col("v").cast("double"), float(config.autoscale_q1.removeprefix("q")) / 100)
+        factors = scaling.scale_factors(p.groupBy(*image).agg(within.alias("top_")), ["plate", "channel"], "top_", config.autoscale_q2)
     if config.autoscale or config.manual_scale:
         if factors is None:
             raise ValueError("a manual scale needs factors")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -138,23 +140,36 @@ def first_row(spark: SparkSession, path: str) -> DataFrame:
     return pairs.select(*(F.col("m")[c.split()[0]].alias(c.split()[0]) for c in PLATES.split(", ")))
 
 
+#: Most kinds of headers that crop index files of one folder may have.
+MOST_HEADERS = 1_000
+
+
 def merged_crop_index(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
     """All crop index files below a folder as one table, columns matched by name.
 
-    Files may have different columns: the header of each kind is read once, and files are
-    read by kind and united by name.
+    A file's first line is its header, whatever it begins with; a column without a name, as
+    data frames write their row numbers, is called ``row_number``.  Fields may be quoted, but
+    hold no line ends.  Empty fields are null, and columns that a file lacks are null in its
+    rows.  Files without a line are passed over.  The headers that differ are counted first,
+    and only those are brought to the driver.
     """
-    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(folder).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
-    heads = files.where(F.col("value").rlike(r"^[A-Za-z_]")).groupBy("value").agg(F.count(F.lit(1)).alias("n")).collect()
-    rows = files.where(~F.col("value").rlike(r"^[A-Za-z_]"))
-    named = files.where(F.col("value").rlike(r"^[A-Za-z_]")).select("file", F.col("value").alias("head"))
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    # A header stands at the file's first byte: a split that begins there reads it first.
+    whole = reader.text(folder, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.regexp_extract("value", r"^\uFEFF?([^\r\n]*)", 1).alias("head")).where("head <> ''")
+    heads = [r["head"] for r in whole.select("head").distinct().orderBy("head").limit(MOST_HEADERS + 1).collect()]
+    if not heads:
+        raise ValueError("no crop index file")
+    if len(heads) > MOST_HEADERS:
+        raise ValueError(f"more than {MOST_HEADERS} kinds of headers: not crop indexes")
+    lines = reader.text(folder).select(F.regexp_replace("value", "^\uFEFF|\r$", "").alias("value"), F.col("_metadata.file_path").alias("file")).where("value <> ''")
+    rows = lines.join(whole, "file").where("value <> head")
     out = None
-    for r in sorted(heads, key=lambda r: r["value"]):
-        columns = r["value"].split(",")
-        own = rows.join(named.where(F.col("head") == r["value"]), "file").select(F.split("value", ",").alias("v")).select(*(F.nullif(F.col("v")[i], F.lit("")).alias(c) for i, c in enumerate(columns)))
+    for head in heads:
+        names = [n or "row_number" for n in next(csv.reader([head]))]
+        schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+        own = rows.where(F.col("head") == head).select(F.from_csv("value", schema, {"escape": '"'}).alias("r")).select("r.*")
+        own = own.select(*(F.nullif(F.col(f"`{n.replace('`', '``')}`"), F.lit("")).alias(n) for n in names))
         out = own if out is None else out.unionByName(own, allowMissingColumns=True)
-    if out is None:
-        raise ValueError("no crop index file")
     return out
 
 
