@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import filters, measures, morphology, objects, pixels
+from ..operators import costes, filters, measures, morphology, objects, pixels
 from ..registry import Tables, query
 from .imaging import PX, QUAD, SIDE, TWO, images, quadrants, rounded, two_channels
 
@@ -112,6 +112,18 @@ def rank_weighted_colocalization(t: Tables) -> DataFrame:
     return rounded(objects.rank_weighted(p, ["vec_id"]), ["rwc_a", "rwc_b"], 7)
 
 
+@query(f"""with {TWO}, d as (select vec_id, y, x, a * a as a, abs(a * b) + a * a / 2 as b from two), v as (select vec_id, var_samp(a) as va, var_samp(b) as vb, covar_samp(a, b) as c, avg(a) as ma, avg(b) as mb from d where a > 0 or b > 0 group by 1), l as (select *, ((vb - va) + sqrt(pow(vb - va, 2) + 4 * c * c)) / (2 * c) as s from v where c <> 0),
+m as (select d.vec_id, any_value(s) as s, any_value(mb - s * ma) as o, max(a) as ta, max(b) as tb from d join l on d.vec_id = l.vec_id group by 1), k as (select m.*, unnest(range(1, cast(floor(greatest(ta, tb) * 1000) as bigint) + 2)) as k from m),
+w as (select k.*, max(k) filter (not (k / 1000 > ta and s * k / 1000 + o > tb)) over (partition by vec_id) as start from k),
+r as (select w.vec_id, w.k, w.start, count(*) as n, corr(a, b) as r from w join d on d.vec_id = w.vec_id and (a < k / 1000 or b < s * k / 1000 + o) where k <= start group by 1, 2, 3), f as (select vec_id, coalesce(max(k) filter (k >= 2 and (n < 2 or r <= 1e-12)), least(2, max(start))) as k from r group by 1),
+t as (select m.vec_id, k / 1000 as ta, s * k / 1000 + o as tb from m join f on m.vec_id = f.vec_id)
+select t.vec_id, round(any_value(ta), 6) as threshold_a, round(any_value(tb), 6) as threshold_b, round(sum(case when a >= ta and b >= tb then a else 0 end) / nullif(sum(case when a >= ta then a else 0 end), 0), 6) as costes_a, round(sum(case when a >= ta and b >= tb then b else 0 end) / nullif(sum(case when b >= tb then b else 0 end), 0), 6) as costes_b from t join d on d.vec_id = t.vec_id group by 1""")
+def costes_colocalization(t: Tables) -> DataFrame:
+    """Two channels that correlate where they are bright; thresholds in steps of a thousandth."""
+    p = two_channels(t).select("vec_id", "y", "x", (F.col("a") * F.col("a")).alias("a"), (F.abs(F.col("a") * F.col("b")) + F.col("a") * F.col("a") / 2).alias("b"))
+    return rounded(costes.coefficients(p, ["vec_id"], 1000), ["threshold_a", "threshold_b", "costes_a", "costes_b"])
+
+
 @query(f"with {PX} select vec_id, " + ", ".join(f"round(quantile_cont(v, {q}), 8) as p{n}" for q, n in ((0.1, 10), (0.5, 50), (0.9, 90))) + " from px where v > 0 group by vec_id")
 def masked_percentiles(t: Tables) -> DataFrame:
     """Percentiles of each image inside its mask."""
