@@ -69,8 +69,10 @@ def object_geometry(t: Tables) -> DataFrame:
     return rounded(measures.geometry(quadrants(images(t)), ["vec_id"]), ["perimeter", "form_factor", "compactness"])
 
 
-@query(f"""with {QUAD}, g as (select vec_id, y, x, label, cast(least(floor((v + 0.5) * 8), 7) as integer) as g from q where label > 0),
-o as (select * from (values (1, 0, 0, 1), (1, 1, 1, 1), (1, 2, 1, 0), (1, 3, 1, -1), (2, 0, 0, 2), (2, 1, 2, 2), (2, 2, 2, 0), (2, 3, 2, -2)) t(scale, direction, dy, dx)),
+def _haralick_sql(source: str, levels: int, scales: list[int]) -> str:
+    steps = ", ".join(f"({s}, {k}, {a * s}, {b * s})" for s in scales for k, (a, b) in enumerate(((0, 1), (1, 1), (1, 0), (1, -1))))
+    return f"""with {source}, g as (select vec_id, y, x, label, cast(greatest(least(floor((v + 0.5) * {levels}), {levels - 1}), 0) as integer) as g from q where label > 0),
+o as (select * from (values {steps}) t(scale, direction, dy, dx)),
 pr as (select a.vec_id, a.label, scale, direction, a.g as i, b.g as j from g a cross join o join g b on a.vec_id = b.vec_id and a.label = b.label and b.y = a.y + dy and b.x = a.x + dx),
 c as (select vec_id, label, scale, direction, i, j, count(*)::double as n from (select * from pr union all select vec_id, label, scale, direction, j, i from pr) group by all),
 p as (select *, n / sum(n) over (partition by vec_id, label, scale, direction) as p from c),
@@ -80,13 +82,26 @@ dx as (select vec_id, label, scale, direction, sum(k * k * pd) as ct, sum(k * k
 pp as (select vec_id, label, scale, direction, sum(p * p) as asm, -sum(p * log2(p)) as h, sum(p * i * j) as rc from p group by all)
 select vec_id, label, scale, direction, round(asm, 6) as angular_second_moment, round(ct, 6) + 0.0 as contrast, round(case when var > 1e-12 then (rc - mu * mu) / var else 1 end, 5) + 0.0 as correlation, round(var, 6) + 0.0 as variance, round(im, 6) as inverse_difference_moment, round(sa, 6) + 0.0 as sum_average, round(sv, 6) + 0.0 as sum_variance,
  round(se, 6) + 0.0 as sum_entropy, round(h, 6) + 0.0 as entropy, round(dv, 6) + 0.0 as difference_variance, round(de, 6) + 0.0 as difference_entropy, round(case when hx > 1e-12 then (h - 2 * hx) / hx else 0 end, 6) + 0.0 as info_meas1, round(sqrt(greatest(0, 1 - exp(-2 * (2 * hx - h)))), 5) + 0.0 as info_meas2
-from pp join dx using (vec_id, label, scale, direction) join sx using (vec_id, label, scale, direction) join mx using (vec_id, label, scale, direction)""")
-def haralick_thirteen(t: Tables) -> DataFrame:
-    q = quadrants(images(t)).withColumn("g", F.least(F.floor((F.col("v") + 0.5) * 8), F.lit(7)).cast("int"))
-    m = measures.textures(q, ["vec_id"], 8, [1, 2])
+from pp join dx using (vec_id, label, scale, direction) join sx using (vec_id, label, scale, direction) join mx using (vec_id, label, scale, direction)"""
+
+
+def _haralick(p: DataFrame, levels: int, scales: list[int]) -> DataFrame:
+    grey = F.greatest(F.least(F.floor((F.col("v") + 0.5) * levels), F.lit(levels - 1)), F.lit(0)).cast("int")
+    m = measures.textures(p.withColumn("g", grey), ["vec_id"], levels, scales)
     return m.withColumns({c: F.round(c, 5 if c in ("correlation", "info_meas2") else 6) + F.lit(0.0) for c in measures.TEXTURES})
 
 
+@query(_haralick_sql(QUAD, 8, [1, 2]))
+def haralick_thirteen(t: Tables) -> DataFrame:
+    return _haralick(quadrants(images(t)), 8, [1, 2])
+
+
+@query(_haralick_sql(f"{PX}, q as (select *, 1 as label from px)", 256, [3, 12]))
+def haralick_256_levels(t: Tables) -> DataFrame:
+    """Whole images at 256 levels and scales 3 and 12; at 12 no two pixels of these images are that far apart."""
+    return _haralick(images(t).withColumn("label", F.lit(1)), 256, [3, 12])
+
+
 @query(f"""with {QUAD}, {RIM}, met as (select distinct a.vec_id, a.y, a.x, a.label, b.label as other from q a join q b on a.vec_id = b.vec_id and a.label > 0 and b.label > 0 and a.label <> b.label and greatest(abs(a.y - b.y), abs(a.x - b.x)) = 1),
 n as (select vec_id, label, count(distinct other) as neighbours from met group by 1, 2), s as (select r.vec_id, r.label, round(count(m.label) / count(*) * 100, 6) as percent_touching from rim r left join (select distinct vec_id, y, x, label from met) m on r.vec_id = m.vec_id and r.y = m.y and r.x = m.x and r.label = m.label group by 1, 2)
 select s.vec_id, s.label, percent_touching, coalesce(neighbours, 0) as neighbours from s left join n on s.vec_id = n.vec_id and s.label = n.label""")

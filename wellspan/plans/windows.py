@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import lines, pixels
+from ..operators import alignment, lines, morphology, pixels
 from ..registry import Tables, query
 from .imaging import PX, images, rounded
 
@@ -62,3 +62,25 @@ def closing_wide_disk(t: Tables) -> DataFrame:
     """Closing with a disk of radius 3, by running extremes of the disk's rows."""
     high = lines.extreme_in_disk(plain(t), KEY, 3, True)
     return rounded(lines.extreme_in_disk(high, KEY, 3, False), ["v"], 8)
+
+
+MOVED = f"{PX}, pair as (select p.vec_id, p.y, p.x, p.v as a, p.v > -0.2 as ma, coalesce(q.v, 0) as b, coalesce(q.v > -0.2, false) as mb from px p left join px q on q.vec_id = p.vec_id and q.y = p.y - 1 and q.x = p.x - 2)"
+
+
+@query(f"""with {MOVED}, s as (select unnest(range(-7, 8)) as s), c as (select p.vec_id, i.s as dy, j.s as dx, count(*) as n, corr(p.a, q.b) as r from pair p cross join s i cross join s j join pair q on q.vec_id = p.vec_id and q.y = p.y - i.s and q.x = p.x - j.s and p.ma and q.mb group by 1, 2, 3),
+k as (select *, max(n) over (partition by vec_id) as most from c), g as (select *, round(r, 9) as rr from k where n >= 0.3 * most and n >= 2 and not isnan(r)), t as (select *, max(rr) over (partition by vec_id) as top from g)
+select vec_id, avg(dy) as dy, avg(dx) as dx, round(any_value(rr), 5) as r from t where rr = top group by 1""")
+def masked_registration(t: Tables) -> DataFrame:
+    """The shift that brings back an image moved by a row and two columns, from masked pixels only."""
+    p = plain(t)
+    there = p.select("vec_id", (F.col("y") + 1).alias("y"), (F.col("x") + 2).alias("x"), F.col("v").alias("b"))
+    on = lambda c: F.coalesce(F.when(F.col(c) > -0.2, 1.0), F.lit(0.0))
+    pair = p.withColumnRenamed("v", "a").join(there, ["vec_id", "y", "x"], "left").withColumns({"ma": on("a"), "mb": on("b")})
+    return rounded(alignment.masked_shift(pair, KEY, morphology.kept), ["r"], 5)
+
+
+@query(f"""with {PX}, s as (select vec_id, y, x, cast(round_even(0.8 * x - 0.6 * y + 3.13, 0) as integer) as sx, cast(round_even(0.6 * x + 0.8 * y - 1.73, 0) as integer) as sy from px) select s.vec_id, s.y, s.x, coalesce(p.v, 0) as v from s left join px p on p.vec_id = s.vec_id and p.y = sy and p.x = sx""")
+def affine_warp(t: Tables) -> DataFrame:
+    """Images turned by the angle of a 3-4-5 triangle and moved, nearest pixels."""
+    matrix = F.array(*(F.lit(c) for c in (0.8, -0.6, 3.13, 0.6, 0.8, -1.73, 0.0, 0.0, 1.0)))
+    return alignment.warped(plain(t), t.embeddings.select("vec_id", matrix.alias("matrix")), KEY)
