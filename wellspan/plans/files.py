@@ -6,6 +6,7 @@ Files go to a new folder below the cluster's shared one.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from ..operators import channels
 from ..operators.quantiles import numbered
 from ..registry import Tables, query
 from ..sources import manifests, sinks
+from ..sources.finished import Finished
 from .flows import shared_folder
 from .tabular import CHANNELS, STATS, registration, stats
 
@@ -129,6 +131,24 @@ def channel_table_scan(t: Tables) -> DataFrame:
     return manifests.channel_table(t.spark, written(t, index, "channels", False)).select("ref_plate", "plate", "cycle", "channel", "orig_name")
 
 
+CHANGED = "1999-06-01"
+
+
+@query(f"""select o_custkey, count(*) as n, round(sum(o_totalprice), 2) as total, case when min(o_orderdate) >= timestamp '{CHANGED}' then 'new' when max(o_orderdate) >= timestamp '{CHANGED}' then 'changed' else 'kept' end as state from orders group by o_custkey""")
+def resumed_results(t: Tables) -> DataFrame:
+    """A second run over a grown table makes only units that are new or changed; the others are read."""
+    store, by = Finished(t.spark, shared_folder(t.spark)), ["o_custkey"]
+    orders = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    early = F.col("o_orderdate") < F.lit(CHANGED).cast("timestamp")
+
+    def summed(first: bool) -> Callable[[DataFrame], DataFrame]:
+        state = F.when(F.lit(first), "kept").when(F.min("o_orderdate") < F.lit(CHANGED).cast("timestamp"), "changed").otherwise("new")
+        return lambda df: df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"), state.alias("state"))
+
+    store.completed(orders.where(early), "totals", by, summed(True))
+    return store.completed(orders, "totals", by, summed(False), portions=2)
+
+
 @query("select s_nationkey as plate, s_name as well, case when s_acctbal < 0 then 'none' else 'index.xml' end as index_xml from supplier")
 def well_manifest_sink(t: Tables) -> DataFrame:
     """Manifests by plate, written without header and read back with the plate from the folder's name."""
