@@ -92,6 +92,15 @@ def gaussian_width_fit(t: Tables) -> DataFrame:
     return grouped.gaussian_widths(t.embeddings.select("vec_id", profile.alias("profile")), ["vec_id"]).withColumn("width", F.round("width", 4))
 
 
+@query("""with g as (select user_id, min(ts) as first, count(distinct event_type) as n, string_agg(distinct event_type, ',' order by event_type) as members from events where user_id is not null and ts is not null group by user_id), w as (select max(ts) - interval 1 day as mark from events)
+select user_id, members, cast(n as integer) as n_members, cast(3 + user_id % 4 as integer) as size, n >= 3 + user_id % 4 as complete from g, w where n >= 3 + user_id % 4 or first + interval 7 days <= mark""")
+def stream_timed_groups(t: Tables) -> DataFrame:
+    """Users once their kinds of events are enough, or marked as not complete a week after their first one."""
+    stream = streamed(t, "events").select("user_id", (F.col("user_id") % 4 + 3).alias("size"), "event_type", "ts")
+    with groups.timed(t.spark):
+        return run(t, groups.timed_groups(stream, "user_id", "size", "event_type", "ts", "7 days", "1 day"))
+
+
 @query("select event_id, event_type from events")
 def stream_batches(t: Tables) -> DataFrame:
     """Micro-batches of one file each to folders of their own; a second start finds nothing new."""

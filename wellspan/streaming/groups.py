@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import TYPE_CHECKING
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 if TYPE_CHECKING:
@@ -38,6 +41,114 @@ def sized_groups(stream: DataFrame, key: str, size: str, member: str) -> DataFra
     return stream.groupBy(key).applyInPandasWithState(collect, f"{key} {kinds[key]}, members string", "held array<string>, out boolean", "append", GroupStateTimeout.NoTimeout)
 
 
+class _Timed(StatefulProcessor):
+    """Members of one key until they are enough or their time is over, then a mark for as long again."""
+
+    def __init__(self, key: str, size: str, member: str, wait: int):
+        self.key, self.size, self.member, self.wait = key, size, member, wait
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.members = handle.getMapState("members", "member string", "one boolean")
+        self.about = handle.getValueState("about", "size int, n int, deadline long, out boolean")
+
+    def _emitted(self, key: tuple, size: int, n: int, complete: bool) -> Iterator[pd.DataFrame]:
+        import pandas as pd
+
+        held = sorted(m[0] for m in self.members.keys())
+        yield pd.DataFrame({self.key: [key[0]], "members": [",".join(held)], "n_members": [n], "size": [size], "complete": [complete]})
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
+        size, n, deadline, out = self.about.get() if self.about.exists() else (None, 0, None, False)
+        now = timerValues.getCurrentWatermarkInMs()
+        if deadline is not None and now >= deadline:  # rows of a batch come before its timers
+            if not out:
+                yield from self._emitted(key, size, n, False)
+                self.members.clear()
+                out = True
+            if now >= deadline + self.wait:
+                size, n, deadline, out = None, 0, None, False
+        first = None
+        for pdf in rows:
+            if not len(pdf):
+                continue
+            earliest = int(pdf["at_"].min())
+            first = earliest if first is None else min(first, earliest)
+            size = max(size or 0, int(pdf[self.size].max()))
+            if not out:
+                for m in pdf[self.member].dropna().astype(str).unique():
+                    if not self.members.containsKey((m,)):
+                        self.members.updateValue((m,), (True,))
+                        n += 1
+        if deadline is None:
+            deadline = first + self.wait
+            self.handle.registerTimer(deadline)
+        if not out and n >= size:
+            yield from self._emitted(key, size, n, True)
+            self.members.clear()
+            out = True
+        self.about.update((size, n, deadline, out))
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802
+        if not self.about.exists():
+            return
+        size, n, deadline, out = self.about.get()
+        expired = expiredTimerInfo.getExpiryTimeInMs()
+        if expired > deadline:
+            self.about.clear()
+        if expired != deadline:  # else of a group that was over when the next began
+            return
+        if not out:
+            yield from self._emitted(key, size, n, False)
+            self.members.clear()
+        self.about.update((size, n, deadline, True))
+        self.handle.registerTimer(deadline + self.wait)
+
+    def close(self) -> None:
+        pass
+
+
+def timed_groups(stream: DataFrame, key: str, size: str, member: str, ts: str, wait: str = "1 hour", late: str = "10 minutes") -> DataFrame:
+    """(key, members, n_members, size, complete): sized groups, and those that never fill up.
+
+    A group goes out as soon as ``size`` distinct members have come, or, marked as not
+    complete, when the stream's time (the latest ``ts`` less ``late``) passes ``wait`` after
+    the earliest ``ts`` of its first batch.  Members that come later change nothing for as
+    long again; after that the key is forgotten, so state is bounded by what two waits
+    bring.  Rows older than the stream's time are dropped before they get here; rows with a
+    null key or time are no members.  Members are a map state: a group of many is never
+    read as a whole but to be emitted.  Needs the RocksDB state store, which ``timed`` sets.
+    """
+    millis = round(seconds(wait) * 1000)
+    kinds = dict(stream.dtypes)
+    sound = stream.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(key, F.col(size).cast("int").alias(size), F.col(member).cast("string").alias(member), F.col(ts).cast("timestamp").alias(ts))
+    return (
+        sound.withColumn("at_", F.unix_millis(ts))
+        .withWatermark(ts, late)
+        .groupBy(key)
+        .transformWithStateInPandas(_Timed(key, size, member, millis), f"{key} {kinds[key]}, members string, n_members int, size int, complete boolean", "append", "eventTime")
+    )
+
+
+def seconds(text: str) -> float:
+    """Seconds of an interval such as ``2 hours``."""
+    import pandas as pd
+
+    return pd.Timedelta(text).total_seconds()
+
+
+@contextmanager
+def timed(spark: SparkSession) -> Iterator[None]:
+    """The state store that timers and map states need, for streams started inside."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def first_seen(stream: DataFrame, on: list[str], ts: str | None = None, late: str = "1 hour") -> DataFrame:
     """Each key once.  With an event time, keys are forgotten after ``late``: bounded state."""
     if ts is None:
