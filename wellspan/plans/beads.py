@@ -1,14 +1,15 @@
-"""Queries of sub-pixel registration and spread functions of beads."""
+"""Queries of sub-pixel registration, spread functions of beads, and stores of crops."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import beads, morphology
+from ..operators import beads, cropstore, morphology
 from ..operators.quantiles import same_key
 from ..registry import Tables, query
-from .imaging import PX, SIDE
+from .flows import shared_folder
+from .imaging import PX, SIDE, images
 
 SHAPE = (1, SIDE, SIDE)
 TURN = f"2 * pi() / {SIDE} *"
@@ -45,3 +46,27 @@ def psf_assembly(t: Tables) -> DataFrame:
     crops = t.embeddings.select("label", "vec_id", F.transform("embedding", lambda v: F.abs(v).cast("double")).alias("pixels"))
     found = beads.assembled(crops, ["label"], "vec_id", SHAPE, morphology.kept, trim=1)
     return found.select("label", "n_beads", F.posexplode("psf").alias("at", "v"))
+
+
+CROPS = f"""with {PX}, q as (select vec_id, y, x, v, round(v * v, 9) as w, case when v > 0 then cast(1 + y // 4 * 2 + x // 4 as integer) else 0 end as cell, case when v > 0.1 then cast(1 + y // 4 * 2 + x // 4 as integer) else 0 end as nucleus from px),
+c as (select vec_id, cell as label, cast(max(y) - min(y) as integer) as w, cast(max(x) - min(x) as integer) as h, cast(round_even(avg(y), 0) as integer) as cy, cast(round_even(avg(x), 0) as integer) as cx from q where cell > 0 group by 1, 2),
+e as (select *, greatest(w, h) as diameter, greatest(w, h) // 2 as r from c where w > 0 and h > 0), k as (select * from e where cy >= r and cy + r <= 8 and cx >= r and cx + r <= 8),
+p as (select k.*, q.v, q.w as v2, q.cell = label as cm, q.nucleus = label as nm from k left join q on q.vec_id = k.vec_id and q.y >= cy - r and q.y < cy + r and q.x >= cx - r and q.x < cx + r)
+select vec_id, lpad(cast(label as varchar), 4, '0') as cell_index, w as "W", h as "H", 0 as centroid_z, cy as centroid_y, cx as centroid_x, diameter, round(case when count(*) filter (cm = nm) >= 2 then corr(v, v2) filter (cm = nm) end, 6) as corr_0_1, max(v) as max0, max(v2) as max1,
+ cast(4 * 4 * r * r as integer) as n_values, round(sum(v) + sum(v2) + count(*) filter (cm) + count(*) filter (nm), 6) as total from p where r > 0 group by vec_id, label, w, h, cy, cx, diameter, r"""
+
+
+@query(CROPS)
+def crop_store(t: Tables) -> DataFrame:
+    """Crops of two channels and two masks, written by image, read back, and their index."""
+    p = images(t).select("vec_id", "y", "x", "v").withColumn("plane", F.lit(0))
+    two = p.withColumn("channel", F.lit(0)).unionByName(p.withColumns({"channel": F.lit(1), "v": F.round(F.col("v") * F.col("v"), 9)}))
+    quadrant = (F.floor(F.col("y") / 4) * 2 + F.floor(F.col("x") / 4) + 1).cast("int")
+    above = lambda level: F.when(F.col("v") > level, quadrant).otherwise(0)
+    masks = p.select("vec_id", "plane", "y", "x", above(0).alias("cell"), above(0.1).alias("nucleus"))
+    crops = cropstore.cropped(two, masks, ["vec_id"], 2, 1, (SIDE, SIDE), 0, [1])
+    path = f"{shared_folder(t.spark)}/crops"
+    cropstore.stored(crops.withColumn("plate", F.col("vec_id") % 4), path, ["plate"], ["dna", "actin", "cell_mask", "nucl_mask"])
+    back = t.spark.read.parquet(path)
+    sizes = back.select("vec_id", F.lpad(F.col("label").cast("string"), 4, "0").alias("cell_index"), F.size("pixels").alias("n_values"), F.round(F.aggregate("pixels", F.lit(0.0), lambda a, v: a + v), 6).alias("total"))
+    return cropstore.index(back, ["vec_id"], 2, 0, [1]).withColumn("corr_0_1", F.round("corr_0_1", 6)).join(sizes, ["vec_id", "cell_index"])
