@@ -115,6 +115,11 @@ def test_lines(spark):
     con.executemany("insert into documents values (?, ?)", rows)
     assert sorted(((d, t) for d, t, _, _ in con.sql(lines.SQL).fetchall()), key=str) == left
     assert lines.dedup_lines(docs(spark, [])).count() == 0
+    named = ["covered", "lines_", "doc_id_", "row_", "at_", "covered_", "Row__", "row", "hashed"]
+    wide = docs(spark, texts).select("*", *(F.lit(n).alias(n) for n in named))
+    out = lines.dedup_lines(wide)
+    assert out.columns == [*wide.columns, "n_lines", "n_removed"]
+    assert all(r[n] == n for r in out.collect() for n in named)
 
 
 def test_preference(spark):

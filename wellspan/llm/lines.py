@@ -51,6 +51,13 @@ def repeated_positions(docs: DataFrame) -> DataFrame:
     return later.groupBy("doc_id", "row").agg(lines.alias("covered"))
 
 
+def _unused(name: str, taken: list[str]) -> str:
+    """The name, with underscores until no column has it."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
+
+
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with every later occurrence of a repeated three-line window cut out.
 
@@ -60,24 +67,25 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     passage whole.  Rows of one doc_id are apart as long as their texts differ, and in order
     of a hash of these; rows equal in both count as one row and are cut alike.  Windows
     without a word are never removed; texts of fewer than three lines and null texts pass
-    unchanged.  Adds ``n_lines`` and ``n_removed`` (int; null text: 0) and replaces ``text``;
-    all other columns pass.
+    unchanged.  Adds ``n_lines`` and ``n_removed`` (int; null text: 0), in place of input
+    columns of these names, and replaces ``text``; all other columns pass, whatever they are
+    called.
     """
-    clash = [c for c in docs.columns if c in ("n_lines", "n_removed", "covered", "lines_", "doc_id_", "row_")]
-    docs = docs.drop(*clash)
-    covered = repeated_positions(docs).withColumnsRenamed({"doc_id": "doc_id_", "row": "row_"})
-    joined = docs.join(covered, F.col("doc_id").eqNullSafe(F.col("doc_id_")) & (_row() == F.col("row_")), "left")
-    cut = joined.withColumn("lines_", F.when(F.col("covered").isNotNull(), F.split("text", "\n", -1)))
-    keep = F.array_except(F.sequence(F.lit(0), F.size("lines_") - 1), F.col("covered"))
-    rest = F.array_join(F.transform(keep, lambda i: F.col("lines_")[i]), "\n")
+    docs = docs.drop("n_lines", "n_removed")
+    at, row, covered, lines = (_unused(n, docs.columns) for n in ("at_", "row_", "covered_", "lines_"))
+    found = repeated_positions(docs).withColumnsRenamed({"doc_id": at, "row": row, "covered": covered})
+    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col(at)) & (_row() == F.col(row)), "left")
+    cut = joined.withColumn(lines, F.when(F.col(covered).isNotNull(), F.split("text", "\n", -1)))
+    keep = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(covered))
+    rest = F.array_join(F.transform(keep, lambda i: F.col(lines)[i]), "\n")
     breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
     return cut.withColumns(
         {
-            "text": F.when(F.col("covered").isNull(), F.col("text")).otherwise(rest),
+            "text": F.when(F.col(covered).isNull(), F.col("text")).otherwise(rest),
             "n_lines": F.coalesce(breaks + 1, F.lit(0)),
-            "n_removed": F.coalesce(F.size("covered"), F.lit(0)),
+            "n_removed": F.coalesce(F.size(covered), F.lit(0)),
         }
-    ).select(*docs.columns, "n_lines", "n_removed")
+    ).drop(at, row, covered, lines)
 
 
 SQL = """
