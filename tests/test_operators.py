@@ -80,6 +80,9 @@ def test_config_and_modules(spark):
     for bad in ({"manifest": "m", "what": 1}, {"manifest": ""}, {"manifest": "m", "autoscale": True, "manual_scale": "s"}, {"manifest": "m", "scale_slope": "a"}):
         with pytest.raises(ValueError):
             RunConfig.of(bad)
+    RunConfig.of({"manifest": "m", "image_dir": "d", "autoscale": True}).only("autoscale")
+    with pytest.raises(ValueError, match="n_images, psf_rounds"):
+        RunConfig.of({"manifest": "m", "n_images": 7, "psf_rounds": 3}).only("autoscale")
     with pytest.raises(ValueError):
         compiled([{"module": "Nothing"}], {})
     px = spark.createDataFrame([(1, 0, i, float(i), 1 if i > 1 else 0) for i in range(4)], "image int, y int, x int, v double, label int")

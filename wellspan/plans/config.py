@@ -7,6 +7,7 @@ from typing import Any
 
 FLATFIELD_MODES = ("POLY", "MEAN")
 REGISTRATION_MODES = ("CROSS",)
+PLACES = ("manifest", "manifest_well", "manifest_registration", "image_dir", "publish_dir")
 
 
 @dataclass(frozen=True)
@@ -72,6 +73,15 @@ class RunConfig:
         if problems:
             raise ValueError("; ".join(problems))
 
+    def only(self, *read: str) -> None:
+        """Raises where a parameter that a plan does not read has been set: it would do nothing.
+
+        Names of files and folders are those of tables that plans are given, and pass.
+        """
+        unread = [f.name for f in fields(self) if f.name not in (*PLACES, *read) and getattr(self, f.name) != f.default]
+        if unread:
+            raise ValueError(f"no effect on this plan: {', '.join(unread)}")
+
     @classmethod
     def of(cls, given: dict[str, Any]) -> RunConfig:
         known = {f.name for f in fields(cls)}

@@ -15,8 +15,11 @@ def processed(config: RunConfig, planes: DataFrame, denied: DataFrame | None = N
 
     ``planes`` has also the column plane.  ``denied`` lists (plate, well); ``factors`` has
     (plate, channel, factor) and is used with a manual scale, while ``autoscale`` takes a
-    quantile of each image and then, by (plate, channel), a quantile of these.  Every step is there or not as the configuration says.
+    quantile of each image and then, by (plate, channel), a quantile of these.  Every step is there or not as the configuration says; parameters of
+    other steps (registration, segmentation, features, control wells) must have been left
+    alone.  A flatfield is of degree four and takes all images.
     """
+    config.only("blacklist", "max_project", "flatfield", "flatfield_mode", "flatfield_global", "manual_scale", "scale_slope", "scale_bias", "autoscale", "autoscale_q1", "autoscale_q2", "clip_max")
     p = planes
     if config.blacklist is not None:
         if denied is None:
