@@ -188,28 +188,15 @@ def border_cleared(objects: DataFrame, key: list[str]) -> DataFrame:
 def granularity(pixels: DataFrame, key: list[str], steps: int, radius: int = 1) -> DataFrame:
     """(key, step, removed): percent of the signal that each larger opening removes.
 
-    Each round erodes once more and then rebuilds under the image until nothing grows.
+    Each step erodes once more and then rebuilds under the image until nothing grows, all
+    within tiles: see ``tiles.rebuilt_erosions``.
     """
-    at = [*key, "y", "x"]
-    image = kept(pixels.select(*at, "v"))
-    total = image.groupBy(*key).agg(F.sum("v").alias("total_"))
-    now, sums = image, [image.groupBy(*key).agg(F.lit(0).alias("step"), F.sum("v").alias("left_"))]
-    for step in range(1, steps + 1):
-        now = kept(eroded(now, key, radius))
-        grown = now
-        while True:
-            wide = dilated(grown, key, radius).withColumnRenamed("v", "wide_")
-            new = kept(grown.withColumnRenamed("v", "was_").join(wide, at).join(image, at).select(*at, "was_", F.least("wide_", "v").alias("v")))
-            done = new.where("was_ <> v").isEmpty()
-            grown = new.drop("was_")
-            if done:
-                break
-        sums.append(grown.groupBy(*key).agg(F.lit(step).alias("step"), F.sum("v").alias("left_")))
-    table = sums[0]
-    for s in sums[1:]:
-        table = table.unionByName(s)
-    before = F.lag("left_").over(Window.partitionBy(*key).orderBy("step"))
-    return table.withColumn("before_", before).where("step > 0").join(total, key).select(*key, "step", ((F.col("before_") - F.col("left_")) / F.nullif("total_", F.lit(0.0)) * 100).alias("removed"))
+    total = pixels.groupBy(*key).agg(F.sum("v").alias("total_"))
+    rebuilt = tiles.rebuilt_erosions(pixels, key, steps, disk(radius), radius, kept)
+    table = rebuilt.unionByName(total.select(*key, F.lit(0).alias("step"), F.col("total_").alias("left_")))
+    w = Window.partitionBy(*key).orderBy("step")
+    found = table.withColumns({"before_": F.lag("left_").over(w), "total_": F.first("left_").over(w)}).where("step > 0")
+    return found.select(*key, "step", ((F.col("before_") - F.col("left_")) / F.nullif("total_", F.lit(0.0)) * 100).alias("removed"))
 
 
 def deconvolved(pixels: DataFrame, key: list[str], psf: dict[tuple[int, int], float], rounds: int) -> DataFrame:

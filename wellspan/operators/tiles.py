@@ -33,7 +33,90 @@ def tiled(pixels: DataFrame, key: list[str], values: list[str], size: int, halo:
     p = pixels.where("y is not null and x is not null").select(*key, F.col("y").cast("int").alias("y"), F.col("x").cast("int").alias("x"), *values)
     near = lambda c: F.sequence(_tile(F.col(c) - halo, size), _tile(F.col(c) + halo, size))
     sent = p.withColumn("ty_", F.explode(near("y"))).withColumn("tx_", F.explode(near("x"))) if halo else p.withColumns({"ty_": _tile(F.col("y"), size), "tx_": _tile(F.col("x"), size)})
-    return sent.groupBy(*key, "ty_", "tx_").agg(F.collect_list(F.struct("y", "x", *values)).alias("p_"))
+    return spread(sent, [*key, "ty_", "tx_"]).groupBy(*key, "ty_", "tx_").agg(F.collect_list(F.struct("y", "x", *values)).alias("p_"))
+
+
+def spread(df: DataFrame, by: list[str]) -> DataFrame:
+    """Dealt by key to as many tasks as a shuffle has partitions.
+
+    Pixels compress to a hundredth of what a task needs to sort them, so partitions must not
+    be put together by their size on the wire, as adaptive execution would.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
+#: Most pixels of frames that are worked on at once.
+AT_ONCE = 1 << 20
+
+
+def frames(b: pa.RecordBatch, size: int, values: int) -> Iterator[tuple[np.ndarray, tuple[slice, slice], np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """Tiles of one shape together: (rows of the batch, own part, first y, first x, here, values).
+
+    ``here`` (tiles, height, width) tells where there are pixels, ``values`` are NaN elsewhere
+    and where they are null; the own part lies among the pixels around it.
+    """
+    stops = b["p_"].offsets.to_numpy()
+    if len(stops) < 2:
+        return
+    part, starts = slice(stops[0], stops[-1]), stops[:-1] - stops[0]
+    fields = [b["p_"].values.field(k) for k in range(2 + values)]
+    y, x = (c.to_numpy()[part].astype(np.int64) for c in fields[:2])
+    v = [c.cast(pa.float64()).to_numpy(zero_copy_only=False)[part] for c in fields[2:]]
+    tile = np.repeat(np.arange(b.num_rows), np.diff(stops))
+    mine = (y // size == b["ty_"].to_numpy()[tile]) & (x // size == b["tx_"].to_numpy()[tile])
+    big = np.iinfo(np.int64).max
+    ends = []
+    for c in (y, x):
+        ends += [np.minimum.reduceat(c, starts), np.maximum.reduceat(c, starts), np.minimum.reduceat(np.where(mine, c, big), starts), np.maximum.reduceat(np.where(mine, c, -big), starts)]
+    ya, yb, y0, y1, xa, xb, x0, x1 = ends
+    has = np.flatnonzero(y0 < big)
+    if not len(has):
+        return
+    shapes, which = np.unique(np.column_stack([yb - ya + 1, xb - xa + 1, y0 - ya, x0 - xa, y1 - y0 + 1, x1 - x0 + 1])[has], axis=0, return_inverse=True)
+    order = np.argsort(which.ravel(), kind="stable")
+    for (high, wide, dy, dx, h, w), rows in zip(shapes, np.split(has[order], np.cumsum(np.bincount(which.ravel()))[:-1]), strict=True):
+        step = max(1, AT_ONCE // int(high * wide))
+        for some in (rows[i : i + step] for i in range(0, len(rows), step)):
+            n = np.diff(stops)[some]
+            at = np.repeat(starts[some] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            place = np.repeat(np.arange(len(some)), n), y[at] - np.repeat(ya[some], n), x[at] - np.repeat(xa[some], n)
+            here = np.zeros((len(some), high, wide), bool)
+            here[place] = True
+            made = []
+            for c in v:
+                a = np.full(here.shape, np.nan)
+                a[place] = c[at]
+                made.append(a)
+            yield some, (slice(dy, dy + h), slice(dx, dx + w)), ya[some], xa[some], here, made
+
+
+def shifted(a: np.ndarray, offset: tuple[int, int], outside: float) -> np.ndarray:
+    """What stands at (y + dy, x + dx) of each frame; ``outside`` beyond its edge."""
+    out = np.full_like(a, outside)
+    h, w = a.shape[-2:]
+    to, fro = zip(*((slice(max(0, -d), min(n, n - d)), slice(max(0, d), min(n, n + d))) for d, n in zip(offset, (h, w))))
+    if abs(offset[0]) < h and abs(offset[1]) < w:
+        out[(..., *to)] = a[(..., *fro)]
+    return out
+
+
+def local(pixels: DataFrame, key: list[str], values: list[str], halo: int, f: Callable[[np.ndarray, list[np.ndarray]], np.ndarray], size: int = SIZE) -> DataFrame:
+    """(key, y, x, v): ``f`` of frames of tiles, whose results depend on pixels up to ``halo`` away.
+
+    ``f`` gets where pixels are and their values (NaN where null) and gives values of all of a
+    frame (NaN: null); what its outer ``halo`` pixels come to is not used.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for rows, own, y0, x0, here, v in frames(b, size, len(values)):
+                n, y, x = np.nonzero(here[(..., *own)])
+                made = f(here, v)[(..., *own)][n, y, x]
+                at = pa.array(rows[n])
+                columns = [(y + own[0].start + y0[n]).astype(np.int32), (x + own[1].start + x0[n]).astype(np.int32)]
+                yield pa.record_batch([*(b[c].take(at) for c in key), *map(pa.array, columns), pa.array(made, from_pandas=True)], names=[*key, "y", "x", "v"])
+
+    return tiled(pixels, key, values, size, halo).mapInArrow(run, f"{kinds(pixels, key)}y int, x int, v double")
 
 
 def first_pixels(y: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -272,3 +355,103 @@ def propagated(pixels: DataFrame, key: list[str], weight: float, kept: Callable[
         if told.isEmpty():
             return now.mapInArrow(_taken(key), f"{kinds(pixels, key)}y int, x int, label int, distance double")
         now = kept(now.drop("edge_").join(told, at, "left").mapInArrow(_continued(at, weight), schema))
+
+
+def _spectra(names: list[str], steps: int, offsets: list[tuple[int, int]], radius: int, size: int):
+    """Tiles to all their erosions, rebuilt under the image as far as a tile can tell."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for rows, own, y0, x0, here, (v,) in frames(b, size, 1):
+                ring = ((0, 0), *((max(0, radius - o.start), max(0, radius - n + o.stop)) for o, n in zip(own, here.shape[1:])))
+                inner = tuple(slice(o.start - radius + p[0], o.stop + radius + p[0]) for o, p in zip(own, ring[1:]))
+                crop = lambda a: np.pad(a, ring, constant_values=-np.inf)[(..., *inner)]
+                now, grown = np.where(np.isnan(v), np.inf, v), []
+                for _ in range(steps):
+                    now = np.where(here, np.minimum.reduce([shifted(now, d, np.inf) for d in offsets]), np.inf)
+                    grown.append(crop(np.where(here & (now < np.inf), now, -np.inf)))
+                grown, cap = np.stack(grown, 1), crop(np.where(here, np.where(np.isnan(v), np.inf, v), -np.inf))
+                _rebuilt(grown, cap, offsets, radius)
+                # All that lies beside another tile is told at first: neighbours began with less.
+                yield _spectrum_batch(b, rows, names, y0 + own[0].start, x0 + own[1].start, cap, grown, radius, np.ones_like(grown, bool))
+
+    return run
+
+
+def _rebuilt(grown: np.ndarray, cap: np.ndarray, offsets: list[tuple[int, int]], radius: int) -> None:
+    """Dilations of (tiles, steps, height, width) under ``cap`` until nothing grows, in place; the ring stays."""
+    inner = (..., slice(radius, -radius), slice(radius, -radius))
+    moving = np.arange(len(grown))
+    while len(moving):
+        g = grown[moving]
+        new = np.minimum(np.maximum.reduce([shifted(g, d, -np.inf)[inner] for d in offsets]), cap[moving][:, None][inner])
+        changed = (new != g[inner]).any(axis=(1, 2, 3))
+        g[inner] = new
+        grown[moving] = g
+        moving = moving[changed]
+
+
+_SPECTRUM = "y0_ int, x0_ int, h_ int, w_ int, cap_ binary, grown_ binary, edge_ array<struct<y:int,x:int,v:array<double>>>, left_ array<double>"
+
+
+def _spectrum_batch(b: pa.RecordBatch, rows: np.ndarray, names: list[str], y0: np.ndarray, x0: np.ndarray, cap: np.ndarray, grown: np.ndarray, radius: int, changed: np.ndarray) -> pa.RecordBatch:
+    """State of tiles, pixels beside other tiles that have changed, and each step's sum."""
+    inner = (..., slice(radius, -radius), slice(radius, -radius))
+    ring = cap > -np.inf
+    ring[inner] = False
+    beside = np.logical_or.reduce([shifted(ring, (dy, dx), False) for dy in range(-radius, radius + 1) for dx in range(-radius, radius + 1)])[inner] if ring.any() else np.zeros(cap[inner].shape, bool)
+    news = beside & changed[inner].any(axis=1)
+    own = grown[inner]
+    left = np.where(own > -np.inf, own, 0.0).sum(axis=(2, 3))
+    edges = []
+    for i in range(len(rows)):
+        y, x = np.nonzero(news[i])
+        edges.append([{"y": int(p + y0[i]), "x": int(q + x0[i]), "v": own[i, :, p, q].tolist()} for p, q in zip(y, x)])
+    kind = pa.list_(pa.struct([("y", pa.int32()), ("x", pa.int32()), ("v", pa.list_(pa.float64()))]))
+    number = lambda a: pa.array(np.asarray(a).astype(np.int32))
+    h, w = cap.shape[1:]
+    columns = [number(y0), number(x0), number(np.full(len(rows), h)), number(np.full(len(rows), w)), pa.array([a.tobytes() for a in cap]), pa.array([a.tobytes() for a in grown]), pa.array(edges, kind), pa.array(left.tolist(), pa.list_(pa.float64()))]
+    return pa.record_batch([*(b[c].take(pa.array(rows)) for c in names), *columns], names=[*names, *(c.split()[0] for c in ("y0_", "x0_", "h_", "w_", "cap_", "grown_", "edge_", "left_"))])
+
+
+def _spectra_continued(names: list[str], steps: int, offsets: list[tuple[int, int]], radius: int):
+    """Tiles take what neighbours tell about the pixels in their ring and go on from there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                y0, x0, h, w = (b[c][i].as_py() for c in ("y0_", "x0_", "h_", "w_"))
+                cap = np.frombuffer(b["cap_"][i].as_py()).reshape(1, h, w)
+                grown = np.frombuffer(b["grown_"][i].as_py()).reshape(1, steps, h, w).copy()
+                before = grown.copy()
+                for e in b["told_"][i].as_py() or ():
+                    p, q = e["y"] - y0 + radius, e["x"] - x0 + radius
+                    if 0 <= p < h and 0 <= q < w:
+                        grown[0, :, p, q] = np.maximum(grown[0, :, p, q], e["v"])
+                if (grown != before).any():
+                    _rebuilt(grown, cap, offsets, radius)
+                yield _spectrum_batch(b, np.array([i]), names, np.array([y0]), np.array([x0]), cap, grown, radius, grown != before)
+
+    return run
+
+
+def rebuilt_erosions(pixels: DataFrame, key: list[str], steps: int, offsets: list[tuple[int, int]], radius: int, kept: Callable[[DataFrame], DataFrame], size: int = SIZE) -> DataFrame:
+    """(key, step, left_): sums of 1 to ``steps`` erosions, each rebuilt under the image, tile by tile.
+
+    A tile sees as far around as all erosions reach, so these need no rounds; what grows back
+    over a seam is told to the neighbours, for all steps together, while anything is told.
+    """
+    halo = (steps + 1) * radius
+    size = max(size, halo)
+    at = [*key, "ty_", "tx_"]
+    schema = f"{kinds(pixels, key)}ty_ int, tx_ int, {_SPECTRUM}"
+    now = kept(tiled(pixels, key, ["v"], size, halo).mapInArrow(_spectra(at, steps, offsets, radius, size), schema))
+    around = F.array(*(F.struct(F.lit(a * radius).alias("a"), F.lit(b * radius).alias("b")) for a, b in EIGHT))
+    while True:
+        edge = now.select(*at, F.explode("edge_").alias("e")).select("*", F.explode(around).alias("s"))
+        there = edge.select(*key, _tile(F.col("e.y") + F.col("s.a"), size).alias("ny_"), _tile(F.col("e.x") + F.col("s.b"), size).alias("nx_"), "ty_", "tx_", "e")
+        sent = there.where("ny_ <> ty_ or nx_ <> tx_").select(*key, F.col("ny_").alias("ty_"), F.col("nx_").alias("tx_"), "e").distinct()
+        told = kept(sent.groupBy(*at).agg(F.collect_list("e").alias("told_")))
+        if told.isEmpty():
+            return now.select(*key, F.posexplode("left_").alias("step", "left_")).groupBy(*key, (F.col("step") + 1).cast("int").alias("step")).agg(F.sum("left_").alias("left_"))
+        now = kept(spread(now.drop("edge_", "left_"), at).join(told, at, "left").mapInArrow(_spectra_continued(at, steps, offsets, radius), schema))
