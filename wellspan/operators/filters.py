@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .quantiles import percentiles, same_key
+from .quantiles import counted, percentiles, same_key
 
 #: Most patterns that are compiled into one condition.
 MOST_PATTERNS = 1_000
@@ -51,6 +51,7 @@ def within_spread(df: DataFrame, value: str, k: float, by: list[str]) -> DataFra
     Moments are summed map-side by group and joined back, so no group is sorted in a task.
     """
     moments = df.groupBy(*by).agg(F.avg(value).alias("mean_"), F.stddev_pop(value).alias("sd_"))
+    moments = counted(moments) if by else moments
     near = F.col(value).between(F.col("mean_") - k * F.col("sd_"), F.col("mean_") + k * F.col("sd_"))
     return same_key(df, moments, by).where(near).drop("mean_", "sd_")
 
@@ -63,11 +64,11 @@ def mad_scores(df: DataFrame, values: list[str], by: list[str], names: list[str]
     clean = {v: F.when(~F.isnan(F.col(v)), F.col(v).cast("double")) for v in values}
     long = df.select(*by, *(c.alias(v) for v, c in clean.items())).unpivot(by, values, "of_", "x_")
     key = [*by, "of_"]
-    mids = percentiles(long, key, "x_", [0.5], "mid_")
+    mids = counted(percentiles(long, key, "x_", [0.5], "mid_"))
     mads = percentiles(same_key(long, mids, key), key, F.abs(F.col("x_") - F.col("mid_")[0]), [0.5], "mad_")
     both = same_key(mids, mads, key).select(*by, F.struct("of_", F.struct(F.col("mid_")[0].alias("mid"), F.col("mad_")[0].alias("mad")).alias("m")).alias("e_"))
     found = both.groupBy(*by).agg(F.map_from_entries(F.collect_list("e_")).alias("m_"))
-    joined = same_key(df, found, by, "left")
+    joined = same_key(df, counted(found) if by else found, by, "left")
 
     def score(v: str) -> Column:
         m = F.col("m_")[v]
@@ -88,7 +89,7 @@ def within_mad(df: DataFrame, values: list[str], k: float, by: list[str]) -> Dat
 def percentile_band(df: DataFrame, value: str, low: float, high: float, by: list[str]) -> DataFrame:
     """Keep values between two percentiles (0 to 100), bounds included."""
     band = percentiles(df, by, value, [low / 100, high / 100], "band_")
-    return same_key(df, band, by).where(F.col(value).between(F.col("band_")[0], F.col("band_")[1])).drop("band_")
+    return same_key(df, counted(band) if by else band, by).where(F.col(value).between(F.col("band_")[0], F.col("band_")[1])).drop("band_")
 
 
 def inside_border(df: DataFrame, x: str, y: str, bounds: tuple[float, float, float, float]) -> DataFrame:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .morphology import kept
+
 #: The sketch's ranks are off by one of so many rows at most; brackets are twice as wide.
 ACCURACY = 10_000
 #: Most rows of a side that is broadcast.
@@ -23,6 +25,14 @@ def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def counted(df: DataFrame) -> DataFrame:
+    """What is made once here, then counted, and broadcast if it is small: a row a group, mostly.
+
+    Few large groups would else meet their one row by a sort of all rows in a task a group.
+    """
+    return small_side(kept(df))
+
+
 def same_key(left: DataFrame, right: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
     """Join by keys of which nulls are equal, as in a grouping; ``by`` may be empty."""
     if not by:
@@ -52,7 +62,7 @@ def percentiles(df: DataFrame, by: list[str], value: str | Column, shares: list[
         low, high = F.col(f"b{2 * j}_"), F.col(f"b{2 * j + 1}_")
         inside |= x.between(low, high)
         gap += F.when(x > high, 1).otherwise(0)
-    cells = same_key(rows, sketch, by).select(*by, "n_", "v_", F.when(inside, x).alias("own_"), F.when(~inside, gap).alias("gap_"))
+    cells = same_key(rows, counted(sketch) if by else sketch, by).select(*by, "n_", "v_", F.when(inside, x).alias("own_"), F.when(~inside, gap).alias("gap_"))
     cells = cells.groupBy(*by, "n_", "own_", "gap_").agg(F.count(F.lit(1)).alias("c_"), F.min("v_").alias("lo_"), F.max("v_").alias("hi_"))
     upto = F.sum("c_").over(Window.partitionBy(*by).orderBy("lo_"))
     ranked = cells.withColumn("to_", upto - 1).withColumn("from_", F.col("to_") - F.col("c_") + 1)

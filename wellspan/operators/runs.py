@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .quantiles import percentiles, same_key
+from .quantiles import counted, percentiles, same_key
 
 
 def one_each(df: DataFrame, on: list[str]) -> DataFrame:
@@ -54,7 +54,7 @@ def trimmed(pixels: DataFrame, by: list[str], value: str, share: float) -> DataF
     """Pixels that are not 0 and below a quantile of what is not 0."""
     found = pixels.where(F.col(value) != 0)
     top = percentiles(found, by, value, [share], "top_")
-    return same_key(found, top, by).where(F.col(value) < F.col("top_")[0]).drop("top_")
+    return same_key(found, counted(top) if by else top, by).where(F.col(value) < F.col("top_")[0]).drop("top_")
 
 
 def unsaturated(x: Column, most: float, floor: float = 0.0) -> Column:
