@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tiles import spread
+
 
 def exploded(images: DataFrame, pixels: str, width: int) -> DataFrame:
     """Rows of ``pixels`` arrays as (…, y, x, v), in row-major order."""
@@ -89,12 +91,23 @@ def math(left: DataFrame, right: DataFrame, key: list[str], how: str, factors: t
     ``factors`` apply to the images before; what is no number becomes 0, and the result is
     clamped to [0, 1] unless told not to.
     """
+    return several_math(left, right, key, [how], factors, exponent, times, plus, clamp).drop("how")
+
+
+def several_math(left: DataFrame, right: DataFrame, key: list[str], hows: list[str], factors: tuple[float, float] = (1.0, 1.0), exponent: float = 1.0, times: float = 1.0, plus: float = 0.0, clamp: bool = True) -> DataFrame:
+    """``math`` in several ways, told apart by ``how``: pixels meet once."""
     a, b = F.col("v") * factors[0], F.col("v_") * factors[1]
-    made = {"add": a + b, "subtract": a - b, "multiply": a * b, "maximum": F.greatest(a, b)}[how]
-    joined = left.join(right.withColumnRenamed("v", "v_"), [*key, "y", "x"])
-    made = (made if exponent == 1.0 else F.pow(made, F.lit(exponent))) * times + plus
-    sound = F.when(made.isNull() | F.isnan(made), F.lit(0.0)).otherwise(made)
-    return joined.withColumn("v", F.least(F.greatest(sound, F.lit(0.0)), F.lit(1.0)) if clamp else sound).drop("v_")
+    joined = spread(left, [*key, "y", "x"]).join(spread(right.withColumnRenamed("v", "v_"), [*key, "y", "x"]), [*key, "y", "x"])
+
+    def made(how: str) -> Column:
+        c = {"add": a + b, "subtract": a - b, "multiply": a * b, "maximum": F.greatest(a, b)}[how]
+        c = (c if exponent == 1.0 else F.pow(c, F.lit(exponent))) * times + plus
+        sound = F.when(c.isNull() | F.isnan(c), F.lit(0.0)).otherwise(c)
+        return F.least(F.greatest(sound, F.lit(0.0)), F.lit(1.0)) if clamp else sound
+
+    ways = F.explode(F.array(*(F.struct(F.lit(h).alias("how"), made(h).alias("v")) for h in hows))).alias("m_")
+    rest = [c for c in joined.columns if c not in ("v", "v_")]
+    return joined.select(*rest, ways).select(*rest, "m_.how", "m_.v")
 
 
 def inverted(pixels: DataFrame) -> DataFrame:

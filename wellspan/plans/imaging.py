@@ -202,10 +202,7 @@ def percentile_normalise(t: Tables) -> DataFrame:
 def image_math(t: Tables) -> DataFrame:
     p = images(t).select("vec_id", "y", "x", "v")
     mirror = p.withColumn("x", F.lit(SIDE - 1) - F.col("x"))
-    made = [pixels.math(p, mirror, ["vec_id"], how).withColumn("how", F.lit(how)) for how in ("add", "subtract", "multiply", "maximum")]
-    out = made[0]
-    for m in made[1:]:
-        out = out.unionByName(m)
+    out = pixels.several_math(p, mirror, ["vec_id"], ["add", "subtract", "multiply", "maximum"])
     return rounded(out.select("vec_id", "y", "x", "how", "v"), ["v"], 8)
 
 
