@@ -8,7 +8,9 @@ checkpointed in the shared folder of ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,7 +85,19 @@ def closed(pixels: DataFrame, key: list[str], radius: int = 1) -> DataFrame:
 
 
 def closed_square(pixels: DataFrame, key: list[str], radius: int = 1) -> DataFrame:
-    return _replaced(_replaced(pixels, key, square(radius), F.max("from_"), "v"), key, square(radius), F.min("from_"), "v")
+    """Largest and then smallest value within a square, both in one frame of a tile; nulls do not count."""
+
+    def f(here: np.ndarray, values: list[np.ndarray]) -> np.ndarray:
+        now = values[0]
+        for largest in (True, False):
+            out, g = (-np.inf, np.maximum) if largest else (np.inf, np.minimum)
+            now = np.where(np.isnan(now), out, now)
+            for axis in (0, 1):
+                now = g.reduce([tiles.shifted(now, (d, 0) if axis == 0 else (0, d), out) for d in range(-radius, radius + 1)])
+            now = np.where(here & np.isfinite(now), now, np.nan)
+        return now
+
+    return tiles.local(pixels, key, ["v"], 2 * radius, f)
 
 
 def suppressed(pixels: DataFrame, key: list[str], radius: int, enhance: bool = False) -> DataFrame:
@@ -199,24 +213,46 @@ def granularity(pixels: DataFrame, key: list[str], steps: int, radius: int = 1)
     return found.select(*key, "step", ((F.col("before_") - F.col("left_")) / F.nullif("total_", F.lit(0.0)) * 100).alias("removed"))
 
 
+#: Most pixels around a tile that rounds of one frame may need.
+MOST_AROUND = 64
+
+
 def deconvolved(pixels: DataFrame, key: list[str], psf: dict[tuple[int, int], float], rounds: int) -> DataFrame:
     """Richardson-Lucy: multiplicative updates with a small point spread function.
 
-    Outside the image there is no light.  Every round is two weighted gatherings; lineage is
-    cut each round.
+    Outside the image there is no light.  As many rounds as a border of MOST_AROUND pixels
+    allows are worked within one frame of each tile; then pixels meet again.
     """
     at, norm = [*key, "y", "x"], sum(psf.values())
     forward = {k: w / norm for k, w in psf.items()}
     backward = {(-a, -b): w for (a, b), w in forward.items()}
-    image = kept(pixels.select(*at, F.col("v").alias("seen_")))
-    mean = image.groupBy(*key).agg(F.avg("seen_").alias("v"))
-    now = image.join(mean, key).select(*at, "v")
-    for _ in range(rounds):
-        blurred = weighted(now, key, forward, normed=False).withColumnRenamed("v", "blurred_")
-        ratio = image.join(blurred, at).select(*at, (F.col("seen_") / F.greatest("blurred_", F.lit(1e-12))).alias("v"))
-        factor = weighted(ratio, key, backward, normed=False).withColumnRenamed("v", "factor_")
-        now = kept(now.join(factor, at).select(*at, (F.col("v") * F.col("factor_")).alias("v")))
-    return now
+    reach = max(1, 2 * max(max(abs(a), abs(b)) for a, b in psf))
+    mean = pixels.groupBy(*key).agg(F.avg("v").alias("now_"))
+    now, left = pixels.select(*at, F.col("v").alias("seen_")).join(mean, key), rounds
+
+    def summed(a: np.ndarray, weights: dict[tuple[int, int], float]) -> tuple[np.ndarray, np.ndarray]:
+        known = ~np.isnan(a)
+        light = np.where(known, a, 0.0)
+        return sum(w * tiles.shifted(light, d, 0.0) for d, w in weights.items()), np.logical_or.reduce([tiles.shifted(known, d, False) for d in weights])
+
+    def several(n: int) -> Callable[[np.ndarray, list[np.ndarray]], np.ndarray]:
+        def f(here: np.ndarray, values: list[np.ndarray]) -> np.ndarray:
+            seen, v = values
+            for _ in range(n):
+                blurred, _ = summed(v, forward)
+                factor, known = summed(np.where(here, seen / np.maximum(blurred, 1e-12), np.nan), backward)
+                v = np.where(here & known, v * factor, np.nan)
+            return v
+
+        return f
+
+    while left:
+        n = min(left, max(1, MOST_AROUND // reach))
+        made = tiles.local(now, key, ["seen_", "now_"], n * reach, several(n))
+        left -= n
+        if left:
+            now = kept(made.withColumnRenamed("v", "now_").join(pixels.select(*at, F.col("v").alias("seen_")), at))
+    return made if rounds else now.select(*at, F.col("now_").alias("v"))
 
 
 def crops(pixels: DataFrame, key: list[str], size: int) -> DataFrame:
@@ -234,11 +270,12 @@ def crops(pixels: DataFrame, key: list[str], size: int) -> DataFrame:
 def best_shift(reference: DataFrame, moving: DataFrame, key: list[str], reach: int) -> DataFrame:
     """(key, dy, dx): the shift of up to ``reach`` pixels under which ``moving`` agrees best.
 
-    Products are summed over all shifts in one join by pixel; ties go to the shortest shift.
+    Products are summed over all shifts within tiles; ties go to the shortest shift.
     """
-    shifts = F.array(*(F.struct(F.lit(a).alias("dy"), F.lit(b).alias("dx")) for a, b in square(reach)))
-    moved = moving.select(*key, "y", "x", F.col("v").alias("w"), F.explode(shifts).alias("s")).select(*key, (F.col("y") + F.col("s.dy")).alias("y"), (F.col("x") + F.col("s.dx")).alias("x"), "w", "s")
-    sums = moved.join(reference, [*key, "y", "x"]).groupBy(*key, "s").agg(F.round(F.sum(F.col("v") * F.col("w")), 9).alias("p"))
+    both = tiles.spread(reference.select(*key, "y", "x", F.col("v").cast("double").alias("v"), F.lit(True).alias("in_"), F.lit(None).cast("double").alias("w"), F.lit(False).alias("moved_")).unionByName(
+        moving.select(*key, "y", "x", F.lit(None).cast("double").alias("v"), F.lit(False).alias("in_"), F.col("v").cast("double").alias("w"), F.lit(True).alias("moved_"))), [*key, "y", "x"])
+    pixels = both.groupBy(*key, "y", "x").agg(F.max("v").alias("v"), F.max("in_").cast("double").alias("in_"), F.max("w").alias("w"), F.max("moved_").cast("double").alias("moved_"))
+    sums = tiles.shift_products(pixels, key, square(reach), reach).groupBy(*key, "s").agg(F.round(F.sum("p"), 9).alias("p"))
     far = -(F.abs("s.dy") + F.abs("s.dx"))
     best = sums.groupBy(*key).agg(F.max(F.struct("p", far.alias("far"), (-F.col("s.dy")).alias("a"), (-F.col("s.dx")).alias("b"))).alias("m"))
     return best.select(*key, (-F.col("m.a")).alias("dy"), (-F.col("m.b")).alias("dx"))

@@ -119,6 +119,31 @@ def local(pixels: DataFrame, key: list[str], values: list[str], halo: int, f: Ca
     return tiled(pixels, key, values, size, halo).mapInArrow(run, f"{kinds(pixels, key)}y int, x int, v double")
 
 
+def shift_products(pixels: DataFrame, key: list[str], shifts: list[tuple[int, int]], reach: int, size: int = SIZE) -> DataFrame:
+    """(key, s, p): for each tile the sum of ``w`` times ``v`` at the shift from it, where both are there.
+
+    ``in_`` and ``moved_`` tell whether a pixel is one of ``v`` and of ``w``; products with
+    nulls do not count, and a shift under which no pixels meet has no row.
+    """
+    steps = pa.array([{"dy": a, "dx": b} for a, b in shifts], pa.struct([("dy", pa.int32()), ("dx", pa.int32())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for rows, own, _, _, _, (v, inside, w, moved) in frames(b, size, 4):
+                w, moved = w[(..., *own)], moved[(..., *own)] == 1
+                for k, d in enumerate(shifts):
+                    there = lambda a: shifted(a, d, np.nan)[(..., *own)]  # noqa: B023, E731
+                    met = ((there(inside) == 1) & moved).any(axis=(1, 2))
+                    if not met.any():
+                        continue
+                    product = there(v) * w
+                    sums = np.where(np.isnan(product).all(axis=(1, 2)), np.nan, np.nansum(product, axis=(1, 2)))[met]
+                    at = pa.array(rows[met])
+                    yield pa.record_batch([*(b[c].take(at) for c in key), steps.take(pa.array(np.full(len(sums), k))), pa.array(sums, from_pandas=True)], names=[*key, "s", "p"])
+
+    return tiled(pixels, key, ["v", "in_", "w", "moved_"], size, reach).mapInArrow(run, f"{kinds(pixels, key)}s struct<dy:int,dx:int>, p double")
+
+
 def first_pixels(y: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each pixel of a mask, the first pixel in reading order that it is connected to (eight neighbours).
 
