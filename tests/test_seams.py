@@ -84,3 +84,14 @@ def test_best_shift_and_closing_over_seams(spark, monkeypatch):
     want = view(view(m, np.maximum, -1), np.minimum, 9)
     got = morphology.closed_square(table(spark, [m]), ["image"]).collect()
     assert len(got) == m.size and all(r["v"] == want[r["y"], r["x"]] for r in got)
+
+
+def test_objects_are_found_once(spark):
+    """What every measure reads is made once: no plan of a measure labels the mask again."""
+    from wellspan.plans.modules import compiled
+
+    image = table(spark, [np.eye(6)])
+    steps = [{"module": "IdentifyPrimary", "input": "a", "output": "o", "least": 3}, {"module": "MeasureGeometry", "objects": "o", "output": "g"}]
+    made = compiled(steps, {"a": image})
+    assert "Window" not in made["o"]._jdf.queryExecution().optimizedPlan().toString()
+    assert [r["area"] for r in made["g"].collect()] == [6]

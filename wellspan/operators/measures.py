@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tiles import spread
+
 FOUR = ((-1, 0), (1, 0), (0, -1), (0, 1))
 EIGHT = (*FOUR, (-1, -1), (-1, 1), (1, -1), (1, 1))
 
@@ -42,7 +44,7 @@ def intensity(pixels: DataFrame, key: list[str]) -> DataFrame:
     Quartiles interpolate between ranks; the largest value's place is the first in reading
     order.  Objects are small, so their percentiles are taken in place.
     """
-    inside = pixels.where("label > 0").withColumn("v", F.col("v").cast("double"))
+    inside = spread(pixels.where("label > 0").withColumn("v", F.col("v").cast("double")), [*key, "label"])
     v, y, x = F.col("v"), F.col("y"), F.col("x")
     first = inside.groupBy(*key, "label").agg(
         F.sum(v).alias("integrated"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"),
@@ -65,10 +67,9 @@ def moments(pixels: DataFrame, key: list[str]) -> DataFrame:
     """Spatial, central and normalised moments, Hu moments, inertia tensor and what follows.
 
     ``m_p_q`` sums y**p x**q over the object, in the frame of its bounding box, for p, q up to
-    3; ``mu`` and ``nu`` follow from these sums, so pixels are read twice (for the box) and
-    shuffled never.
+    3; ``mu`` and ``nu`` follow from these sums.  Pixels are dealt once, by object.
     """
-    inside = pixels.where("label > 0")
+    inside = spread(pixels.where("label > 0"), [*key, "label"])
     box = inside.groupBy(*key, "label").agg(F.min("y").alias("y0"), F.max("y").alias("y1"), F.min("x").alias("x0"), F.max("x").alias("x1"))
     p = inside.join(box, [*key, "label"])
     powers = lambda c: [F.lit(1.0), c, c * c, c * c * c]

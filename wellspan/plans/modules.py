@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import filters, lines, measures, morphology, objects, pixels, shapes, thresholds
+from ..operators import filters, lines, measures, morphology, objects, pixels, shapes, thresholds, tiles
 
 Context = dict[str, DataFrame]
 KEY = ["image"]
@@ -172,7 +172,7 @@ def _primary(c: Context, s: dict) -> None:
         found = found.join(sizes.drop("n_"), [*KEY, "label"], "left_semi")
     if s.get("inner"):
         found = morphology.border_cleared(_framed(found, c[s["input"]]), KEY)
-    c[s["output"]] = found
+    c[s["output"]] = morphology.kept(tiles.spread(found, [*KEY, "label"]))  # read by every measure
 
 
 def _framed(objects_: DataFrame, image: DataFrame) -> DataFrame:
