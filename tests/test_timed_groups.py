@@ -40,3 +40,19 @@ def test_keys_are_forgotten(spark):
     """After a second wait a key begins anew."""
     batches = [[("a", 1, "A1", at(0))], [("z", 9, "Z", at(125))], [("z", 9, "Z", at(126)), ("a", 1, "A9", at(126))]]
     assert run(spark, batches) == [("a", "A1", 1, 1, True), ("a", "A9", 1, 1, True), ("z", "Z", 1, 9, False)][:2]
+
+
+def test_keys_share_states(spark):
+    """Messages to the state do not grow with the keys: a state has one timer, whatever it holds."""
+    folder = tempfile.mkdtemp(prefix="timed-", dir="/tmp")
+    n = 3 * groups.STATES if hasattr(groups, "STATES") else 3_000
+    spark.range(n).selectExpr("cast(id as string) plate", "2 size", "'A1' well", "timestamp_seconds(100000 + id) ts").write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(KINDS).parquet(f"{folder}/in")
+    with groups.timed(spark):
+        made = groups.timed_groups(stream, "plate", "size", "well", "ts", "30 minutes", "0 minutes")
+        q = made.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+        q.awaitTermination()
+    timers = max(p.stateOperators[0].customMetrics["numRegisteredTimers"] for p in q.recentProgress if p.stateOperators)
+    assert 0 < timers <= 1024
+    rows = spark.read.parquet(f"{folder}/out").collect()
+    assert sorted(int(r.plate) for r in rows) == list(range(n - 1800)) and {(r.members, r.n_members, r.size, r.complete) for r in rows} == {("A1", 1, 2, False)}

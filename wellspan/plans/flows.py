@@ -22,16 +22,14 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/wellspan-{uuid.uuid4().hex}" if base else tempfile.mkdtemp(prefix="wellspan-")
 
 
-def streamed(t: Tables, name: str) -> DataFrame:
-    schema = getattr(t, name).schema
-    return t.spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(_folder(t, name))
+def streamed(t: Tables, name: str, *columns: str) -> DataFrame:
+    """A stream of a table's ``columns`` (all, if none are named).
 
-
-def _folder(t: Tables, name: str) -> str:
-    """Streams read folders: a table that is one file is first written as a folder."""
-    folder = f"{shared_folder(t.spark)}/{name}"
-    getattr(t, name).write.parquet(folder)
-    return folder
+    Streams read folders: a table that is one file is first written as a folder.
+    """
+    folder, table = f"{shared_folder(t.spark)}/{name}", getattr(t, name).select(*(columns or "*"))
+    table.write.parquet(folder)
+    return t.spark.readStream.schema(table.schema).option("pathGlobFilter", "*.parquet").parquet(folder)
 
 
 def run(t: Tables, stream: DataFrame, mode: str = "append") -> DataFrame:
@@ -96,7 +94,7 @@ def gaussian_width_fit(t: Tables) -> DataFrame:
 select user_id, members, cast(n as integer) as n_members, cast(3 + user_id % 4 as integer) as size, n >= 3 + user_id % 4 as complete from g, w where n >= 3 + user_id % 4 or first + interval 7 days <= mark""")
 def stream_timed_groups(t: Tables) -> DataFrame:
     """Users once their kinds of events are enough, or marked as not complete a week after their first one."""
-    stream = streamed(t, "events").select("user_id", (F.col("user_id") % 4 + 3).alias("size"), "event_type", "ts")
+    stream = streamed(t, "events", "user_id", "event_type", "ts").select("user_id", (F.col("user_id") % 4 + 3).alias("size"), "event_type", "ts")
     with groups.timed(t.spark):
         return run(t, groups.timed_groups(stream, "user_id", "size", "event_type", "ts", "7 days", "1 day"))
 

@@ -41,68 +41,94 @@ def sized_groups(stream: DataFrame, key: str, size: str, member: str) -> DataFra
     return stream.groupBy(key).applyInPandasWithState(collect, f"{key} {kinds[key]}, members string", "held array<string>, out boolean", "append", GroupStateTimeout.NoTimeout)
 
 
+#: Keys of timed groups share this many states: see ``_Timed``.
+STATES = 1024
+
+
 class _Timed(StatefulProcessor):
-    """Members of one key until they are enough or their time is over, then a mark for as long again."""
+    """Groups until their members are enough or their time is over, then a mark for as long again.
+
+    Every call of the state is a message to the JVM, and every key a small frame, which took
+    some 20 ms a key; so keys share states by hash, and a state is read and written once a
+    batch.  Its one timer is for the group that is due next.
+    """
 
-    def __init__(self, key: str, size: str, member: str, wait: int):
-        self.key, self.size, self.member, self.wait = key, size, member, wait
+    def __init__(self, key: str, kind: str, size: str, member: str, wait: int):
+        self.key, self.kind, self.size, self.member, self.wait = key, kind, size, member, wait
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.members = handle.getMapState("members", "member string", "one boolean")
-        self.about = handle.getValueState("about", "size int, n int, deadline long, out boolean")
+        self.groups = handle.getListState("groups", f"name {self.kind}, size int, deadline long, out boolean, members array<string>")
+
+    def _read(self) -> dict:
+        return {name: (size, deadline, out, set(members)) for name, size, deadline, out, members in self.groups.get()}
+
+    def _write(self, held: dict) -> None:
+        if held:
+            self.groups.put([(name, size, deadline, out, sorted(members)) for name, (size, deadline, out, members) in held.items()])
+        else:
+            self.groups.clear()
+
+    def _due(self, held: dict) -> int | None:
+        return min((deadline + self.wait * out for _, deadline, out, _ in held.values()), default=None)
+
+    def _expired(self, held: dict, now: int) -> list[tuple]:
+        """What is over by ``now``, in place: groups not complete, to be emitted, and marks to be forgotten."""
+        done = []
+        for name, (size, deadline, out, members) in list(held.items()):
+            if now >= deadline and not out:
+                done.append(self._row(name, size, members, False))
+                held[name] = (size, deadline, True, set())
+            if now >= deadline + self.wait:
+                del held[name]
+        return done
+
+    def _row(self, name: object, size: int, members: set[str], complete: bool) -> tuple:
+        return name, ",".join(sorted(members)), len(members), size, complete
 
-    def _emitted(self, key: tuple, size: int, n: int, complete: bool) -> Iterator[pd.DataFrame]:
+    def _emitted(self, done: list[tuple]) -> Iterator[pd.DataFrame]:
         import pandas as pd
 
-        held = sorted(m[0] for m in self.members.keys())
-        yield pd.DataFrame({self.key: [key[0]], "members": [",".join(held)], "n_members": [n], "size": [size], "complete": [complete]})
+        if done:
+            yield pd.DataFrame(done, columns=[self.key, "members", "n_members", "size", "complete"])
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
-        size, n, deadline, out = self.about.get() if self.about.exists() else (None, 0, None, False)
-        now = timerValues.getCurrentWatermarkInMs()
-        if deadline is not None and now >= deadline:  # rows of a batch come before its timers
-            if not out:
-                yield from self._emitted(key, size, n, False)
-                self.members.clear()
-                out = True
-            if now >= deadline + self.wait:
-                size, n, deadline, out = None, 0, None, False
-        first = None
+        held = self._read()
+        before, done = self._due(held), self._expired(held, timerValues.getCurrentWatermarkInMs())  # rows of a batch come before its timers
+        came: dict = {}
         for pdf in rows:
-            if not len(pdf):
-                continue
-            earliest = int(pdf["at_"].min())
-            first = earliest if first is None else min(first, earliest)
-            size = max(size or 0, int(pdf[self.size].max()))
+            least = pdf.groupby(self.key, sort=False).agg({"at_": "min", self.size: "max"})
+            for name, at, size in zip(least.index.tolist(), least["at_"].tolist(), least[self.size].tolist(), strict=True):
+                first, most, members = came.get(name, (at, 0, set()))
+                came[name] = min(first, at), max(most, int(size)), members
+            pairs = pdf[[self.key, self.member]].dropna().drop_duplicates()
+            for name, member in zip(pairs[self.key].tolist(), pairs[self.member].tolist(), strict=True):
+                came[name][2].add(member)
+        for name, (first, most, new) in came.items():
+            size, deadline, out, members = held.get(name, (0, first + self.wait, False, set()))
+            size = max(size, most)
             if not out:
-                for m in pdf[self.member].dropna().astype(str).unique():
-                    if not self.members.containsKey((m,)):
-                        self.members.updateValue((m,), (True,))
-                        n += 1
-        if deadline is None:
-            deadline = first + self.wait
-            self.handle.registerTimer(deadline)
-        if not out and n >= size:
-            yield from self._emitted(key, size, n, True)
-            self.members.clear()
-            out = True
-        self.about.update((size, n, deadline, out))
+                members |= new
+                if len(members) >= size:
+                    done.append(self._row(name, size, members, True))
+                    out, members = True, set()
+            held[name] = (size, deadline, out, members)
+        self._write(held)
+        due = self._due(held)
+        if due is not None and due != before:
+            self.handle.registerTimer(due)
+        yield from self._emitted(done)
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802
-        if not self.about.exists():
-            return
-        size, n, deadline, out = self.about.get()
-        expired = expiredTimerInfo.getExpiryTimeInMs()
-        if expired > deadline:
-            self.about.clear()
-        if expired != deadline:  # else of a group that was over when the next began
-            return
-        if not out:
-            yield from self._emitted(key, size, n, False)
-            self.members.clear()
-        self.about.update((size, n, deadline, True))
-        self.handle.registerTimer(deadline + self.wait)
+        held = self._read()
+        before, n = self._due(held), len(held)
+        done = self._expired(held, timerValues.getCurrentWatermarkInMs())
+        if done or len(held) < n:
+            self._write(held)
+        due = self._due(held)
+        if due is not None and due != before:  # else this was a timer of a group that has gone
+            self.handle.registerTimer(due)
+        yield from self._emitted(done)
 
     def close(self) -> None:
         pass
@@ -116,17 +142,18 @@ def timed_groups(stream: DataFrame, key: str, size: str, member: str, ts: str, w
     the earliest ``ts`` of its first batch.  Members that come later change nothing for as
     long again; after that the key is forgotten, so state is bounded by what two waits
     bring.  Rows older than the stream's time are dropped before they get here; rows with a
-    null key or time are no members.  Members are a map state: a group of many is never
-    read as a whole but to be emitted.  Needs the RocksDB state store, which ``timed`` sets.
+    null key or time are no members.  A group in a state holds fewer than ``size`` members,
+    and a state's groups are read together.  Needs the RocksDB state store, which ``timed``
+    sets.
     """
     millis = round(seconds(wait) * 1000)
     kinds = dict(stream.dtypes)
     sound = stream.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(key, F.col(size).cast("int").alias(size), F.col(member).cast("string").alias(member), F.col(ts).cast("timestamp").alias(ts))
     return (
-        sound.withColumn("at_", F.unix_millis(ts))
+        sound.withColumns({"at_": F.unix_millis(ts), "state_": F.pmod(F.xxhash64(key), F.lit(STATES))})
         .withWatermark(ts, late)
-        .groupBy(key)
-        .transformWithStateInPandas(_Timed(key, size, member, millis), f"{key} {kinds[key]}, members string, n_members int, size int, complete boolean", "append", "eventTime")
+        .groupBy("state_")
+        .transformWithStateInPandas(_Timed(key, kinds[key], size, member, millis), f"{key} {kinds[key]}, members string, n_members int, size int, complete boolean", "append", "eventTime")
     )
 
 
