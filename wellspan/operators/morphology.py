@@ -84,8 +84,8 @@ def closed(pixels: DataFrame, key: list[str], radius: int = 1) -> DataFrame:
     return eroded(dilated(pixels, key, radius), key, radius)
 
 
-def closed_square(pixels: DataFrame, key: list[str], radius: int = 1) -> DataFrame:
-    """Largest and then smallest value within a square, both in one frame of a tile; nulls do not count."""
+def closing(radius: int) -> Callable[[np.ndarray, list[np.ndarray]], np.ndarray]:
+    """Largest and then smallest value within a square, for the frames of ``tiles.local``."""
 
     def f(here: np.ndarray, values: list[np.ndarray]) -> np.ndarray:
         now = values[0]
@@ -97,7 +97,12 @@ def closed_square(pixels: DataFrame, key: list[str], radius: int = 1) -> DataFra
             now = np.where(here & np.isfinite(now), now, np.nan)
         return now
 
-    return tiles.local(pixels, key, ["v"], 2 * radius, f)
+    return f
+
+
+def closed_square(pixels: DataFrame, key: list[str], radius: int = 1) -> DataFrame:
+    """Largest and then smallest value within a square, both in one frame of a tile; nulls do not count."""
+    return tiles.local(pixels, key, ["v"], 2 * radius, closing(radius))
 
 
 def suppressed(pixels: DataFrame, key: list[str], radius: int, enhance: bool = False) -> DataFrame:
